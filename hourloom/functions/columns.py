@@ -10,7 +10,10 @@ from ..constants import (
     DENSITY_BANDS, GOLD_HOURS, SILVER_HOURS, VALUE_HIGH, VALUE_LOW,
 )
 
+# what counts as a number in text; the JVM parser alone would also take "1.5d"
 _NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$|^\s*[+-]?inf(inity)?\s*$"
+_WHOLE = r"^\s*([+-]?\d+)(\.0*)?\s*$"
+_SCIENTIFIC = r"(?i)\de[+-]?\d"
 
 
 def blank_to_null(c: Column) -> Column:
@@ -19,18 +22,15 @@ def blank_to_null(c: Column) -> Column:
 
 
 def nan_to_null(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
+    return F.nullif(c, F.lit(float("nan")).cast("double"))
 
 
 def to_double(c: Column, source: T.DataType | None = None) -> Column:
-    """Numeric coercion: text that is not a number becomes NULL, and so does NaN.
-
-    The shape test on text refuses what only the JVM parser would take, such as ``1.5d``.
-    """
+    """Numeric coercion: text that is not a number becomes NULL, and so does NaN."""
     if isinstance(source, T.BooleanType):
         return c.cast("double")
     if source is None or isinstance(source, T.StringType):
-        c = F.when(c.cast("string").rlike(_NUMBER), c.cast("string"))
+        return F.regexp_substr(c.cast("string"), F.lit(_NUMBER)).try_cast("double")
     return nan_to_null(c.try_cast("double"))
 
 
@@ -41,7 +41,9 @@ def to_long(c: Column, source: T.DataType | None = None) -> Column:
     d = to_double(c, source)
     whole = F.when(d == F.floor(d), d).try_cast("long")
     if source is None or isinstance(source, T.StringType):
-        return F.coalesce(F.trim(c.cast("string")).try_cast("long"), whole)
+        text = c.cast("string")
+        digits = F.nullif(F.regexp_extract(text, _WHOLE, 1), F.lit("")).try_cast("long")
+        return F.coalesce(digits, F.when(text.rlike(_SCIENTIFIC), whole))
     return whole
 
 

@@ -11,10 +11,15 @@ from ..constants import EPOCH_WATERMARK, SOURCE_LOOKBACK_DAYS, TARGET_LOOKBACK_D
 from ..sources import paths
 
 DAY = "day"
+_GRAINS = ("day", "month", "year")
 
 
-def day_of(ts: str | Column) -> Column:
-    return F.to_date(F.col(ts) if isinstance(ts, str) else ts)
+def day_of(ts: str | Column, grain: str = DAY) -> Column:
+    """The date a row is stored under: its day, or the first day of its month or year."""
+    if grain not in _GRAINS:
+        raise ValueError(f"grain must be one of {_GRAINS}")
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.to_date(c) if grain == DAY else F.to_date(F.date_trunc(grain, c))
 
 
 def _recent(df: DataFrame, ts_col: str, as_of, days: int) -> DataFrame:
@@ -37,42 +42,45 @@ def watermark(
 def changed_days(
     source: DataFrame, target: DataFrame, ts_col: str, as_of, updated_col: str = "updated_at",
     target_ts_col: str | None = None, source_lookback: int = SOURCE_LOOKBACK_DAYS,
-    target_lookback: int = TARGET_LOOKBACK_DAYS,
+    target_lookback: int = TARGET_LOOKBACK_DAYS, grain: str = DAY,
 ) -> DataFrame:
     """Days holding a recent source row updated at or after the target's watermark."""
     mark = watermark(target, target_ts_col or ts_col, updated_col, as_of, target_lookback)
     return (
         _recent(source, ts_col, as_of, source_lookback)
         .filter(F.col(updated_col) >= mark.scalar())
-        .select(day_of(ts_col).alias(DAY))
+        .select(day_of(ts_col, grain).alias(grain))
         .distinct()
     )
 
 
 def rows_of_days(
-    source: DataFrame, days: DataFrame, ts_col: str, partition_col: str | None = None
+    source: DataFrame, days: DataFrame, ts_col: str, partition_col: str | None = None,
+    grain: str = DAY,
 ) -> DataFrame:
     """All rows of the given days. On a table stored by day, name its ``partition_col`` to prune.
 
     ``days`` is distinct, so it can not outgrow the calendar: the broadcast is bounded.
     """
-    picked = F.broadcast(days.select(F.col(DAY).alias("_day")))
-    own = F.col(partition_col) if partition_col else day_of(ts_col)
+    picked = F.broadcast(days.select(F.col(grain).alias("_day")))
+    own = F.col(partition_col) if partition_col else day_of(ts_col, grain)
     return source.join(picked, own == F.col("_day"), "left_semi")
 
 
-def overwrite_days(df: DataFrame, path: str, ts_col: str, sort_cols: Sequence[str] = ()) -> None:
-    """Write by day, replacing only days present in ``df``.
+def overwrite_days(
+    df: DataFrame, path: str, ts_col: str, sort_cols: Sequence[str] = (), grain: str = DAY
+) -> None:
+    """Write by day (or coarser ``grain``), replacing only the partitions present in ``df``.
 
     Rebalancing on the day lets adaptive execution split a crowded day over several tasks and
     join small ones; sorting inside the tasks makes row-group statistics useful.
     """
-    out = df.withColumn(DAY, day_of(ts_col)).hint("rebalance", F.col(DAY))
+    out = df.withColumn(grain, day_of(ts_col, grain)).hint("rebalance", F.col(grain))
     keys = [c for c in (*sort_cols, ts_col) if c in df.columns]
-    out = out.sortWithinPartitions(DAY, *keys)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(
-        path
-    )
+    out = out.sortWithinPartitions(grain, *keys)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        grain
+    ).parquet(path)
 
 
 def refresh_days(
@@ -80,7 +88,7 @@ def refresh_days(
     build: Callable[[DataFrame], DataFrame], ts_col: str, as_of, target_ts_col: str | None = None,
     updated_col: str = "updated_at", source_lookback: int = SOURCE_LOOKBACK_DAYS,
     target_lookback: int = TARGET_LOOKBACK_DAYS, sort_cols: Sequence[str] = (),
-    full: bool = False,
+    full: bool = False, grain: str = DAY,
 ) -> None:
     """Incremental insert-overwrite: rebuild the changed days, or everything without a target.
 
@@ -91,8 +99,8 @@ def refresh_days(
     if not full and paths.has_files(spark, path):
         days = changed_days(
             source, spark.read.parquet(path), ts_col, as_of, updated_col, out_ts,
-            source_lookback, target_lookback,
+            source_lookback, target_lookback, grain,
         )
-        stored_by_day = DAY if DAY in source.columns else None
-        source = rows_of_days(source, days, ts_col, stored_by_day)
-    overwrite_days(build(source), path, out_ts, sort_cols)
+        stored = grain if grain in source.columns else None
+        source = rows_of_days(source, days, ts_col, stored, grain)
+    overwrite_days(build(source), path, out_ts, sort_cols, grain)

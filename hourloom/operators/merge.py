@@ -14,7 +14,7 @@ from ..session import shared_dir
 from ..sources import paths
 from ..specs import TableSpec
 from .dedupe import keep_latest
-from .incremental import DAY, day_of, overwrite_days
+from .incremental import day_of, overwrite_days
 
 ACTION = "_action"
 
@@ -105,21 +105,21 @@ def upsert_table(
             target = spark.read.parquet(path)
         else:
             target = spark.createDataFrame([], spec.schema)
-        if spec.time_col and DAY in target.columns:
+        if spec.time_col and spec.grain in target.columns:
             # at most one row per calendar day, so this broadcast is bounded
-            days = F.broadcast(staged.select(day_of(spec.time_col).alias("_day")).distinct())
-            target = target.join(days, F.col(DAY).eqNullSafe(F.col("_day")), "left_semi")
+            days = F.broadcast(staged.select(day_of(spec.time_col, spec.grain).alias("_day")).distinct())
+            target = target.join(days, F.col(spec.grain).eqNullSafe(F.col("_day")), "left_semi")
         merged = merge_changes(
             target.select(*spec.columns), staged, spec.keys, on_duplicate=on_duplicate
         ).drop(ACTION)
         if spec.time_col:
-            overwrite_days(merged, work, spec.time_col, spec.sort_cols)
+            overwrite_days(merged, work, spec.time_col, spec.sort_cols, spec.grain)
         else:
             merged.write.mode("overwrite").parquet(work)
     done = spark.read.parquet(work)
     if spec.time_col:
         done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            DAY
+            spec.grain
         ).parquet(path)
     else:
         done.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import conform
-from ..operators.incremental import overwrite_days
+from ..operators.incremental import day_of
 from ..specs import RUN_LOG_JSON, TableSpec
 
 _READERS = ("parquet", "csv", "json")
@@ -98,11 +98,12 @@ def load_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "truncate"
         raise ValueError("mode must be 'append' or 'truncate'")
     out = conform(df, spec)
     if spec.time_col:
-        out = out.withColumn("day", F.to_date(spec.time_col)).hint("rebalance", F.col("day"))
-        out = out.sortWithinPartitions("day", *spec.sort_cols, spec.time_col)
+        out = out.withColumn(spec.grain, day_of(spec.time_col, spec.grain))
+        out = out.hint("rebalance", F.col(spec.grain))
+        out = out.sortWithinPartitions(spec.grain, *spec.sort_cols, spec.time_col)
     writer = out.write.mode("append" if mode == "append" else "overwrite")
     writer = writer.option("partitionOverwriteMode", "static")
-    (writer.partitionBy("day") if spec.time_col else writer).parquet(path)
+    (writer.partitionBy(spec.grain) if spec.time_col else writer).parquet(path)
 
 
 def run_query(spark: SparkSession, sql: str, args: Mapping | None = None) -> DataFrame:
@@ -133,10 +134,3 @@ def read_json_documents(
 
 def read_run_logs(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return read_json_documents(spark, path, RUN_LOG_JSON)
-
-
-__all__ = [
-    "concat_files", "concat_to", "export_query", "load_table", "overwrite_days",
-    "read_json_documents", "read_run_logs", "read_typed", "rows_per_file", "run_query",
-    "write_parquet", "write_reconciled",
-]

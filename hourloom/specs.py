@@ -27,7 +27,10 @@ class ForeignKey:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """What a stored table promises. ``time_col`` is the column whose day partitions the table."""
+    """What a stored table promises.
+
+    ``time_col`` is the column whose day (or other ``grain``) partitions the table.
+    """
 
     name: str
     schema: T.StructType
@@ -35,6 +38,7 @@ class TableSpec:
     time_col: str | None = None
     sort_cols: tuple[str, ...] = ()
     foreign_keys: tuple[ForeignKey, ...] = field(default=())
+    grain: str = "day"
 
     @property
     def columns(self) -> list[str]:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -26,9 +24,13 @@ def stream_upsert(
     ``clear_landed`` deletes files after their batch. The default trigger takes what has landed
     and stops.
     """
-    scratch = f"{shared_dir(spark)}/stream-{spec.name}-{hash_of(checkpoint)}"
+    known: dict[str, str] = {}
 
     def merge(batch: DataFrame, number: int) -> None:
+        if not known:
+            # the id Spark keeps in the checkpoint: a new checkpoint never meets old scratch rows
+            known["id"] = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        scratch = f"{shared_dir(spark)}/stream-{known['id']}"
         upsert_table(spark, target, batch, spec, on_duplicate, str(number), scratch)
         if number > 0:  # the batch before is committed by now
             paths.delete(spark, f"{scratch}/merge-{spec.name}-{number - 1}")
@@ -45,8 +47,3 @@ def stream_upsert(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
-
-
-def hash_of(text: str) -> int:
-    """A number for a path that is the same in every process."""
-    return zlib.crc32(text.encode())

@@ -258,22 +258,29 @@ def line_docs(spark, sf) -> DataFrame:
 
 def run_logs(spark, sf) -> DataFrame:
     """Documents as run logs: a line is an attempt, a word holding a digit an error, others files."""
-    def attempt(line, i):
-        words = F.filter(F.split(line, " "), lambda w: F.length(w) > 0)
-        bad = F.filter(words, lambda w: w.rlike("[0-9]"))
-        status = F.when(F.size(bad) > 5, "aborted").when(F.size(bad) > 0, "retrying").otherwise("downloaded")
+    def words(line):
         return F.struct(
-            F.col("doc_id").cast("string").alias("run_id"), status.alias("status"),
-            F.filter(words, lambda w: ~w.rlike("[0-9]")).alias("saved"),
-            F.transform(bad, lambda w: F.struct(
-                F.col("doc_id").cast("string").alias("run_id"), w.alias("sensor_id"), F.col("lang").alias("type"),
+            F.regexp_extract_all(line, F.lit("[^ ]*[0-9][^ ]*"), F.lit(0)).alias("bad"),
+            F.regexp_extract_all(line, F.lit("(?<![^ ])[^ 0-9]+(?![^ ])"), F.lit(0)).alias("good"),
+        )
+
+    def attempt(a, i):
+        n = F.size(a["bad"])
+        run = F.col("doc_id").cast("string")
+        return F.struct(
+            run.alias("run_id"),
+            F.when(n > 5, "aborted").when(n > 0, "retrying").otherwise("downloaded").alias("status"),
+            a["good"].alias("saved"),
+            F.transform(a["bad"], lambda w: F.struct(
+                run.alias("run_id"), w.alias("sensor_id"), F.col("lang").alias("type"),
             )).alias("errors"),
             i.cast("long").alias("retries"),
         )
+
     none = F.lit(None).cast("string")
     return table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("run_id"),
         none.alias("run_start"), none.alias("run_end"), none.alias("datetime_from"), none.alias("datetime_to"),
         F.array(F.col("source")).alias("sensors"),
-        F.transform(F.split("text", "\n"), attempt).alias("logs"),
+        F.transform(F.transform(F.split("text", "\n"), words), attempt).alias("logs"),
     )

@@ -537,9 +537,9 @@ def incremental_overwrite(spark, sf):
     def build(df):
         return df.withColumn("row_count", F.lit(1))
 
-    h.refresh_days(spark, _loaded_late(rows), path, build, "o_orderdate", a.AS_OF)
-    h.refresh_days(spark, rows, path, build, "o_orderdate", a.AS_OF)
-    return spark.read.parquet(path).drop("day")
+    h.refresh_days(spark, _loaded_late(rows), path, build, "o_orderdate", a.AS_OF, grain="month")
+    h.refresh_days(spark, rows, path, build, "o_orderdate", a.AS_OF, grain="month")
+    return spark.read.parquet(path).drop("month")
 
 
 # Normalisation and flattening -----------------------------------------------------------------
