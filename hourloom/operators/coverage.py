@@ -16,11 +16,18 @@ NAME = "sensor_name"
 
 def rank_parameters(df: DataFrame, name: str = NAME, entity: str = ENTITY) -> DataFrame:
     """Per parameter: in how many locations it is measured, and how often; most common first."""
+    return rank_counts(
+        df.groupBy(entity, name).agg(F.count(F.lit(1)).alias("measurement_count")), name, entity
+    )
+
+
+def rank_counts(counts: DataFrame, name: str = NAME, entity: str = ENTITY) -> DataFrame:
+    """The same from :func:`coverage_counts`, one row per location and parameter."""
     return (
-        df.groupBy(name)
+        counts.groupBy(name)
         .agg(
-            F.countDistinct(entity).alias("location_count"),
-            F.count(F.lit(1)).alias("measurement_count"),
+            F.count(entity).alias("location_count"),
+            F.sum("measurement_count").alias("measurement_count"),
         )
         .orderBy(F.desc("location_count"), F.desc("measurement_count"), name)
     )
@@ -111,15 +118,19 @@ def profile(
     """One row: size, time span and distinct counts. The first time / entity column present is used."""
     ts = next(c for c in time_cols if c in df.columns)
     entity = next(c for c in entity_cols if c in df.columns)
+    named = [name] if name in df.columns else []
+    # one row per location (and parameter) first: counting two distincts multiplies its input
+    slim = df.groupBy(entity, *named).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(ts).alias("_a"), F.max(ts).alias("_b")
+    )
     aggs = [
-        F.count(F.lit(1)).alias("total_rows"),
-        F.min(ts).alias("min_datetime"),
-        F.max(ts).alias("max_datetime"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_rows"),
+        F.min("_a").alias("min_datetime"),
+        F.max("_b").alias("max_datetime"),
         F.countDistinct(entity).alias("unique_locations"),
+        *[F.countDistinct(n).alias("unique_pollutants") for n in named],
     ]
-    if name in df.columns:
-        aggs.append(F.countDistinct(name).alias("unique_pollutants"))
-    return df.agg(*aggs).withColumn("time_column", F.lit(ts))
+    return slim.agg(*aggs).withColumn("time_column", F.lit(ts))
 
 
 def parameter_names(df: DataFrame, name: str = NAME) -> DataFrame:

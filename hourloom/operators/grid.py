@@ -7,12 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .hot import HOT_ROWS, hot_groups, inside, outside
+
 ENTITY, TS, CONCURRENT = "location_id", "datetimeto_utc", "concurrent_sensors"
 
 
 def tag_concurrency(
     df: DataFrame, keys: Sequence[str] = (ENTITY, TS), value: str = "value",
-    out: str = CONCURRENT, hot_rows: int | None = 1_000_000,
+    out: str = CONCURRENT, hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Number of non-null readings that share the keys, added to every row.
 
@@ -27,19 +29,8 @@ def tag_concurrency(
 
     if hot_rows is None:
         return windowed(df)
-    totals = df.groupBy(*keys).agg(F.count(value).alias(out), F.count(F.lit(1)).alias("_rows"))
-    hot = F.broadcast(
-        totals.filter(F.col("_rows") > hot_rows).select(
-            *[F.col(k).alias(f"_{k}") for k in keys], out
-        )
-    )
-    same = None
-    for k in keys:
-        cond = F.col(k).eqNullSafe(F.col(f"_{k}"))
-        same = cond if same is None else same & cond
-    ordinary = windowed(df.join(hot.drop(out), same, "left_anti"))
-    crowded = df.join(hot, same, "inner").drop(*[f"_{k}" for k in keys])
-    return ordinary.unionByName(crowded)
+    hot = hot_groups(df, keys, [F.count(value).alias(out)], hot_rows)
+    return windowed(outside(df, hot, keys)).unionByName(inside(df, hot, keys))
 
 
 def pivot_readings(

@@ -14,6 +14,7 @@ from ..session import shared_dir
 from ..sources import paths
 from ..specs import TableSpec
 from .dedupe import keep_latest
+from .hot import HOT_ROWS, hot_groups, inside, outside
 from .incremental import day_of, overwrite_days
 
 ACTION = "_action"
@@ -23,9 +24,19 @@ def _all_present(keys: Sequence[str]):
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
+def _labelled(df: DataFrame, action: str) -> DataFrame:
+    return df.withColumn(ACTION, F.lit(action))
+
+
+def _fail(*cols: str):
+    text = F.lit("several staged rows match one target row:")
+    return F.raise_error(F.concat_ws(" ", text, *[F.col(c).cast("string") for c in cols])).cast("boolean")
+
+
 def merge_changes(
     target: DataFrame, staged: DataFrame, keys: Sequence[str],
-    audit: Sequence[str] = AUDIT_COLUMNS, on_duplicate: str = "raise",
+    audit: Sequence[str] = AUDIT_COLUMNS, on_duplicate: str = "raise", keys_required: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The target after the merge, each row labelled insert / update / refresh / keep.
 
@@ -35,8 +46,10 @@ def merge_changes(
     * not matched in the target: the staged row as it is; not matched in the batch: kept.
 
     A NULL in a key never matches, so such rows pass by the join instead of piling up in one of
-    its partitions. Two staged rows for one target row fail the job (``"raise"``) unless
-    ``on_duplicate="latest"`` keeps the newest of each key first.
+    its partitions (say ``keys_required`` when there are none, which saves two filtered scans).
+    Two staged rows for one target row fail the job (``"raise"``) unless ``on_duplicate="latest"``
+    keeps the newest of each key first. Copies of a key the target does not have are inserted; a
+    key with more than ``hot_rows`` copies passes by the join too.
     """
     if on_duplicate not in ("raise", "latest"):
         raise ValueError("on_duplicate must be 'raise' or 'latest'")
@@ -44,23 +57,35 @@ def merge_changes(
     cols = target.columns
     data = [c for c in cols if c not in keys and c not in audit]
     staged = staged.select(*cols)
-    present = _all_present(keys)
-    keyed = staged.filter(present)
+    known, keyed, loose = target, staged, None
+    if not keys_required:
+        present = _all_present(keys)
+        known, keyed = target.filter(present), staged.filter(present)
+        loose = _labelled(target.filter(~present), "keep").unionByName(
+            _labelled(staged.filter(~present), "insert")
+        )
     if on_duplicate == "latest":
         keyed = keep_latest(keyed, keys, [updated], [*data, created, refreshed])
-    keyed = keyed.withColumn("_copies", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-
-    t = target.filter(present).select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(1).alias("_t"))
+    else:
+        hot = hot_groups(keyed, keys, [F.count(F.lit(1)).alias("_copies")], hot_rows)
+        # the failure names columns of both sides, so it can only be evaluated after their join
+        matched = inside(known, hot, keys).filter(_fail(*keys, "_copies"))
+        copies = _labelled(inside(keyed, hot, keys), "insert").unionByName(_labelled(matched, "keep"))
+        copies = copies.drop("_copies")
+        loose = copies if loose is None else loose.unionByName(copies)
+        keyed = outside(keyed, hot, keys)
+        keyed = keyed.withColumn("_copies", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+
+    if "_copies" not in keyed.columns:
+        keyed = keyed.withColumn("_copies", F.lit(1))
+    t = known.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(1).alias("_t"))
     s = keyed.select(*[F.col(c).alias(f"s_{c}") for c in cols], "_copies", F.lit(1).alias("_s"))
     same_key = reduce(lambda a, b: a & b, [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys])
     differs = reduce(
         lambda a, b: a | b, [~F.col(f"t_{c}").eqNullSafe(F.col(f"s_{c}")) for c in data], F.lit(False)
     )
     in_t, in_s = F.col("_t").isNotNull(), F.col("_s").isNotNull()
-    unambiguous = F.when(
-        in_t & (F.col("_copies") > 1),
-        F.raise_error(F.lit("several staged rows match one target row")).cast("boolean"),
-    ).otherwise(F.lit(True))
+    unambiguous = F.when(in_t & (F.col("_copies") > 1), _fail(*[f"t_{k}" for k in keys], "_copies")).otherwise(F.lit(True))
     action = (
         F.when(~in_t, "insert").when(~in_s, "keep").when(differs, "update").otherwise("refresh")
     )
@@ -78,10 +103,7 @@ def merge_changes(
         t.join(s, same_key, "full_outer").filter(unambiguous).withColumn(ACTION, action)
         .select(*[merged(c) for c in cols], ACTION)
     )
-    loose = target.filter(~present).withColumn(ACTION, F.lit("keep")).unionByName(
-        staged.filter(~present).withColumn(ACTION, F.lit("insert"))
-    )
-    return joined.unionByName(loose)
+    return joined if loose is None else joined.unionByName(loose)
 
 
 def upsert_table(
@@ -110,7 +132,8 @@ def upsert_table(
             days = F.broadcast(staged.select(day_of(spec.time_col, spec.grain).alias("_day")).distinct())
             target = target.join(days, F.col(spec.grain).eqNullSafe(F.col("_day")), "left_semi")
         merged = merge_changes(
-            target.select(*spec.columns), staged, spec.keys, on_duplicate=on_duplicate
+            target.select(*spec.columns), staged, spec.keys, on_duplicate=on_duplicate,
+            keys_required=set(spec.keys) <= set(spec.required),
         ).drop(ACTION)
         if spec.time_col:
             overwrite_days(merged, work, spec.time_col, spec.sort_cols, spec.grain)

@@ -20,13 +20,15 @@ def gold(seg: DataFrame) -> DataFrame:
 
 
 def tier_summary(
-    seg: DataFrame, value_cols: Sequence[str], min_density: float | None = None
+    seg: DataFrame, value_cols: Sequence[str], min_density: float | None = None,
+    entity: str = ENTITY,
 ) -> DataFrame:
     """Rows, missing values, their ratio to rows, and segments per tier, and over ``all``."""
     if min_density is not None:
         seg = seg.filter(F.col("segment_perfect_density") >= min_density)
     empty = sum((F.col(c).isNull().cast("int") for c in value_cols), F.lit(0))
-    per_segment = seg.groupBy("segment_tier", "segment_id").agg(
+    # grouping by the entity too lets this reuse the partitioning of the segmentation
+    per_segment = seg.groupBy(entity, "segment_id", "segment_tier").agg(
         F.count(F.lit(1)).alias("_rows"), F.sum(empty).alias("_nulls")
     )
     # a segment has one tier, so counting the segment rows counts distinct segments
@@ -106,28 +108,29 @@ def duration_report(
     )
 
 
-def density_histogram(seg: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
+def density_histogram(
+    seg: DataFrame, bins: int = HISTOGRAM_BINS, entity: str = ENTITY
+) -> DataFrame:
     """Segments per density bin: equal bins over the observed range, the last one closed.
 
     When all densities are equal the range is widened by a half on each side.
     """
-    one = seg.groupBy("segment_id").agg(F.max("segment_perfect_density").alias("_d"))
-    span = one.agg(F.min("_d").alias("_lo"), F.max("_d").alias("_hi")).filter("_lo is not null")
-    flat = F.col("_lo") == F.col("_hi")
-    edges = span.select(
-        F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
-        F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"),
-    )
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    frame = edges.select("_lo", "_hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
-    lo, hi = edges.select("_lo").scalar(), edges.select("_hi").scalar()
+    one = seg.groupBy(entity, "segment_id").agg(F.max("segment_perfect_density").alias("_d"))
+    one = one.filter(F.col("_d").isNotNull())
+    span = one.agg(F.min("_d").alias("_lo"), F.max("_d").alias("_hi"))
+    half = F.when(F.col("_lo") == F.col("_hi"), 0.5).otherwise(0.0)
+    edge = span.select((F.col("_lo") - half).alias("_lo"), (F.col("_hi") + half).alias("_hi"))
+    lo, hi = edge.select("_lo").scalar(), edge.select("_hi").scalar()
     hits = (
-        one.filter(F.col("_d").isNotNull())
-        .select(F.least(F.width_bucket(F.col("_d"), lo, hi, F.lit(bins)), F.lit(bins)).cast("int").alias("bin"))
+        one.select(F.least(F.width_bucket(F.col("_d"), lo, hi, F.lit(bins)), F.lit(bins)).cast("int").alias("bin"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    return frame.join(hits, "bin", "left").select(
+    frame = seg.sparkSession.range(1, bins + 1).select(
+        F.col("id").cast("int").alias("bin"), lo.alias("_lo"), hi.alias("_hi")
+    )
+    width = (F.col("_hi") - F.col("_lo")) / bins
+    return frame.filter(F.col("_lo").isNotNull()).join(hits, "bin", "left").select(
         "bin",
         (F.col("_lo") + width * (F.col("bin") - 1)).alias("bin_start"),
         (F.col("_lo") + width * F.col("bin")).alias("bin_end"),
@@ -190,8 +193,12 @@ def unpivot_values(
 
 
 def mean_by_parameter(seg: DataFrame, value_cols: Sequence[str], entity: str = ENTITY) -> DataFrame:
-    long = unpivot_values(gold(seg), value_cols, (entity,))
-    return long.groupBy(entity, "sensor_name").agg(F.avg("value").alias("avg_val"))
+    """Mean gold value per location and parameter; a parameter without values gives no row.
+
+    Averaged while wide and unpivoted after, so rows are not multiplied by the parameters first.
+    """
+    wide = gold(seg).groupBy(entity).agg(*[F.avg(c).alias(c) for c in value_cols])
+    return unpivot_values(wide, value_cols, (entity,), value="avg_val")
 
 
 def rank_by_average(

@@ -123,57 +123,52 @@ def segment(
 
 
 def _numbered_by_chunk(grid, entity, ts, concurrent, perfect, max_gap, chunk) -> DataFrame:
-    """Segment numbers and bounds from windows over (entity, chunk) and small summaries.
+    """Segment numbers and bounds from windows over (entity, chunk) and a small summary of runs.
 
-    Inside a chunk everything is known except what the last perfect hour before it was and how
-    many segments started before it. Both come from one summary row per chunk.
+    A run is a stretch of one chunk from a perfect hour to the next break, or the hours before the
+    first perfect one. Runs are summarised to a row each; going through the runs of an entity in
+    order tells which ones continue a segment begun in an earlier chunk.
     """
-    part = Window.partitionBy(entity, "_chunk")
-    before = part.orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
-    hit = F.when(F.col("is_perfect_hour") == 1, F.col(ts))
+    part = Window.partitionBy(entity, "_chunk").orderBy(ts)
+    before = part.rowsBetween(Window.unboundedPreceding, -1)
+    is_perfect = F.col("is_perfect_hour") == 1
+    hit = F.when(is_perfect, F.col(ts))
+    distance = hours_between(F.col(ts), F.col("_local_last"))
+    opens_run = F.when(is_perfect & (F.col("_local_last").isNull() | (distance > max_gap)), 1)
     local = (
         grid.withColumn("is_perfect_hour", perfect_flag(concurrent, perfect))
         .withColumn("_chunk", F.date_trunc(chunk, ts))
         .withColumn("_local_last", F.last(hit, ignorenulls=True).over(before))
+        .withColumn("_run", F.coalesce(F.sum(opens_run.otherwise(0)).over(part), F.lit(0)))
     )
-    distance = hours_between(F.col(ts), F.col("_local_last"))
-    breaks = F.when((F.col("is_perfect_hour") == 1) & (distance > max_gap), 1).otherwise(0)
-
-    chunks = Window.partitionBy(entity).orderBy("_chunk")
-    earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
-    opens = F.when(
+    # an entity has no more runs than the spine has hours, usually far fewer
+    order = Window.partitionBy(entity).orderBy("_chunk", "_run")
+    seg = Window.partitionBy(entity, "segments_num")
+    opens_segment = F.when(
         F.col("_first").isNotNull()
         & (F.col("_carry").isNull() | (hours_between(F.col("_first"), F.col("_carry")) > max_gap)), 1
     ).otherwise(0)
-    summary = (
-        local.groupBy(entity, "_chunk")
-        .agg(F.min(hit).alias("_first"), F.max(hit).alias("_last"), F.sum(breaks).alias("_breaks"))
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    runs = (
+        local.groupBy(entity, "_chunk", "_run")
+        .agg(F.min(hit).alias("_first"), F.max(hit).alias("_last"), F.sum("is_perfect_hour").alias("_n"))
         .withColumn("_carry", F.last("_last", ignorenulls=True).over(earlier))
-        .withColumn("_before", F.coalesce(F.sum(F.col("_breaks") + opens).over(earlier), F.lit(0)))
-        .withColumn("segments_total", F.sum(F.col("_breaks") + opens).over(Window.partitionBy(entity)))
-        .select(entity, "_chunk", "_carry", "_before", "segments_total")
+        .withColumn("segments_num", F.sum(opens_segment).over(order))
+        .select(
+            entity, "_chunk", "_run", "_carry", "segments_num",
+            F.max("segments_num").over(Window.partitionBy(entity)).alias("segments_total"),
+            F.min("_first").over(seg).alias("segment_start"),
+            F.max("_last").over(seg).alias("segment_end"),
+            F.sum("_n").over(seg).alias("segment_perfect_hours"),
+        )
     )
-    running = part.orderBy(ts)
-    rows = (
-        local.join(summary, [entity, "_chunk"])
+    return (
+        local.join(runs, [entity, "_chunk", "_run"])
         .withColumn("last_perfect_hour", F.coalesce("_local_last", "_carry"))
         .withColumn("hours_since_last", hours_between(F.col(ts), F.col("last_perfect_hour")))
         .withColumn("is_new_segment", _starts(max_gap))
         .filter(_inside(max_gap))
-        .withColumn("segments_num", F.col("_before") + F.sum("is_new_segment").over(running))
-    )
-    seg = Window.partitionBy(entity, "segments_num")
-    bounds = (
-        rows.groupBy(entity, "_chunk", "segments_num")
-        .agg(F.min(ts).alias("_a"), F.max(hit).alias("_b"), F.sum("is_perfect_hour").alias("_n"))
-        .select(
-            entity, "_chunk", "segments_num",
-            F.min("_a").over(seg).alias("segment_start"),
-            F.max("_b").over(seg).alias("segment_end"),
-            F.sum("_n").over(seg).alias("segment_perfect_hours"),
-        )
     )
-    return rows.join(bounds, [entity, "_chunk", "segments_num"])
 
 
 def segment_by_series(

@@ -11,6 +11,7 @@ from ..constants import CITY_START, PARAMETER_COLUMNS, VALUE_HIGH, VALUE_LOW
 from ..functions import clean_range
 from ..operators.filters import only_values, since
 from ..operators.grid import dense_grid, pivot_readings, tag_concurrency
+from ..operators.hot import HOT_ROWS
 from ..operators.segments import segment
 
 
@@ -23,7 +24,7 @@ def clean_city(
     return kept.withColumn("value", clean_range(F.col("value"), low, high))
 
 
-def city_measurements(df: DataFrame, hot_rows: int | None = 1_000_000, **options) -> DataFrame:
+def city_measurements(df: DataFrame, hot_rows: int | None = HOT_ROWS, **options) -> DataFrame:
     """Cleaned readings, each with the number of valid readings of its location and hour."""
     return tag_concurrency(clean_city(df, **options), hot_rows=hot_rows)
 

@@ -19,14 +19,19 @@ def parameter_report(
 ) -> dict[str, DataFrame]:
     """Most common parameters, locations that have them all, and their hourly coverage.
 
-    The names of the top ``n`` parameters become columns, so those ``n`` values are looked up.
+    Every part comes from the counts per location and parameter, so the measurements themselves
+    are aggregated once per part and never joined. The names of the top ``n`` parameters become
+    columns, so those ``n`` values are looked up.
     """
-    ranking = cov.rank_parameters(df)
+    pairs = cov.coverage_counts(df)
+    ranking = cov.rank_counts(pairs)
     top = cov.top_parameters(ranking, n)
     names = [r[0] for r in top.select(cov.NAME).collect()]  # at most n names
-    checked = cov.coverage_check(df, top, n)
+    checked = cov.coverage_check(pairs, top, n)
     full = checked.filter("coverage = 'full'")
-    counts = cov.coverage_counts(df, top, full)
+    counts = pairs.filter(pairs[cov.NAME].isin(names)).join(
+        full.select("location_id"), "location_id", "left_semi"
+    )
     return {
         "ranking": ranking,
         "top": top,

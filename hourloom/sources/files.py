@@ -54,20 +54,17 @@ def rows_per_file(df: DataFrame) -> DataFrame:
 
 
 def write_reconciled(
-    df: DataFrame, path: str, fmt: str = "parquet", expected_rows: int | None = None,
-    single_file: bool = False,
+    df: DataFrame, path: str, fmt: str = "parquet", expected_rows: int | None = None
 ) -> int:
     """Write and return the number of rows written; fail when it is not ``expected_rows``.
 
-    Rows are counted while they are written, not in a second pass. ``single_file`` funnels the
-    result through one task and is meant for exports a person opens.
+    Rows are counted while they are written, not in a second pass. The result is a folder of
+    part files, one per task, each with its header in the case of CSV.
     """
     if fmt not in _READERS:
         raise ValueError(f"format must be one of {_READERS}")
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("n"))
-    if single_file:
-        out = out.coalesce(1)
     writer = out.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
@@ -81,14 +78,13 @@ def write_reconciled(
 def concat_to(
     spark: SparkSession, paths: Sequence[str], path: str, fmt: str = "parquet",
     out_fmt: str | None = None, schema: T.StructType | None = None, skip_corrupt: bool = False,
-    single_file: bool = False,
 ) -> str | None:
     """Concatenate files into ``path`` and check that no row was lost; None for no input."""
     df = concat_files(spark, paths, fmt, schema, skip_corrupt)
     if df is None:
         return None
     expected = rows_per_file(df).agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
-    write_reconciled(df, path, out_fmt or fmt, expected, single_file)
+    write_reconciled(df, path, out_fmt or fmt, expected)
     return path
 
 

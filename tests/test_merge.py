@@ -109,3 +109,22 @@ def test_stream_upsert(spark, tmp_path):
     # a new checkpoint reads everything again; files of both batches meet, the newest row wins
     h.stream_upsert(spark, landing, target, DAILY, str(tmp_path / "check2"), on_duplicate="latest").awaitTermination()
     assert rows(h.read_table(spark, target, DAILY), "id", "v", "ingested_at", "updated_at") == got
+
+
+def test_crowded_keys_pass_by_the_join(spark):
+    target = make(spark, [("a", 1.0, "t"), ("b", 1.0, "t")], OLD)
+    staged = make(spark, [("n", float(i), "s") for i in range(5)] + [("b", 2.0, "s"), ("m", 1.0, "s"), ("m", 2.0, "s")], NEW)
+    want = rows(h.merge_changes(target, staged, ["id"]))
+    assert len(want) == 9
+    for limit in (1, 2, 4):
+        assert rows(h.merge_changes(target, staged, ["id"], hot_rows=limit)) == want
+    crowded = make(spark, [("a", float(i), "s") for i in range(5)], NEW)
+    with pytest.raises(Exception, match="several staged rows"):
+        h.merge_changes(target, crowded, ["id"], hot_rows=2).collect()
+
+
+@pytest.mark.parametrize("null_key", [False, True])
+def test_required_keys_give_the_same_result(spark, null_key):
+    target = make(spark, [("a", 1.0, "t"), ("b", 1.0, "t")] + [(None, 1.0, "t")] * null_key, OLD)
+    staged = make(spark, [("b", 2.0, "s"), ("c", 1.0, "s")] + [(None, 2.0, "s")] * null_key, NEW)
+    assert rows(h.merge_changes(target, staged, ["id"], keys_required=True)) == rows(h.merge_changes(target, staged, ["id"]))

@@ -34,15 +34,13 @@ def test_reconciliation(spark, tmp_path):
     assert files.write_reconciled(df, str(tmp_path / "r"), expected_rows=10) == 10
     with pytest.raises(ValueError, match="expected 11"):
         files.write_reconciled(df, str(tmp_path / "s"), expected_rows=11)
-    files.write_reconciled(df, str(tmp_path / "one"), "csv", single_file=True)
-    assert len(list((tmp_path / "one").glob("*.csv"))) == 1
 
 
 def test_csv(spark, tmp_path):
     for name, text in (("a", "k,v\n1,x\n2,y\n"), ("b", "k,v\n3,z\n")):
         (tmp_path / f"{name}.csv").write_text(text)
     both = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
-    out = files.concat_to(spark, both, str(tmp_path / "out"), "csv", single_file=True)
+    out = files.concat_to(spark, both, str(tmp_path / "out"), "csv")
     assert next((tmp_path / "out").glob("*.csv")).read_text().splitlines()[0] == "k,v"
     assert rows(files.concat_files(spark, [out], "csv", "k int, v string")) == [(1, "x"), (2, "y"), (3, "z")]
     (tmp_path / "c.csv").write_text("v,k\nx,1\n")

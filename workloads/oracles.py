@@ -245,8 +245,9 @@ _long = " UNION ALL ".join(
     for s in THREE
 )
 ORACLES["unpivot_values"] = f"{MANY} SELECT location_id, datetimeto_utc, sensor_name, value FROM ({_long}) u"
+# means over whole millionths: a mean of doubles changes in its last digits with the order of the rows
 _means = f"""{MANY}, means AS (
-    SELECT location_id, sensor_name, round(avg(value), 6) AS avg_val FROM ({_long}) u WHERE segment_tier = 'gold' GROUP BY 1, 2)"""
+    SELECT location_id, sensor_name, avg(CAST(round(value * 1000000) AS BIGINT)) / 1000000 AS avg_val FROM ({_long}) u WHERE segment_tier = 'gold' GROUP BY 1, 2)"""
 ORACLES["mean_by_parameter"] = f"{_means} SELECT * FROM means"
 ORACLES["average_ranking_top20"] = f"""{_means}
     SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY sensor_name ORDER BY avg_val DESC, location_id) AS INTEGER) AS rank FROM means) r

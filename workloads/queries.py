@@ -260,16 +260,21 @@ def unpivot_values(spark, sf):
     return h.unpivot_values(a.many_seg(spark, sf), list(a.THREE), ("location_id", "datetimeto_utc"))
 
 
+def _exact_means(spark, sf):
+    """Means over whole millionths: sums of whole numbers do not depend on the order of the rows."""
+    seg = a.many_seg(spark, sf)
+    whole = seg.withColumns({c: F.round(F.col(c) * 1_000_000).cast("bigint") for c in a.THREE})
+    return h.mean_by_parameter(whole, list(a.THREE)).withColumn("avg_val", F.col("avg_val") / 1_000_000)
+
+
 @query
 def mean_by_parameter(spark, sf):
-    means = h.mean_by_parameter(a.many_seg(spark, sf), list(a.THREE))
-    return means.withColumn("avg_val", F.round("avg_val", 6))
+    return _exact_means(spark, sf)
 
 
 @query
 def average_ranking_top20(spark, sf):
-    means = h.mean_by_parameter(a.many_seg(spark, sf), list(a.THREE))
-    return h.rank_by_average(means.withColumn("avg_val", F.round("avg_val", 6)))
+    return h.rank_by_average(_exact_means(spark, sf))
 
 
 @query
@@ -500,10 +505,10 @@ def upsert_table(spark, sf):
 @query
 def stream_upsert(spark, sf):
     landing, target = a.fresh_dir(spark, "landing"), a.fresh_dir(spark, "orders")
-    a.loaded_orders(spark, sf).coalesce(1).write.mode("append").parquet(landing)
+    a.loaded_orders(spark, sf).write.mode("append").parquet(landing)
     check = a.fresh_dir(spark, "check")
     h.stream_upsert(spark, landing, target, a.ORDERS, check).awaitTermination()
-    a.staged_orders(spark, sf).coalesce(1).write.mode("append").parquet(landing)
+    a.staged_orders(spark, sf).write.mode("append").parquet(landing)
     h.stream_upsert(spark, landing, target, a.ORDERS, check).awaitTermination()
     return wall(h.read_table(spark, target, a.ORDERS))
 
