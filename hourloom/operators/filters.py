@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import EXCLUDED_SENSORS
+
 
 def active_between(
     df: DataFrame, first_col: str, last_col: str, date_from=None, date_to=None
@@ -25,6 +27,11 @@ def exclude_ids(df: DataFrame, ids: DataFrame, col: str, id_col: str | None = No
     return df.join(listed, F.col(col) == F.col("_listed"), "left_anti")
 
 
+def exclude_banned(df: DataFrame, col: str, ids: Sequence[str] = EXCLUDED_SENSORS) -> DataFrame:
+    """The same for a short fixed list, as a filter that reaches the scan; a NULL id is kept."""
+    return df.filter(F.col(col).isNull() | ~F.col(col).isin(*ids))
+
+
 def in_bbox(
     df: DataFrame, lon_col: str, lat_col: str, x1: float, y1: float, x2: float, y2: float
 ) -> DataFrame:

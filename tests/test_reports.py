@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import hourloom as h
 from hourloom.operators.enrich import sensors_with_dates
+from hourloom.operators.filters import exclude_banned
 from hourloom.operators.quality import check_constraints
 from hourloom.plans.reports import parameter_report, segment_report, split_report
 from hourloom.specs import SPECS
@@ -126,6 +127,8 @@ def test_filters(spark):
     assert h.active_between(df, "f", "l").count() == 3
     ids = spark.createDataFrame([("a",), (None,)], "x string")
     assert rows(h.exclude_ids(df, ids, "id", "x"), "id") == [("b",), ("c",)]
+    banned = spark.createDataFrame([("9593",), ("1",), (None,)], "sensor_id string")
+    assert rows(exclude_banned(banned, "sensor_id")) == [("1",), (None,)]
     box = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0), (1.1, 1.0)], "lon double, lat double")
     assert h.in_bbox(box, "lon", "lat", 0.0, 0.0, 1.0, 1.0).count() == 2
 

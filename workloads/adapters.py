@@ -258,8 +258,8 @@ def run_logs(spark, sf) -> DataFrame:
     """Documents as run logs: a line is an attempt, a word holding a digit an error, others files."""
     def words(line):
         return F.struct(
-            F.regexp_extract_all(line, F.lit("[^ ]*[0-9][^ ]*"), F.lit(0)).alias("bad"),
-            F.regexp_extract_all(line, F.lit("(?<![^ ])[^ 0-9]+(?![^ ])"), F.lit(0)).alias("good"),
+            F.regexp_extract_all(line, F.lit("(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"), F.lit(0)).alias("bad"),
+            F.regexp_extract_all(line, F.lit("(?<![^ ])[^ 0-9]++(?![^ ])"), F.lit(0)).alias("good"),
         )
 
     def attempt(a, i):
