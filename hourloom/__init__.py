@@ -15,7 +15,7 @@ from .operators.flatten import (
 from .operators.grid import dense_grid, pivot_readings, tag_concurrency
 from .operators.incremental import changed_days, overwrite_days, refresh_days, rows_of_days
 from .operators.logs import run_log_errors, run_log_summary
-from .operators.merge import merge_changes, read_table, upsert_table
+from .operators.merge import merge_changes, read_table, upsert_files, upsert_table
 from .operators.quality import (
     check_accepted, check_at_least_one, check_constraints, check_freshness, check_not_null,
     check_relationship, check_unique,

@@ -151,6 +151,22 @@ def upsert_table(
     return True
 
 
+def upsert_files(
+    spark: SparkSession, path: str, landed: str, spec: TableSpec, on_duplicate: str = "raise",
+    clear: bool = True, batch: str | None = None,
+) -> bool:
+    """Merge the parquet files that have landed, then remove exactly those files."""
+    if not paths.has_files(spark, landed):
+        return False
+    staged = spark.read.schema(spec.schema).parquet(landed)
+    merged_files = staged.inputFiles()  # names only; files that land meanwhile stay
+    merged = upsert_table(spark, path, staged, spec, on_duplicate, batch)
+    if clear:
+        for name in merged_files:
+            paths.delete(spark, name)
+    return merged
+
+
 def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """The stored columns in declared order, without the physical day column."""
     return spark.read.parquet(path).select(*spec.columns)

@@ -56,12 +56,37 @@ def segment_boundaries(seg: DataFrame, entity: str = ENTITY, ts: str = TS) -> Da
     )
 
 
-def overlapping_segments(bounds: DataFrame, entity: str = ENTITY) -> DataFrame:
-    """Segments that start before the previous one of their location has ended. Empty is good."""
-    w = Window.partitionBy(entity).orderBy("segment_start", "segment_end", "segment_id")
+def overlapping_segments(
+    bounds: DataFrame, entity: str = ENTITY, chunk: str | None = None
+) -> DataFrame:
+    """Segments that start before the previous one of their location has ended. Empty is good.
+
+    Segments of a location are few. For other intervals, of which one entity may hold very many,
+    ``chunk`` (``"month"``) compares inside (entity, chunk of the start) and takes the interval
+    before the first one of a chunk from a summary row per chunk.
+    """
+    by = ["segment_start", "segment_end", "segment_id"]
+    previous = F.lag("segment_end")
+    if chunk is None:
+        before = bounds.withColumn("prev_segment_end", previous.over(Window.partitionBy(entity).orderBy(*by)))
+    else:
+        parted = bounds.withColumn("_chunk", F.date_trunc(chunk, "segment_start"))
+        inside = Window.partitionBy(entity, "_chunk").orderBy(*by)
+        last = F.max_by("segment_end", F.struct(*by))
+        summary = (
+            parted.groupBy(entity, "_chunk").agg(last.alias("_last"))
+            .withColumn("_carry", F.lag("_last").over(Window.partitionBy(entity).orderBy("_chunk")))
+            .drop("_last")
+        )
+        first = F.row_number().over(inside) == 1
+        before = (
+            parted.select("*", previous.over(inside).alias("_prev"), first.alias("_opens"))
+            .join(summary, [entity, "_chunk"])
+            .withColumn("prev_segment_end", F.when(F.col("_opens"), F.col("_carry")).otherwise(F.col("_prev")))
+            .select(*bounds.columns, "prev_segment_end")
+        )
     return (
-        bounds.withColumn("prev_segment_end", F.lag("segment_end").over(w))
-        .withColumn(
+        before.withColumn(
             "hours_since_prev_segment_end",
             hours_between(F.col("segment_start"), F.col("prev_segment_end")),
         )

@@ -86,26 +86,31 @@ STANDARD_COLUMNS = (
 )
 
 
-def refresh_staged_measurements(spark: SparkSession, raw: DataFrame, path: str, as_of, full=False):
+def refresh_staged_measurements(
+    spark: SparkSession, raw: DataFrame, path: str, as_of, full: bool = False, grain: str = "day"
+) -> None:
     refresh_days(
         spark, raw, path, stage_measurements, "period_datetimeTo_utc", as_of,
-        target_ts_col="datetimeto_utc", sort_cols=("sensor_id",), full=full,
+        target_ts_col="datetimeto_utc", sort_cols=("sensor_id",), full=full, grain=grain,
     )
 
 
-def refresh_staged_weather(spark: SparkSession, raw: DataFrame, path: str, as_of, full=False):
+def refresh_staged_weather(
+    spark: SparkSession, raw: DataFrame, path: str, as_of, full: bool = False, grain: str = "day"
+) -> None:
     refresh_days(
-        spark, raw, path, stage_weather, "datetimeto_utc", as_of, sort_cols=("location_id",), full=full,
+        spark, raw, path, stage_weather, "datetimeto_utc", as_of, sort_cols=("location_id",),
+        full=full, grain=grain,
     )
 
 
 def refresh_standardized(
     spark: SparkSession, staged: DataFrame, sensors: DataFrame, locations: DataFrame, path: str,
-    as_of, full=False,
-):
+    as_of, full: bool = False, grain: str = "day",
+) -> None:
     """The joined table looks back ten days at its own rows, the staged ones fifteen."""
     refresh_days(
         spark, staged, path, lambda rows: standardize(rows, sensors, locations), "datetimeto_utc",
         as_of, target_lookback=ENRICHED_TARGET_LOOKBACK_DAYS,
-        sort_cols=("location_id", "sensor_name"), full=full,
+        sort_cols=("location_id", "sensor_name"), full=full, grain=grain,
     )

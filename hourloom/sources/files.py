@@ -118,14 +118,19 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def read_json_documents(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, results: str | None = None
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, results: str | None = None,
+    lines: bool = False,
 ) -> DataFrame:
-    """Landed JSON with a declared schema; ``results`` names an array of records to unfold."""
+    """Landed JSON with a declared schema; ``results`` names an array of records to unfold.
+
+    A file is one document, as an API answers, or one document per line when ``lines`` is set;
+    only the latter can be split over tasks.
+    """
+    wanted = schema
     if results:
-        wrapped = T.StructType([T.StructField(results, T.ArrayType(schema))])
-        docs = spark.read.schema(wrapped).option("multiLine", True).json(path)
-        return docs.select(F.inline(results))
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+        wanted = T.StructType([T.StructField(results, T.ArrayType(schema))])
+    docs = spark.read.schema(wanted).option("multiLine", not lines).json(path)
+    return docs.select(F.inline(results)) if results else docs
 
 
 def read_run_logs(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

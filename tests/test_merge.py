@@ -128,3 +128,24 @@ def test_required_keys_give_the_same_result(spark, null_key):
     target = make(spark, [("a", 1.0, "t"), ("b", 1.0, "t")] + [(None, 1.0, "t")] * null_key, OLD)
     staged = make(spark, [("b", 2.0, "s"), ("c", 1.0, "s")] + [(None, 2.0, "s")] * null_key, NEW)
     assert rows(h.merge_changes(target, staged, ["id"], keys_required=True)) == rows(h.merge_changes(target, staged, ["id"]))
+
+
+def test_landed_files_are_merged_and_removed(spark, tmp_path):
+    path, landing = str(tmp_path / "t"), tmp_path / "landing"
+    assert not h.upsert_files(spark, path, str(landing), SPEC)
+    for n, (data, at) in enumerate((([("a", 1.0, "x")], OLD), ([("a", 2.0, "x"), ("b", 1.0, "x")], NEW))):
+        make(spark, data, at).write.mode("append").parquet(str(landing))
+        assert h.upsert_files(spark, path, str(landing), SPEC, clear=n == 0)
+        assert (len(list(landing.glob("*.parquet"))) == 0) == (n == 0)
+    assert rows(h.read_table(spark, path, SPEC), "id", "v", "ingested_at") == [("a", 2.0, OLD), ("b", 1.0, NEW)]
+
+
+def test_stream_clears_what_it_has_merged(spark, tmp_path):
+    landing, target, check = tmp_path / "landing", str(tmp_path / "target"), str(tmp_path / "check")
+    first = None
+    for d in (1, 2, 3):
+        daily(spark, [("a", d, 0, 1.0)], OLD).coalesce(1).write.mode("append").parquet(str(landing))
+        first = first or [p.name for p in landing.glob("*.parquet")]
+        h.stream_upsert(spark, str(landing), target, DAILY, check, clear_landed=True, files_per_batch=1).awaitTermination()
+    assert h.read_table(spark, target, DAILY).count() == 3
+    assert not any((landing / n).exists() for n in first)

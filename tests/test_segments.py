@@ -117,6 +117,20 @@ def test_segments_do_not_overlap_and_overlap_is_found(spark):
         "location_id string, segment_id string, segments_num int, segment_start timestamp_ntz, segment_end timestamp_ntz",
     )
     assert rows(h.overlapping_segments(bad), "segment_id", "hours_since_prev_segment_end") == [("a_S2", -2)]
+    for chunk in ("hour", "day"):
+        assert rows(h.overlapping_segments(bad, chunk=chunk)) == rows(h.overlapping_segments(bad))
+
+
+def test_overlap_by_chunk_is_the_same(spark):
+    ids = spark.range(400).select(
+        (F.col("id") % 3).cast("string").alias("location_id"), F.col("id").alias("segment_id"),
+        (F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), ((F.col("id") * 37) % 401).cast("int"))).alias("segment_start"),
+    )
+    bounds = ids.withColumn("segment_end", F.col("segment_start") + F.make_dt_interval(F.lit(0), (F.col("segment_id") % 5).cast("int")))
+    want = rows(h.overlapping_segments(bounds))
+    assert len(want) > 50
+    for chunk in ("day", "week", "month"):
+        assert rows(h.overlapping_segments(bounds, chunk=chunk)) == want
 
 
 def test_one_shuffle_for_the_whole_chain(spark):

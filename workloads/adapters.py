@@ -136,6 +136,7 @@ def staged_orders(spark, sf) -> DataFrame:
     )
 
 
+SHIPPED_AS_OF, SHIPPED_AT = "2001-10-30 00:00:00", "2001-10-20 00:00:00"
 AS_OF, LOADED_AT = "2001-07-25 00:00:00", "2001-07-20 00:00:00"
 
 

@@ -22,7 +22,7 @@ from hourloom.operators.logs import run_log_errors, run_log_summary
 from hourloom.operators.quality import check_accepted, check_constraints
 from hourloom.plans import city, ingest, reports, staging
 from hourloom.sources import files
-from hourloom.specs import SPECS, TableSpec, schema_of
+from hourloom.specs import LOCATION_JSON, LOCATIONS, SPECS, TableSpec, schema_of
 
 from . import adapters as a
 from .adapters import NTZ, table, wall
@@ -186,7 +186,7 @@ def overlap_of_orders(spark, sf):
         F.col("o_custkey").alias("location_id"), F.col("o_orderkey").alias("segment_id"),
         F.col("o_orderdate").alias("segment_start"), "segment_end",
     )
-    return h.overlapping_segments(bounds)
+    return h.overlapping_segments(bounds, chunk="month")
 
 
 # Segment reports ------------------------------------------------------------------------------
@@ -547,6 +547,45 @@ def incremental_overwrite(spark, sf):
     return spark.read.parquet(path).drop("month")
 
 
+@query
+def refresh_measurements(spark, sf):
+    """Raw to staged to standardised, loaded in full once and then refreshed by the changed months."""
+    staged, joined = a.fresh_dir(spark, "staged"), a.fresh_dir(spark, "joined")
+    raw = a.raw_measurements(spark, sf)
+    locations = staging.stage_locations(ingest.ingest_locations(a.location_docs(spark, sf), "2024-02-01 00:00:00"))
+    sensors = staging.stage_sensors(a.raw_sensors(spark, sf))
+    for rows in (raw.filter(F.col("updated_at") <= F.lit(a.SHIPPED_AT).cast("timestamp")), raw):
+        staging.refresh_staged_measurements(spark, rows, staged, a.SHIPPED_AS_OF, grain="month")
+        staging.refresh_standardized(
+            spark, spark.read.parquet(staged), sensors, locations, joined, a.SHIPPED_AS_OF, grain="month"
+        )
+    return wall(spark.read.parquet(joined)).select(
+        "sensor_id", "datetimeto_utc", "value", "parameter_id", "location_id", "location_name", "updated_at"
+    )
+
+
+@query
+def ingest_upsert_locations(spark, sf):
+    """Location documents normalised and merged, then again with some of them renamed."""
+    path = a.fresh_dir(spark, "locations")
+    docs = a.location_docs(spark, sf)
+    renamed = docs.withColumn(
+        "name", F.when(F.col("provider.name") == "BUILDING", F.concat("name", F.lit("*"))).otherwise(F.col("name"))
+    )
+    h.upsert_table(spark, path, ingest.ingest_locations(docs, "2024-02-01 00:00:00"), LOCATIONS)
+    h.upsert_table(spark, path, ingest.ingest_locations(renamed, "2024-02-02 00:00:00"), LOCATIONS)
+    return wall(h.read_table(spark, path, LOCATIONS)).select("id", "name", "ingested_at", "updated_at", "refreshed_at")
+
+
+@query
+def json_documents(spark, sf):
+    """Location documents written as JSON lines, read with the declared shape and normalised."""
+    path = a.fresh_dir(spark, "json")
+    a.location_docs(spark, sf).withColumn("distance", F.col("distance").try_cast("double")).write.json(path)
+    docs = files.read_json_documents(spark, path, LOCATION_JSON, lines=True)
+    return wall(ingest.ingest_locations(docs, "2024-02-01 00:00:00"))
+
+
 # Normalisation and flattening -----------------------------------------------------------------
 MIXED = TableSpec(
     "mixed",
