@@ -22,19 +22,21 @@ def day_of(ts: str | Column, grain: str = DAY) -> Column:
     return F.to_date(c) if grain == DAY else F.to_date(F.date_trunc(grain, c))
 
 
-def _recent(df: DataFrame, ts_col: str, as_of, days: int) -> DataFrame:
-    kind = df.schema[ts_col].dataType
-    bound = F.lit(as_of).cast(kind) - F.expr(f"interval {days} day")
-    return df.filter(F.col(ts_col) >= bound)
+def _recent(df: DataFrame, ts_col: str, as_of, days: int, grain: str = DAY) -> DataFrame:
+    """Rows of the last days. On a table stored by ``grain`` older partitions are not read."""
+    bound = F.lit(as_of).cast(df.schema[ts_col].dataType) - F.expr(f"interval {days} day")
+    recent = df.filter(F.col(ts_col) >= bound)
+    return recent.filter(F.col(grain) >= day_of(bound, grain)) if grain in df.columns else recent
 
 
 def watermark(
-    target: DataFrame, ts_col: str, updated_col: str, as_of, lookback: int = TARGET_LOOKBACK_DAYS
+    target: DataFrame, ts_col: str, updated_col: str, as_of, lookback: int = TARGET_LOOKBACK_DAYS,
+    grain: str = DAY,
 ) -> DataFrame:
     """One row: the newest update among recent target rows, or a date before all data."""
     kind = target.schema[updated_col].dataType
     newest = F.max(updated_col).alias("watermark")
-    return _recent(target, ts_col, as_of, lookback).agg(newest).select(
+    return _recent(target, ts_col, as_of, lookback, grain).agg(newest).select(
         F.coalesce("watermark", F.lit(EPOCH_WATERMARK).cast(kind)).alias("watermark")
     )
 
@@ -45,9 +47,9 @@ def changed_days(
     target_lookback: int = TARGET_LOOKBACK_DAYS, grain: str = DAY,
 ) -> DataFrame:
     """Days holding a recent source row updated at or after the target's watermark."""
-    mark = watermark(target, target_ts_col or ts_col, updated_col, as_of, target_lookback)
+    mark = watermark(target, target_ts_col or ts_col, updated_col, as_of, target_lookback, grain)
     return (
-        _recent(source, ts_col, as_of, source_lookback)
+        _recent(source, ts_col, as_of, source_lookback, grain)
         .filter(F.col(updated_col) >= mark.scalar())
         .select(day_of(ts_col, grain).alias(grain))
         .distinct()

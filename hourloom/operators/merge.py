@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import AUDIT_COLUMNS
 from ..session import shared_dir
@@ -106,6 +107,25 @@ def merge_changes(
     return joined if loose is None else joined.unionByName(loose)
 
 
+def _touched(target: DataFrame, staged: DataFrame, spec: TableSpec) -> DataFrame:
+    """Target rows of the partitions a batch touches, as a partition filter.
+
+    The dates are looked up first: there is at most one per calendar day, and Spark prunes at run
+    time only when it expects the batch to be selective, which it can not know of landed files.
+    """
+    days = [r[0] for r in staged.select(day_of(spec.time_col, spec.grain)).distinct().collect()]
+    part = F.col(spec.grain)
+    dated = part.isin([d for d in days if d is not None])
+    return target.filter(dated | part.isNull() if None in days else dated)
+
+
+def stored_schema(spec: TableSpec) -> T.StructType:
+    """Columns as stored: those declared, then the date a row is stored under."""
+    if not spec.time_col:
+        return spec.schema
+    return T.StructType([*spec.schema.fields, T.StructField(spec.grain, T.DateType())])
+
+
 def upsert_table(
     spark: SparkSession, path: str, staged: DataFrame, spec: TableSpec,
     on_duplicate: str = "raise", batch: str | None = None, scratch: str | None = None,
@@ -124,13 +144,11 @@ def upsert_table(
             return False
         staged = staged.select(*spec.columns)
         if paths.has_files(spark, path):
-            target = spark.read.parquet(path)
+            target = spark.read.schema(stored_schema(spec)).parquet(path)
         else:
-            target = spark.createDataFrame([], spec.schema)
-        if spec.time_col and spec.grain in target.columns:
-            # at most one row per calendar day, so this broadcast is bounded
-            days = F.broadcast(staged.select(day_of(spec.time_col, spec.grain).alias("_day")).distinct())
-            target = target.join(days, F.col(spec.grain).eqNullSafe(F.col("_day")), "left_semi")
+            target = spark.createDataFrame([], stored_schema(spec))
+        if spec.time_col:
+            target = _touched(target, staged, spec)
         merged = merge_changes(
             target.select(*spec.columns), staged, spec.keys, on_duplicate=on_duplicate,
             keys_required=set(spec.keys) <= set(spec.required),
@@ -139,7 +157,7 @@ def upsert_table(
             overwrite_days(merged, work, spec.time_col, spec.sort_cols, spec.grain)
         else:
             merged.write.mode("overwrite").parquet(work)
-    done = spark.read.parquet(work)
+    done = spark.read.schema(stored_schema(spec)).parquet(work)
     if spec.time_col:
         done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             spec.grain
@@ -169,4 +187,4 @@ def upsert_files(
 
 def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """The stored columns in declared order, without the physical day column."""
-    return spark.read.parquet(path).select(*spec.columns)
+    return spark.read.schema(stored_schema(spec)).parquet(path).select(*spec.columns)

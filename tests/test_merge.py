@@ -149,3 +149,27 @@ def test_stream_clears_what_it_has_merged(spark, tmp_path):
         h.stream_upsert(spark, str(landing), target, DAILY, check, clear_landed=True, files_per_batch=1).awaitTermination()
     assert h.read_table(spark, target, DAILY).count() == 3
     assert not any((landing / n).exists() for n in first)
+
+
+def test_other_days_are_pruned(spark, tmp_path):
+    from hourloom.operators.merge import _touched
+
+    path = str(tmp_path / "t")
+    h.upsert_table(spark, path, daily(spark, [("a", d, 0, 1.0) for d in range(1, 9)], OLD), DAILY)
+    got = _touched(spark.read.parquet(path), daily(spark, [("x", 2, 0, 1.0)], NEW), DAILY)
+    assert rows(got.select("id", F.dayofmonth("at"))) == [("a", 2)]
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "2024-01-02" in text[text.index("PartitionFilters"):].split("PushedFilters")[0]
+
+
+def test_rows_without_a_time_are_kept(spark, tmp_path):
+    loose = TableSpec("loose", schema_of("id! string, at utc, v double, ingested_at! utc, updated_at! utc, refreshed_at! utc"), ("id", "at"), time_col="at")
+
+    def make_loose(data, at):
+        return spark.createDataFrame([(i, t, v, at, at, at) for i, t, v in data], loose.schema)
+
+    path = str(tmp_path / "t")
+    h.upsert_table(spark, path, make_loose([("a", None, 1.0), ("a", OLD, 1.0)], OLD), loose)
+    h.upsert_table(spark, path, make_loose([("a", OLD, 2.0)], NEW), loose)
+    h.upsert_table(spark, path, make_loose([("a", None, 3.0)], NEW), loose)
+    assert rows(h.read_table(spark, path, loose), "id", "at", "v") == [("a", None, 1.0), ("a", None, 3.0), ("a", OLD, 2.0)]

@@ -23,10 +23,16 @@ CITY_LOCATIONS, MANY_LOCATIONS = 2, 64
 MANY_TEST_IDS = ("1", "5", "9", "40", "77")
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     for key in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
         spark.conf.set(key, SETTINGS[key])
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:  # footers are read once; later scans declare the schema
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
