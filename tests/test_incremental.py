@@ -78,7 +78,7 @@ def test_stored_by_day_is_pruned(spark, tmp_path):
     assert rows(got, "v") == [(28,), (29,), (30,)]
     # looking for changes reads only the partitions of the look-back, in source and target
     text = h.changed_days(stored, stored, "ts", AS_OF)._jdf.queryExecution().executedPlan().toString()
-    assert text.count("PartitionFilters: [isnotnull(day") == text.count("FileScan") == 2
+    assert text.count("PartitionFilters: [isnotnull(day") == text.count("FileScan") >= 2
 
 
 def test_grain(spark, tmp_path):
