@@ -3,12 +3,12 @@
 from .operators.calendar import hourly_spine, periods, periods_of, spine_of
 from .operators.clean import canonical_sort, clean, conform, sanitize, stamp_audit
 from .operators.coverage import (
-    coverage_check, coverage_counts, coverage_matrix, coverage_share, profile, rank_parameters,
-    rarest_parameter, top_parameters,
+    coverage_check, coverage_counts, coverage_matrix, coverage_share, profile, rank_counts,
+    rank_parameters, rarest_parameter, top_parameters,
 )
 from .operators.dedupe import keep_latest
 from .operators.enrich import Dim, enrich, sensors_with_dates, wide_measurements
-from .operators.filters import active_between, exclude_ids, in_bbox, is_member
+from .operators.filters import active_between, exclude_banned, exclude_ids, in_bbox, is_member
 from .operators.flatten import (
     array_to_columns, explode_children, explode_parallel_arrays, flatten_structs,
 )
@@ -28,5 +28,9 @@ from .operators.reports import (
 from .operators.segments import segment, segment_by_series, shatter, track_perfect_hours
 from .operators.split import monthly_perfect_hours, split_locations, split_report, split_shares
 from .session import build_session
+from .sources.files import (
+    concat_files, concat_to, export_query, load_table, read_json_documents, read_run_logs, read_typed,
+    run_query, write_parquet, write_reconciled,
+)
 from .specs import LOCATIONS, MEASUREMENTS, SENSORS, SPECS, WEATHER, TableSpec
 from .streaming.upsert import stream_upsert

@@ -142,6 +142,7 @@ def upsert_table(
     if not paths.is_complete(spark, work):
         if staged.isEmpty():
             return False
+        paths.delete(spark, work)  # what an unfinished attempt may have left
         staged = staged.select(*spec.columns)
         if paths.has_files(spark, path):
             target = spark.read.schema(stored_schema(spec)).parquet(path)
