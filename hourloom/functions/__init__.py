@@ -5,6 +5,7 @@ from .columns import (
     hours_between,
     instant,
     local_to_utc,
+    moment,
     nan_to_null,
     segment_tier,
     to_double,
@@ -15,5 +16,5 @@ from .columns import (
 
 __all__ = [
     "blank_to_null", "clean_range", "density_band", "hours_between", "instant", "local_to_utc",
-    "nan_to_null", "segment_tier", "to_double", "to_long", "truncate", "wall_clock",
+    "moment", "nan_to_null", "segment_tier", "to_double", "to_long", "truncate", "wall_clock",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +49,21 @@ def to_long(c: Column, source: T.DataType | None = None) -> Column:
     return whole
 
 
+def moment(value, kind: T.DataType) -> Column:
+    """A point in time given by the caller: text, a datetime, or a column.
+
+    A datetime goes in as text. As a literal it would be read in the time zone of the Python
+    process, not of the session.
+    """
+    if isinstance(value, Column):
+        return value.cast(kind)
+    if isinstance(value, dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        value = value.isoformat(sep=" ")
+    return F.lit(value).cast(kind)
+
+
 def instant(c: Column, strict: bool = True) -> Column:
     """A moment in time. Text without an offset is read in the session zone, which is UTC."""
     return c.cast("timestamp") if strict else c.try_cast("timestamp")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import moment
+
 _NTZ = T.TimestampNTZType()
 
 
@@ -15,7 +17,7 @@ def hourly_spine(
 ) -> DataFrame:
     """Every step from ``start`` to ``end``, both included. ``end`` is explicit so reruns agree."""
     bounds = spark.range(1).select(
-        F.lit(start).cast(kind).alias("a"), F.lit(end).cast(kind).alias("b")
+        moment(start, kind).alias("a"), moment(end, kind).alias("b")
     )
     return bounds.select(F.explode(F.sequence("a", "b", F.expr(f"interval {step}"))).alias(col))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import AUDIT_COLUMNS
-from ..functions import blank_to_null, instant, nan_to_null, to_double, to_long, wall_clock
+from ..functions import blank_to_null, instant, moment, nan_to_null, to_double, to_long, wall_clock
 from ..specs import TableSpec
 
 
@@ -56,8 +56,8 @@ def stamp_audit(df: DataFrame, batch_ts: dt.datetime | str | Column) -> DataFram
     present = [c for c in AUDIT_COLUMNS if c in df.columns]
     if present:
         raise ValueError(f"already stamped: {present}")
-    at = batch_ts if isinstance(batch_ts, Column) else F.lit(batch_ts)
-    return df.withColumns({c: at.cast("timestamp") for c in AUDIT_COLUMNS})
+    at = moment(batch_ts, T.TimestampType())
+    return df.withColumns({c: at for c in AUDIT_COLUMNS})
 
 
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:

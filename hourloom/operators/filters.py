@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import EXCLUDED_SENSORS
+from ..functions import moment
 
 
 def active_between(
@@ -15,9 +16,9 @@ def active_between(
 ) -> DataFrame:
     """Entities whose [first, last] activity overlaps the asked period; either bound may be absent."""
     if date_from not in (None, ""):
-        df = df.filter(F.col(last_col) >= F.lit(date_from).cast(df.schema[last_col].dataType))
+        df = df.filter(F.col(last_col) >= moment(date_from, df.schema[last_col].dataType))
     if date_to not in (None, ""):
-        df = df.filter(F.col(first_col) <= F.lit(date_to).cast(df.schema[first_col].dataType))
+        df = df.filter(F.col(first_col) <= moment(date_to, df.schema[first_col].dataType))
     return df
 
 
@@ -40,7 +41,7 @@ def in_bbox(
 
 
 def since(df: DataFrame, ts_col: str, start) -> DataFrame:
-    return df.filter(F.col(ts_col) >= F.lit(start).cast(df.schema[ts_col].dataType))
+    return df.filter(F.col(ts_col) >= moment(start, df.schema[ts_col].dataType))
 
 
 def only_values(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import moment
 from .hot import HOT_ROWS, hot_groups, inside, outside
 
 ENTITY, TS, CONCURRENT = "location_id", "datetimeto_utc", "concurrent_sensors"
@@ -59,10 +60,6 @@ def pivot_readings(
     return out.select(*keys, *mapping, CONCURRENT)
 
 
-def _moment(value, kind) -> Column:
-    return (value if isinstance(value, Column) else F.lit(value)).cast(kind)
-
-
 def dense_grid(
     pivoted: DataFrame, start, end, entity: str = ENTITY, ts: str = TS,
     fill: Mapping[str, int] | None = None, step_hours: int = 1,
@@ -77,7 +74,7 @@ def dense_grid(
     """
     fill = {CONCURRENT: 0} if fill is None else fill
     kind = pivoted.schema[ts].dataType
-    first, last = _moment(start, kind), _moment(end, kind)
+    first, last = moment(start, kind), moment(end, kind)
     step = F.expr(f"interval {step_hours} hour")
     micros = 3_600_000_000 * step_hours
 

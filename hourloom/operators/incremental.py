@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import EPOCH_WATERMARK, SOURCE_LOOKBACK_DAYS, TARGET_LOOKBACK_DAYS
+from ..functions import moment
 from ..sources import paths
 
 DAY = "day"
@@ -24,7 +25,7 @@ def day_of(ts: str | Column, grain: str = DAY) -> Column:
 
 def _recent(df: DataFrame, ts_col: str, as_of, days: int, grain: str = DAY) -> DataFrame:
     """Rows of the last days. On a table stored by ``grain`` older partitions are not read."""
-    bound = F.lit(as_of).cast(df.schema[ts_col].dataType) - F.expr(f"interval {days} day")
+    bound = moment(as_of, df.schema[ts_col].dataType) - F.expr(f"interval {days} day")
     recent = df.filter(F.col(ts_col) >= bound)
     return recent.filter(F.col(grain) >= day_of(bound, grain)) if grain in df.columns else recent
 

@@ -7,8 +7,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import FRESHNESS_ERROR_HOURS, FRESHNESS_WARN_HOURS
+from ..functions import moment
 from ..specs import TableSpec
 
 
@@ -16,7 +18,7 @@ def check_unique(df: DataFrame, cols: str | Sequence[str], since=None, ts_col: s
     """Values (or combinations) that occur more than once, NULLs aside; optionally recent rows only."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     if since is not None:
-        df = df.filter(F.col(ts_col) >= F.lit(since).cast(df.schema[ts_col].dataType))
+        df = df.filter(F.col(ts_col) >= moment(since, df.schema[ts_col].dataType))
     known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
     return df.filter(known).groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
@@ -42,7 +44,7 @@ def check_freshness(
 ) -> DataFrame:
     """One row: age of the newest row and pass / warn / error. An empty table is an error."""
     newest = df.agg(F.max(col).alias("max_loaded_at"))
-    at = F.lit(as_of).cast("timestamp")
+    at = moment(as_of, T.TimestampType())
     age = (F.unix_micros(at) - F.unix_micros(F.col("max_loaded_at").cast("timestamp"))) / 3.6e9
     return newest.withColumn("age_hours", age).withColumn(
         "status",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..constants import (
     AVERAGE_RANK_LIMIT, DURATION_STEPS, GAP_RANGE_HOURS, HISTOGRAM_BINS, PERFECT_SENSORS,
 )
-from ..functions import density_band, hours_between
+from ..functions import density_band, hours_between, moment
 from .calendar import hours_covered
 from .grid import CONCURRENT, ENTITY, TS
 
@@ -172,9 +172,9 @@ def segment_timeline(
     """
     kind = seg.schema[ts].dataType
     if date_from is not None:
-        seg = seg.filter(F.col(ts) >= F.lit(date_from).cast(kind))
+        seg = seg.filter(F.col(ts) >= moment(date_from, kind))
     if date_to is not None:
-        seg = seg.filter(F.col(ts) < F.lit(date_to).cast(kind))
+        seg = seg.filter(F.col(ts) < moment(date_to, kind))
     one = gold(seg).groupBy(entity, "segment_id").agg(
         F.min("segment_start").alias("segment_start"),
         F.max("segment_total_hours").alias("segment_total_hours"),

@@ -145,3 +145,22 @@ def test_weather_documents(spark):
 def test_array_to_columns(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, [9.0]), (3, None)], "id int, a array<double>")
     assert rows(h.array_to_columns(df, "a", ["x", "y"])) == [(1, 1.0, 2.0), (2, 9.0, None), (3, None, None)]
+
+
+def test_moments_do_not_depend_on_the_process_zone(spark, monkeypatch):
+    import time
+    from pyspark.sql import types as T
+    from hourloom.functions import moment
+
+    aware = dt.datetime(2024, 1, 1, 9, tzinfo=dt.timezone(dt.timedelta(hours=9)))
+    given = [dt.datetime(2024, 1, 1), "2024-01-01 00:00:00", aware]
+    monkeypatch.setenv("TZ", "Asia/Tokyo")
+    time.tzset()
+    try:
+        columns = [moment(v, k).cast("string").alias(f"c{i}") for i, (v, k) in enumerate(
+            (v, k) for v in given for k in (T.TimestampNTZType(), T.TimestampType()))]
+        got = spark.range(1).select(*columns).first()
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert set(got) == {"2024-01-01 00:00:00"}
