@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourloom.llm import licenses, line_rules, pii
+from hourloom.llm import language_id, licenses, line_rules, packing, pii, sharding, url_filters
 from hourloom.llm.common import table
 
 
@@ -23,5 +23,50 @@ def op3_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_line_frequency, op3_pii_votes)}
-ORACLES: dict[str, str] = {}
+def op5_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen shards of nearly equal bytes; equal texts stay together."""
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
+def op6_dp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 1024 tokens cut by dynamic programming."""
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op10_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url; hosts named like advertising are listed."""
+    return url_filters.judge(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_license_scan, op2_line_frequency, op3_pii_votes, op5_lpt_shards, op6_dp_packing, op7_language_id, op10_filter_cascade)
+}
+
+ORACLES: dict[str, str] = {
+    "op10_filter_cascade": rf"""
+WITH parts AS (
+    SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages
+), ruled AS (
+    SELECT *, CASE
+        WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+        WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+        WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+        WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+    FROM parts
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN regexp_matches(host, '{url_filters.ADVERTISING}') THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+""",
+}
