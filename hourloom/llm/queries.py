@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourloom.llm import language_id, licenses, line_rules, packing, pii, sharding, url_filters
+from hourloom.llm import language_id, licenses, line_rules, ngram_join, packing, pii, sharding, url_filters
 from hourloom.llm.common import table
 
 
@@ -40,6 +40,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles have a Jaccard similarity of 0.85."""
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
 def op10_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of every page's url; hosts named like advertising are listed."""
     return url_filters.judge(table(spark, sf_dir, "pages"))
@@ -47,7 +52,7 @@ def op10_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_license_scan, op2_line_frequency, op3_pii_votes, op5_lpt_shards, op6_dp_packing, op7_language_id, op10_filter_cascade)
+    for f in (op1_license_scan, op2_line_frequency, op3_pii_votes, op5_lpt_shards, op6_dp_packing, op7_language_id, op8_ngram_join, op10_filter_cascade)
 }
 
 ORACLES: dict[str, str] = {
