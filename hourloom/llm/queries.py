@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourloom.llm import language_id, licenses, line_rules, ngram_join, packing, pii, sharding, url_filters
+from hourloom.llm import language_id, licenses, line_rules, ngram_join, packing, pii, repeats, sharding, url_filters
 from hourloom.llm.common import table
 
 
@@ -45,6 +45,11 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(table(spark, sf_dir, "documents"))
 
 
+def op9_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 100 bytes that stand earlier too."""
+    return repeats.strip(table(spark, sf_dir, "documents"))
+
+
 def op10_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of every page's url; hosts named like advertising are listed."""
     return url_filters.judge(table(spark, sf_dir, "pages"))
@@ -52,7 +57,17 @@ def op10_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_license_scan, op2_line_frequency, op3_pii_votes, op5_lpt_shards, op6_dp_packing, op7_language_id, op8_ngram_join, op10_filter_cascade)
+    for f in (
+        op1_license_scan,
+        op2_line_frequency,
+        op3_pii_votes,
+        op5_lpt_shards,
+        op6_dp_packing,
+        op7_language_id,
+        op8_ngram_join,
+        op9_repeat_removal,
+        op10_filter_cascade,
+    )
 }
 
 ORACLES: dict[str, str] = {
