@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourloom.llm import language_id, licenses, line_rules, ngram_join, packing, pii, repeats, sharding, url_filters
+from hourloom.llm import contamination, language_id, licenses, line_rules, ngram_join, packing, pii, repeats, sharding, url_filters
 from hourloom.llm.common import table
 
 
@@ -23,6 +23,11 @@ def op3_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
 
 
+def op4_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, be it with other parameters, and the item."""
+    return contamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen shards of nearly equal bytes; equal texts stay together."""
     return sharding.shards(table(spark, sf_dir, "documents"))
@@ -61,6 +66,7 @@ QUERIES = {
         op1_license_scan,
         op2_line_frequency,
         op3_pii_votes,
+        op4_template_windows,
         op5_lpt_shards,
         op6_dp_packing,
         op7_language_id,
