@@ -31,3 +31,25 @@ def has_files(spark: SparkSession, path: str) -> bool:
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _locate(spark, path)
     fs.delete(p, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, p = _locate(spark, path)
+    fs.create(p, True).close()
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders directly under ``path``; none if it does not exist."""
+    fs, p = _locate(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory())
+
+
+def files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, size and time of change of the data files directly under ``path``."""
+    fs, p = _locate(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [s for s in fs.listStatus(p) if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+    return sorted((s.getPath().toString(), int(s.getLen()), int(s.getModificationTime())) for s in found)

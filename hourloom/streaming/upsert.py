@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.merge import upsert_table
+from ..operators.merge import merge_folder, upsert_table
 from ..session import shared_dir
 from ..sources import paths
 from ..specs import TableSpec
@@ -33,7 +33,7 @@ def stream_upsert(
         scratch = f"{shared_dir(spark)}/stream-{known['id']}"
         upsert_table(spark, target, batch, spec, on_duplicate, str(number), scratch)
         if number > 0:  # the batch before is committed by now
-            paths.delete(spark, f"{scratch}/merge-{spec.name}-{number - 1}")
+            paths.delete(spark, f"{merge_folder(spark, target, spec, scratch)}/{number - 1}")
 
     reader = spark.readStream.schema(schema or spec.schema)
     if files_per_batch:

@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 import hourloom as h
+from hourloom.sources import paths
 from hourloom.specs import TableSpec, schema_of
 
 OLD, NEW = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
@@ -90,7 +91,7 @@ def test_upsert_by_day_touches_only_its_days(spark, tmp_path):
 def test_batch_is_replayed_not_merged_again(spark, tmp_path):
     path, scratch = str(tmp_path / "t"), str(tmp_path / "scratch")
     h.upsert_table(spark, path, make(spark, [("a", 1.0, "x")], OLD), SPEC, batch="1", scratch=scratch)
-    # the same batch again, whatever it now holds, writes what was merged the first time
+    # the same batch again, whatever it now holds, is not merged a second time
     h.upsert_table(spark, path, make(spark, [("a", 5.0, "x")], NEW), SPEC, batch="1", scratch=scratch)
     assert rows(h.read_table(spark, path, SPEC), "id", "v") == [("a", 1.0)]
     h.upsert_table(spark, path, make(spark, [("a", 5.0, "x")], NEW), SPEC, batch="2", scratch=scratch)
@@ -111,23 +112,113 @@ def test_stream_upsert(spark, tmp_path):
     assert rows(h.read_table(spark, target, DAILY), "id", "v", "ingested_at", "updated_at") == got
 
 
-def test_crowded_keys_pass_by_the_join(spark):
+def test_many_copies_of_a_key(spark):
     target = make(spark, [("a", 1.0, "t"), ("b", 1.0, "t")], OLD)
     staged = make(spark, [("n", float(i), "s") for i in range(5)] + [("b", 2.0, "s"), ("m", 1.0, "s"), ("m", 2.0, "s")], NEW)
-    want = rows(h.merge_changes(target, staged, ["id"]))
-    assert len(want) == 9
-    for limit in (1, 2, 4):
-        assert rows(h.merge_changes(target, staged, ["id"], hot_rows=limit)) == want
+    got = h.merge_changes(target, staged, ["id"])
+    assert got.filter("_action = 'insert'").count() == 7 and got.count() == 9
     crowded = make(spark, [("a", float(i), "s") for i in range(5)], NEW)
     with pytest.raises(Exception, match="several staged rows"):
-        h.merge_changes(target, crowded, ["id"], hot_rows=2).collect()
+        h.merge_changes(target, crowded, ["id"]).collect()
+    # copies in the target, which an earlier merge inserted, are all updated
+    copies = make(spark, [("n", float(i), "t") for i in range(4)], OLD)
+    assert rows(h.merge_changes(copies, make(spark, [("n", 9.0, "s")], NEW), ["id"]), "v", "_action") == [(9.0, "update")] * 4
 
 
-@pytest.mark.parametrize("null_key", [False, True])
-def test_required_keys_give_the_same_result(spark, null_key):
-    target = make(spark, [("a", 1.0, "t"), ("b", 1.0, "t")] + [(None, 1.0, "t")] * null_key, OLD)
-    staged = make(spark, [("b", 2.0, "s"), ("c", 1.0, "s")] + [(None, 2.0, "s")] * null_key, NEW)
-    assert rows(h.merge_changes(target, staged, ["id"], keys_required=True)) == rows(h.merge_changes(target, staged, ["id"]))
+def test_null_and_crowded_keys_together(spark):
+    target = make(spark, [(None, 1.0, "t"), ("a", 1.0, "t")], OLD)
+    staged = make(spark, [(None, float(i), "s") for i in range(5)] + [("a", 2.0, "s")], NEW)
+    got = rows(h.merge_changes(target, staged, ["id"]).groupBy("_action").count())
+    assert got == [("insert", 5), ("keep", 1), ("update", 1)]
+
+
+def test_joins_can_be_split_and_broadcast(spark):
+    target, staged = make(spark, [("a", 1.0, "t")], OLD), make(spark, [("a", 2.0, "s")], NEW)
+    plan = h.merge_changes(target, staged, ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" not in plan and "LeftOuter" in plan
+
+
+def dies(monkeypatch, spark):
+    """The copy to the table dies after the table has been emptied."""
+    from hourloom.operators import merge
+
+    def broken(spark_, path, spec, work):
+        if paths.exists(spark_, path):
+            paths.delete(spark_, path)
+        raise OSError("executor lost")
+
+    monkeypatch.setattr(merge, "_apply", broken)
+
+
+@pytest.mark.parametrize("first,second", [(None, None), ("1", "1"), ("1", "2"), (None, "2"), ("1", None)])
+def test_a_killed_copy_is_finished_by_whoever_comes_next(spark, tmp_path, monkeypatch, first, second):
+    path, scratch = str(tmp_path / "t"), str(tmp_path / "scratch")
+    h.upsert_table(spark, path, make(spark, [("a", 1.0, "x"), ("b", 1.0, "x")], OLD), SPEC, scratch=scratch)
+    batch = make(spark, [("c", 1.0, "x")], NEW)
+    with monkeypatch.context() as m:
+        dies(m, spark)
+        with pytest.raises(OSError):
+            h.upsert_table(spark, path, batch, SPEC, batch=first, scratch=scratch)
+    h.upsert_table(spark, path, batch if first == second else make(spark, [("d", 1.0, "x")], NEW), SPEC, batch=second, scratch=scratch)
+    want = ["a", "b", "c"] + ([] if first == second else ["d"])
+    assert rows(h.read_table(spark, path, SPEC), "id") == [(x,) for x in want]
+
+
+def test_an_old_batch_is_not_written_over_a_newer_one(spark, tmp_path):
+    path, scratch = str(tmp_path / "t"), str(tmp_path / "scratch")
+    for name, v in (("1", 1.0), ("2", 2.0), ("1", 1.0)):
+        h.upsert_table(spark, path, make(spark, [("a", v, "x")], NEW), SPEC, batch=name, scratch=scratch)
+    assert rows(h.read_table(spark, path, SPEC), "id", "v") == [("a", 2.0)]
+
+
+def test_the_time_column_must_be_a_key(spark, tmp_path):
+    spec = TableSpec("moving", DAILY.schema, ("id",), time_col="at")
+    with pytest.raises(ValueError, match="must be one of the keys"):
+        h.upsert_table(spark, str(tmp_path / "t"), daily(spark, [("a", 1, 0, 1.0)], OLD), spec)
+
+
+def test_a_batch_is_evaluated_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    staged = make(spark, [("a", 1.0, "x"), ("b", 1.0, "x")], OLD)
+    h.upsert_table(spark, str(tmp_path / "t"), staged.mapInArrow(count, staged.schema), SPEC)
+    assert seen.value == 2
+
+
+def test_landed_files_under_one_name(spark, tmp_path):
+    path, landing = str(tmp_path / "t"), str(tmp_path / "landing")
+    for key in ("a", "b", "c"):
+        make(spark, [(key, 1.0, "x")], OLD).coalesce(1).write.mode("append").parquet(landing)
+        assert h.upsert_files(spark, path, landing, SPEC, batch="d1", scratch=str(tmp_path / "s"))
+    assert rows(h.read_table(spark, path, SPEC), "id") == [("a",), ("b",), ("c",)]
+    assert not paths.has_files(spark, landing)
+
+
+def test_files_that_stay_are_not_merged_twice(spark, tmp_path):
+    path, landing, scratch = (str(tmp_path / n) for n in ("t", "landing", "s"))
+    for at in (OLD, NEW):  # the same key in two files: read together they would fail
+        make(spark, [("a", 1.0, "x")], at).coalesce(1).write.mode("append").parquet(landing)
+        assert h.upsert_files(spark, path, landing, SPEC, clear=False, scratch=scratch)
+        assert not h.upsert_files(spark, path, landing, SPEC, clear=False, scratch=scratch)
+    assert not h.upsert_files(spark, path, landing, SPEC, scratch=scratch) and not paths.has_files(spark, landing)
+    assert rows(h.read_table(spark, path, SPEC), "id", "refreshed_at") == [("a", NEW)]
+
+
+def test_killed_copy_of_landed_files(spark, tmp_path, monkeypatch):
+    path, landing, scratch = (str(tmp_path / n) for n in ("t", "landing", "s"))
+    make(spark, [("a", 1.0, "x")], OLD).coalesce(1).write.parquet(landing)
+    with monkeypatch.context() as m:
+        dies(m, spark)
+        with pytest.raises(OSError):
+            h.upsert_files(spark, path, landing, SPEC, scratch=scratch)
+    make(spark, [("b", 1.0, "x")], OLD).coalesce(1).write.mode("append").parquet(landing)
+    assert h.upsert_files(spark, path, landing, SPEC, scratch=scratch)
+    assert rows(h.read_table(spark, path, SPEC), "id") == [("a",), ("b",)] and not paths.has_files(spark, landing)
 
 
 def test_landed_files_are_merged_and_removed(spark, tmp_path):

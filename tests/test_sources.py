@@ -9,7 +9,7 @@ from hourloom.plans.ingest import ingest_locations
 from hourloom.sources import files, paths
 from hourloom.specs import LOCATION_JSON, TableSpec, schema_of
 
-SPEC = TableSpec("t", schema_of("id! string, at utc, v double"), ("id",), time_col="at", sort_cols=("id",))
+SPEC = TableSpec("t", schema_of("id! string, at utc, v double"), ("id", "at"), time_col="at", sort_cols=("id",))
 
 
 def test_typed_scan_fills_missing_columns(spark, tmp_path):
