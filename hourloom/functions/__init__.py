@@ -7,6 +7,7 @@ from .columns import (
     local_to_utc,
     moment,
     nan_to_null,
+    null_safe_join,
     segment_tier,
     to_double,
     to_long,
@@ -16,5 +17,5 @@ from .columns import (
 
 __all__ = [
     "blank_to_null", "clean_range", "density_band", "hours_between", "instant", "local_to_utc",
-    "moment", "nan_to_null", "segment_tier", "to_double", "to_long", "truncate", "wall_clock",
+    "moment", "nan_to_null", "null_safe_join", "segment_tier", "to_double", "to_long", "truncate", "wall_clock",
 ]

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,3 +105,10 @@ def segment_tier(hours: Column, gold: int = GOLD_HOURS, silver: int = SILVER_HOU
 
 def density_band(density: Column, high: float = DENSITY_BANDS[0], mid: float = DENSITY_BANDS[1]):
     return F.when(density >= high, "high").when(density >= mid, "medium").otherwise("low")
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on equal keys, where NULL equals NULL; the keys appear once."""
+    own = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(own, same).drop(*[f"_r_{k}" for k in keys])

@@ -43,8 +43,8 @@ def rarest_parameter(top: DataFrame, name: str = NAME) -> DataFrame:
 
 
 def _measuring(df: DataFrame, names: DataFrame, name: str) -> DataFrame:
-    # ``names`` comes from a limit, so it holds at most that many rows
-    return df.join(F.broadcast(names.select(name)), name, "left_semi")
+    # the size of ``names`` is up to the caller, so Spark decides how to join it
+    return df.join(names.select(name), name, "left_semi")
 
 
 def coverage_check(

@@ -27,12 +27,25 @@ class Dim:
 
 
 def enrich(facts: DataFrame, dims: Sequence[Dim]) -> DataFrame:
-    """Left-join each dimension in turn; a later one may use a column an earlier one added."""
-    for d in dims:
-        look = d.df.select(
-            F.col(d.dim_key).alias("_key"), *[F.col(c).alias(n) for n, c in d.columns.items()]
-        )
-        facts = facts.join(look, F.col(d.fact_key) == F.col("_key"), "left").drop("_key")
+    """Left-join dimensions; a later one may be looked up by a column that an earlier one brings.
+
+    Such a chain is joined from its end, dimension to dimension, so the facts meet one table for
+    each of their own keys and are shuffled once for it.
+    """
+    looks = [
+        (d.fact_key, d.df.select(F.col(d.dim_key).alias("_key"), *[F.col(c).alias(n) for n, c in d.columns.items()]))
+        for d in dims
+    ]
+    for i in reversed(range(len(looks))):
+        key, look = looks[i]
+        if key in facts.columns:
+            continue
+        j = max(j for j in range(i) if key in looks[j][1].columns)
+        far = look.withColumnRenamed("_key", "_far")
+        looks[j] = (looks[j][0], looks[j][1].join(far, F.col(key) == F.col("_far"), "left").drop("_far"))
+        del looks[i]
+    for key, look in looks:
+        facts = facts.join(look, F.col(key) == F.col("_key"), "left").drop("_key")
     return facts
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def run_log_summary(logs: DataFrame) -> DataFrame:
-    """Per run: errors, saved files, retries over all attempts, and the final status.
+    """Per run: errors, saved files, retries over all attempts, the final status and the durations.
 
     The attempts of a run sit in one array, so this is row-local and needs no shuffle.
     """
@@ -27,6 +27,20 @@ def run_log_summary(logs: DataFrame) -> DataFrame:
         total("saved").alias("saved"),
         F.size(F.filter("logs", lambda a: a["status"] == "retrying")).cast("long").alias("retries"),
         F.when(final == "aborted", "aborted").otherwise("downloaded").alias("status"),
+        "download_duration", "saving_duration",
+        F.coalesce("total_duration", F.col("download_duration") + F.col("saving_duration")).alias("total_duration"),
+    )
+
+
+def run_log_totals(summary: DataFrame) -> DataFrame:
+    """One row over all runs: how many there are, how many failed, and the sums of their figures."""
+    counted = ("attempts", "errors", "saved", "retries")
+    timed = ("download_duration", "saving_duration", "total_duration")
+    return summary.agg(
+        F.count(F.lit(1)).alias("runs"),
+        F.count_if(F.col("status") == "aborted").alias("aborted_runs"),
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in counted],
+        *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in timed],
     )
 
 

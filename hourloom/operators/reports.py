@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..constants import (
     AVERAGE_RANK_LIMIT, DURATION_STEPS, GAP_RANGE_HOURS, HISTOGRAM_BINS, PERFECT_SENSORS,
 )
-from ..functions import density_band, hours_between, moment
+from ..functions import density_band, hours_between, moment, null_safe_join
 from .calendar import hours_covered
 from .grid import CONCURRENT, ENTITY, TS
 
@@ -81,7 +81,7 @@ def overlapping_segments(
         first = F.row_number().over(inside) == 1
         before = (
             parted.select("*", previous.over(inside).alias("_prev"), first.alias("_opens"))
-            .join(summary, [entity, "_chunk"])
+            .transform(null_safe_join, summary, [entity, "_chunk"])
             .withColumn("prev_segment_end", F.when(F.col("_opens"), F.col("_carry")).otherwise(F.col("_prev")))
             .select(*bounds.columns, "prev_segment_end")
         )
@@ -145,7 +145,9 @@ def density_histogram(
     span = one.agg(F.min("_d").alias("_lo"), F.max("_d").alias("_hi"))
     half = F.when(F.col("_lo") == F.col("_hi"), 0.5).otherwise(0.0)
     edge = span.select((F.col("_lo") - half).alias("_lo"), (F.col("_hi") + half).alias("_hi"))
-    lo, hi = edge.select("_lo").scalar(), edge.select("_hi").scalar()
+    # both ends in one value: the segments are planned once for them, and once for the counts
+    ends = edge.select(F.struct("_lo", "_hi")).scalar()
+    lo, hi = ends["_lo"], ends["_hi"]
     hits = (
         one.select(F.least(F.width_bucket(F.col("_d"), lo, hi, F.lit(bins)), F.lit(bins)).cast("int").alias("bin"))
         .groupBy("bin")

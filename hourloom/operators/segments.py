@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..constants import (
     GOLD_HOURS, MAX_GAP_HOURS, MAX_SERIES_GAP_HOURS, PERFECT_SENSORS, SILVER_HOURS,
 )
-from ..functions import hours_between, segment_tier
+from ..functions import hours_between, null_safe_join, segment_tier
 from .grid import CONCURRENT, ENTITY, TS
 
 
@@ -163,7 +163,7 @@ def _numbered_by_chunk(grid, entity, ts, concurrent, perfect, max_gap, chunk) ->
         )
     )
     return (
-        local.join(runs, [entity, "_chunk", "_run"])
+        null_safe_join(local, runs, [entity, "_chunk", "_run"])
         .withColumn("last_perfect_hour", F.coalesce("_local_last", "_carry"))
         .withColumn("hours_since_last", hours_between(F.col(ts), F.col("last_perfect_hour")))
         .withColumn("is_new_segment", _starts(max_gap))

@@ -85,6 +85,10 @@ def concat_to(
         return None
     expected = rows_per_file(df).agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
     write_reconciled(df, path, out_fmt or fmt, expected)
+    # counted once more from what is on disk, so a row lost by the write shows too
+    stored = concat_files(spark, [path], out_fmt or fmt).count()
+    if stored != expected:
+        raise ValueError(f"{path} holds {stored} rows, expected {expected}")
     return path
 
 
@@ -133,5 +137,6 @@ def read_json_documents(
     return docs.select(F.inline(results)) if results else docs
 
 
-def read_run_logs(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return read_json_documents(spark, path, RUN_LOG_JSON)
+def read_run_logs(spark: SparkSession, path: str | Sequence[str], lines: bool = False) -> DataFrame:
+    """Run logs, one to a file, or one to a line with ``lines``, which can be split over tasks."""
+    return read_json_documents(spark, path, RUN_LOG_JSON, lines=lines)

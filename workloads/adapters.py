@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,22 +17,17 @@ NTZ = T.TimestampNTZType()
 SERIES = ("click", "view", "purchase", "signup", "error")
 THREE = {f"{s}_value": s for s in SERIES[:3]}
 TWO = {f"{s}_value": s for s in SERIES[:2]}
+FIVE = {f"{s}_value": s for s in SERIES}
 CITY = dict(mapping=THREE, high=100.0, gold_hours=24, silver_hours=8)
 MANY = dict(mapping=THREE, high=10000.0, perfect=1, gold_hours=2, silver_hours=1)
 CITY_LOCATIONS, MANY_LOCATIONS = 2, 64
 MANY_TEST_IDS = ("1", "5", "9", "40", "77")
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     for key in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
         spark.conf.set(key, SETTINGS[key])
-    path = f"{sf}/{name}.parquet"
-    if path not in _SCHEMAS:  # footers are read once; later scans declare the schema
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
@@ -127,6 +122,10 @@ def _orders(spark, sf, price, stamp) -> DataFrame:
     return rows.withColumns({c: at for c in ("ingested_at", "updated_at", "refreshed_at")})
 
 
+def all_orders(spark, sf) -> DataFrame:
+    return _orders(spark, sf, F.col("o_totalprice"), LOADED_UNTIL)
+
+
 def loaded_orders(spark, sf) -> DataFrame:
     """Orders as they stood at the last load."""
     return _orders(spark, sf, F.col("o_totalprice"), LOADED_UNTIL).filter(
@@ -247,6 +246,51 @@ def hourly_docs(spark, sf) -> DataFrame:
     )
 
 
+def positioned(ordered: DataFrame, *by: str) -> DataFrame:
+    """Rows numbered from 1 in the order they come in, within each value of ``by``."""
+    at = ordered.withColumn("_at", F.monotonically_increasing_id())
+    return at.withColumn("position", F.row_number().over(Window.partitionBy(*by).orderBy("_at"))).drop("_at")
+
+
+def sensor_docs(spark, sf) -> DataFrame:
+    """Orders as location documents of a customer, each order a sensor."""
+    sensor = F.struct(
+        F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"),
+        F.struct(
+            F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("name"),
+            F.when(F.col("o_orderstatus") == "P", F.lit(" ")).otherwise(F.col("o_orderstatus")).alias("units"),
+            F.lit(None).cast("string").alias("displayName"),
+        ).alias("parameter"),
+    )
+    return table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.collect_list(sensor).alias("sensors"))
+
+
+def measurement_docs(spark, sf) -> DataFrame:
+    """Line items as nested measurement documents, with times as text."""
+    def moment_of(c):
+        return F.struct(
+            F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("utc"), F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'+09:00'").alias("local")
+        )
+
+    ship = F.col("l_shipdate")
+    before = ship - F.expr("interval 1 hour")
+    return table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("sensor_id"),
+        F.when(F.col("l_linestatus") == "F", F.lit("n/a")).otherwise(F.col("l_quantity").cast("string")).alias("value"),
+        F.struct((F.col("l_returnflag") == "R").alias("hasFlags")).alias("flagInfo"),
+        F.struct(
+            F.col("l_partkey").alias("id"), F.col("l_returnflag").alias("name"), F.lit("  ").alias("units"), F.lit(None).cast("string").alias("displayName")
+        ).alias("parameter"),
+        F.struct(F.lit("raw").alias("label"), F.lit("01:00:00").alias("interval"), moment_of(before).alias("datetimeFrom"), moment_of(ship).alias("datetimeTo")).alias("period"),
+        F.struct(F.col("l_discount").alias("min"), F.col("l_tax").alias("avg"), F.lit(float("nan")).alias("sd")).alias("summary"),
+        F.struct(
+            F.col("l_suppkey").cast("string").alias("expectedCount"), F.concat(F.col("l_linenumber").cast("string"), F.lit(".0")).alias("observedCount"),
+            F.lit("100.0").alias("percentComplete"), moment_of(before).alias("datetimeFrom"),
+        ).alias("coverage"),
+        F.lit("not stored").alias("extra"),
+    )
+
+
 def line_docs(spark, sf) -> DataFrame:
     """Documents as parents with one child per line of their text."""
     return table(spark, sf, "documents").select(
@@ -288,4 +332,7 @@ def run_logs(spark, sf) -> DataFrame:
         none.alias("run_start"), none.alias("run_end"), none.alias("datetime_from"), none.alias("datetime_to"),
         F.array(F.col("source")).alias("sensors"),
         F.transform(F.transform(F.split("text", "\n"), words), attempt).alias("logs"),
+        (F.col("n_chars") / 4).alias("download_duration"),
+        F.when(F.col("lang") != "en", F.lit(0.5)).alias("saving_duration"),
+        F.when(F.col("lang") == "de", F.col("n_chars") + 0.25).cast("double").alias("total_duration"),
     )

@@ -17,7 +17,8 @@ def readings(locations: int | None) -> str:
         FROM events GROUP BY 1, 2, 3)"""
 
 
-THREE, TWO = ("click", "view", "purchase"), ("click", "view")
+FIVE = ("click", "view", "purchase", "signup", "error")
+THREE, TWO = FIVE[:3], FIVE[:2]
 TEST_IDS = ("1", "5", "9", "40", "77")
 
 
@@ -43,54 +44,38 @@ def grid_ctes(locations: int, series, high: float) -> str:
         LEFT JOIN pivoted p ON p.location_id = l.location_id AND p.datetimeto_utc = s.datetimeto_utc)"""
 
 
-def tracked_ctes(perfect: int) -> str:
-    return f"""flagged AS (
-        SELECT *, CASE WHEN concurrent_sensors = {perfect} THEN 1 ELSE 0 END AS is_perfect_hour FROM grid),
-    previous AS (
-        SELECT *,
-            last_value(CASE WHEN is_perfect_hour = 1 THEN datetimeto_utc END IGNORE NULLS) OVER (
-                PARTITION BY location_id ORDER BY datetimeto_utc
-                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_perfect_hour,
-            min(CASE WHEN is_perfect_hour = 1 THEN datetimeto_utc END) OVER (PARTITION BY location_id) AS first_perfect_hour
-        FROM flagged),
-    tracked AS (
-        SELECT *, date_diff('hour', last_perfect_hour, datetimeto_utc) AS hours_since_last FROM previous),
-    numbered AS (
-        SELECT *, CAST(sum(is_new_segment) OVER (PARTITION BY location_id ORDER BY datetimeto_utc) AS BIGINT) AS segments_num
-        FROM (
-            SELECT *, CASE WHEN last_perfect_hour IS NULL THEN 1
-                           WHEN is_perfect_hour = 1 AND hours_since_last > 4 THEN 1 ELSE 0 END AS is_new_segment
-            FROM tracked WHERE datetimeto_utc >= first_perfect_hour) x
-        WHERE is_perfect_hour = 1 OR hours_since_last <= 4)"""
-
-
-def describe_ctes(source: str, series, gold: int, silver: int) -> str:
-    names = ", ".join(f"{s}_value" for s in series)
-    return f"""described AS (
-        SELECT location_id, datetimeto_utc, hours_since_last, concurrent_sensors, is_new_segment, {names},
-            location_id || '_S' || CAST(segments_num AS VARCHAR) AS segment_id,
-            min(datetimeto_utc) OVER seg AS segment_start, max(datetimeto_utc) OVER seg AS segment_end,
-            CAST(sum(CASE WHEN is_perfect_hour = 1 THEN 1 ELSE 0 END) OVER seg AS BIGINT) AS segment_perfect_hours,
-            segments_num, count(DISTINCT segments_num) OVER (PARTITION BY location_id) AS segments_total
-        FROM {source}
-        WINDOW seg AS (PARTITION BY location_id, segments_num)),
-    measured AS (
-        SELECT *, date_diff('hour', segment_start, segment_end) + 1 AS segment_total_hours FROM described),
-    seg AS (
-        SELECT *, segment_perfect_hours / segment_total_hours AS segment_perfect_density,
-            CASE WHEN segment_total_hours >= {gold} THEN 'gold' WHEN segment_total_hours >= {silver} THEN 'silver'
-                 ELSE 'bronze' END AS segment_tier
-        FROM measured)"""
+def island_ctes(needed: int, gap: int = 4) -> str:
+    """Islands of perfect hours: an hour more than ``gap`` after the perfect one before it opens a new one.
+
+    Nothing else is known of an island but its first and last hour and how many there are."""
+    return f"""perfect AS (SELECT location_id, datetimeto_utc AS h FROM grid WHERE concurrent_sensors = {needed}),
+    islands AS (
+        SELECT location_id, island AS segments_num, min(h) AS segment_start, max(h) AS segment_end, count(*) AS segment_perfect_hours
+        FROM (SELECT *, CAST(count(CASE WHEN opens THEN 1 END) OVER (PARTITION BY location_id ORDER BY h) AS BIGINT) AS island
+              FROM (SELECT *, coalesce(h - lag(h) OVER (PARTITION BY location_id ORDER BY h) > INTERVAL {gap} HOUR, TRUE) AS opens FROM perfect) o) i
+        GROUP BY 1, 2),
+    followed AS (
+        SELECT g.*, p.h AS last_perfect_hour, date_diff('hour', p.h, g.datetimeto_utc) AS hours_since_last
+        FROM grid g ASOF LEFT JOIN perfect p ON g.location_id = p.location_id AND g.datetimeto_utc > p.h)"""
+
+
+def attributed(source: str, gold: int, silver: int) -> str:
+    """What follows from start, end, perfect hours and number of a segment."""
+    return f"""seg AS (
+        SELECT *, location_id || '_S' || segments_num AS segment_id, segment_perfect_hours / segment_total_hours AS segment_perfect_density,
+            CASE WHEN segment_total_hours < {silver} THEN 'bronze' WHEN segment_total_hours < {gold} THEN 'silver' ELSE 'gold' END AS segment_tier
+        FROM (SELECT *, date_diff('hour', segment_start, segment_end) + 1 AS segment_total_hours FROM {source}) x)"""
 
 
 def seg_ctes(locations, series, high, perfect, gold, silver) -> str:
-    return f"""WITH {grid_ctes(locations, series, high)}, {tracked_ctes(perfect)},
-    trimmed AS (
-        SELECT * FROM (
-            SELECT *, max(CASE WHEN is_perfect_hour = 1 THEN datetimeto_utc END) OVER (
-                PARTITION BY location_id, segments_num) AS last_in_segment FROM numbered) y
-        WHERE datetimeto_utc <= last_in_segment),
-    {describe_ctes('trimmed', series, gold, silver)}"""
+    names = ", ".join(f"{s}_value" for s in series)
+    return f"""WITH {grid_ctes(locations, series, high)}, {island_ctes(perfect)},
+    counted_islands AS (SELECT *, count(*) OVER (PARTITION BY location_id) AS segments_total FROM islands),
+    members AS (
+        SELECT location_id, datetimeto_utc, hours_since_last, concurrent_sensors, CAST(datetimeto_utc = segment_start AS INTEGER) AS is_new_segment,
+            {names}, segment_start, segment_end, segment_perfect_hours, segments_num, segments_total
+        FROM counted_islands JOIN followed USING (location_id) WHERE datetimeto_utc BETWEEN segment_start AND segment_end),
+    {attributed('members', gold, silver)}"""
 
 
 GRID = f"WITH {grid_ctes(2, THREE, 100)}"
@@ -140,26 +125,42 @@ ORACLES["distinct_locations"] = "SELECT DISTINCT CAST(user_id AS VARCHAR) AS loc
 ORACLES["dense_grid"] = f"{GRID} SELECT * FROM grid"
 
 # Segments -------------------------------------------------------------------------------------
-ORACLES["perfect_hour_tracking"] = f"{GRID}, {tracked_ctes(3)} SELECT * FROM tracked"
-ORACLES["segment_numbering"] = f"""{GRID}, {tracked_ctes(3)}
-    SELECT location_id, datetimeto_utc, is_perfect_hour, hours_since_last, is_new_segment, segments_num FROM numbered"""
+ORACLES["perfect_hour_tracking"] = f"""{GRID}, {island_ctes(3)}
+    SELECT f.*, CAST(concurrent_sensors = 3 AS INTEGER) AS is_perfect_hour, first_perfect_hour
+    FROM followed f LEFT JOIN (SELECT location_id, min(h) AS first_perfect_hour FROM perfect GROUP BY 1) m USING (location_id)"""
+# a segment's rows before its tail is cut: up to four hours after its last perfect one
+ORACLES["segment_numbering"] = f"""{GRID}, {island_ctes(3)}
+    SELECT location_id, datetimeto_utc, CAST(concurrent_sensors = 3 AS INTEGER) AS is_perfect_hour, hours_since_last,
+        CAST(datetimeto_utc = segment_start AS INTEGER) AS is_new_segment, segments_num
+    FROM islands JOIN followed USING (location_id) WHERE datetimeto_utc BETWEEN segment_start AND segment_end + INTERVAL 4 HOUR"""
 ORACLES["segments"] = f"{CITY} SELECT * FROM seg"
 ORACLES["segments_chunked"] = ORACLES["segments"]
+ORACLES["segments_of_five_series"] = seg_ctes(2, FIVE, 100, 5, 24, 8) + " SELECT * FROM seg"
 ORACLES["segments_default_tiers"] = f"{DEFAULT} SELECT * FROM seg"
-_last = ", ".join(
-    f"""last_value(CASE WHEN {s}_value IS NOT NULL THEN datetimeto_utc END IGNORE NULLS) OVER (
-        PARTITION BY location_id ORDER BY datetimeto_utc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_{s}"""
+# Each hour up to the leading series' first report is a segment of its own; the last of these goes on for as long as every
+# series that has reported at all did so within three hours. So a number is a count of hours since the spine began.
+_asof = " ".join(
+    f"ASOF LEFT JOIN (SELECT location_id, datetimeto_utc AS h FROM grid WHERE {s}_value IS NOT NULL) {s} ON g.location_id = {s}.location_id AND g.datetimeto_utc > {s}.h"
     for s in THREE
 )
-_silence = ", ".join(f"coalesce(date_diff('hour', last_{s}, datetimeto_utc), 0)" for s in THREE)
+_silent = ", ".join(f"coalesce(date_diff('hour', {s}.h, g.datetimeto_utc), 0)" for s in THREE)
 ORACLES["segments_strategy_b"] = f"""{GRID},
-    trackers AS (SELECT *, {_last} FROM grid),
-    gaps AS (SELECT *, greatest({_silence}) AS hours_since_last,
-                    CASE WHEN concurrent_sensors = 3 THEN 1 ELSE 0 END AS is_perfect_hour FROM trackers),
-    marked AS (SELECT *, CASE WHEN last_click IS NULL OR hours_since_last > 3 THEN 1 ELSE 0 END AS is_new_segment
-               FROM gaps WHERE hours_since_last <= 3 OR last_click IS NULL),
-    series AS (SELECT *, CAST(sum(is_new_segment) OVER (PARTITION BY location_id ORDER BY datetimeto_utc) AS BIGINT) AS segments_num FROM marked),
-    {describe_ctes('series', THREE, 24, 8)}
+    silent AS (SELECT g.*, greatest({_silent}) AS hours_since_last FROM grid g {_asof}),
+    led AS (
+        SELECT s.*, date_diff('hour', (SELECT min(datetimeto_utc) FROM spine), least(datetimeto_utc, coalesce(lead, datetimeto_utc))) + 1 AS segments_num,
+            lead IS NULL OR datetimeto_utc <= lead AS waits
+        FROM silent s LEFT JOIN (SELECT location_id, min(datetimeto_utc) AS lead FROM grid WHERE click_value IS NOT NULL GROUP BY 1) l USING (location_id)),
+    lasting AS (SELECT * FROM led WHERE waits OR hours_since_last <= 3),
+    totals AS (
+        SELECT location_id, segments_num, min(datetimeto_utc) AS segment_start, max(datetimeto_utc) AS segment_end,
+            count(CASE WHEN concurrent_sensors = 3 THEN 1 END) AS segment_perfect_hours
+        FROM lasting GROUP BY 1, 2),
+    members AS (
+        SELECT location_id, datetimeto_utc, hours_since_last, concurrent_sensors, CAST(waits AS INTEGER) AS is_new_segment,
+            {", ".join(f"{s}_value" for s in THREE)}, segment_start, segment_end, segment_perfect_hours, segments_num,
+            (SELECT count(*) FROM totals t WHERE t.location_id = lasting.location_id) AS segments_total
+        FROM lasting JOIN totals USING (location_id, segments_num)),
+    {attributed('members', 24, 8)}
     SELECT * FROM seg"""
 ORACLES["segment_boundaries"] = f"{CITY} {BOUNDARIES}"
 _overlap = """SELECT *, date_diff('hour', prev_segment_end, segment_start) AS hours_since_prev_segment_end,
@@ -236,7 +237,8 @@ _ranking = f"""{MANY}, {PLACES},
         FROM seg WHERE segment_tier = 'gold' GROUP BY 1)"""
 ORACLES["perfect_hours_ranking"] = f"""{_ranking}
     SELECT r.*, location_perfect_hours / location_total_hours AS location_perfect_density,
-           location_latitude, location_longitude, pow(location_perfect_hours, 2) AS marker_size
+           location_latitude, location_longitude, pow(location_perfect_hours, 2) AS marker_size,
+           CAST(row_number() OVER (ORDER BY location_perfect_hours DESC, r.location_id) AS INTEGER) AS position
     FROM ranked r JOIN places p ON r.location_id = p.location_id"""
 ORACLES["location_type_flag"] = f"""{_ranking}
     SELECT r.location_id, r.location_id IN ({_list(TEST_IDS)}) AS location_type FROM ranked r JOIN places p ON r.location_id = p.location_id"""
@@ -303,7 +305,8 @@ _checked = f"""{_ranked}, checked AS (
     FROM readings WHERE sensor_name IN (SELECT sensor_name FROM top)
       AND location_id IN (SELECT location_id FROM readings WHERE sensor_name = (SELECT sensor_name FROM rarest)) GROUP BY 1)"""
 _counts = "SELECT location_id, sensor_name, count(*) AS measurement_count, min(datetimeto_utc) AS min_datetime, max(datetimeto_utc) AS max_datetime FROM readings"
-ORACLES["parameter_ranking"] = f"{_ranked} SELECT * FROM ranking"
+ORACLES["parameter_ranking"] = f"""{_ranked}
+    SELECT *, CAST(row_number() OVER (ORDER BY location_count DESC, measurement_count DESC, sensor_name) AS INTEGER) AS position FROM ranking"""
 ORACLES["top_parameters"] = f"{_ranked} SELECT * FROM top"
 ORACLES["rarest_parameter"] = f"{_ranked} SELECT * FROM rarest"
 ORACLES["coverage_check"] = f"{_checked} SELECT * FROM checked"
@@ -372,9 +375,31 @@ _hours = """hours AS (
     SELECT vec_id, label, TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(label AS INTEGER)) + to_hours(CAST(i - 1 AS INTEGER)) AS t,
            CAST(embedding[i] AS DOUBLE) AS v
     FROM (SELECT *, unnest(generate_series(1, len(embedding))) AS i FROM embeddings) e)"""
-ORACLES["stage_weather"] = f"""WITH {_hours}
-    SELECT CAST(vec_id AS VARCHAR) AS location_id, t - INTERVAL 9 HOUR AS datetimeto_utc, t AS datetimeto_local, v AS temperature_2m,
-           CAST(CASE WHEN v > 0 THEN 1 ELSE 0 END AS BIGINT) AS is_day, TIMESTAMP '2024-02-01 01:00:00' AS updated_at FROM hours"""
+_staged_weather = """SELECT CAST(vec_id AS VARCHAR) AS location_id, t - INTERVAL 9 HOUR AS datetimeto_utc, t AS datetimeto_local,
+        CAST(label AS DOUBLE) AS weather_latitude, CAST(label + 0.5 AS DOUBLE) AS weather_longitude, 'Asia/Seoul' AS timezone,
+        CAST(10 AS DOUBLE) AS elevation, {metrics}, {stamps} FROM hours"""
+# fixed values: the metrics in the order of the table, whole numbers marked
+_metrics = (
+    "temperature_2m relative_humidity_2m! dew_point_2m apparent_temperature precipitation rain snowfall snow_depth shortwave_radiation "
+    "direct_radiation diffuse_radiation global_tilted_irradiance direct_normal_irradiance terrestrial_radiation weather_code! pressure_msl "
+    "surface_pressure cloud_cover! cloud_cover_low! cloud_cover_mid! cloud_cover_high! vapour_pressure_deficit et0_fao_evapotranspiration "
+    "wind_speed_100m wind_speed_10m wind_direction_10m! wind_direction_100m! wind_gusts_10m is_day!"
+).split()
+
+
+def _weather(temperature: str, ingested: str, updated: str) -> str:
+    known = {"temperature_2m": temperature, "is_day": "CAST(CASE WHEN v > 0 THEN 1 ELSE 0 END AS BIGINT)"}
+    cells = [
+        f"{known.get(m.rstrip('!'), 'CAST(NULL AS BIGINT)' if m.endswith('!') else 'CAST(NULL AS DOUBLE)')} AS {m.rstrip('!')}" for m in _metrics
+    ]
+    stamps = f"{ingested} AS ingested_at, {updated} AS updated_at, {{refreshed}} AS refreshed_at"
+    return f"WITH {_hours} " + _staged_weather.format(metrics=", ".join(cells), stamps=stamps)
+
+
+ORACLES["stage_weather"] = _weather("v", "TIMESTAMP '2024-02-01'", "TIMESTAMP '2024-02-01 01:00:00'").format(refreshed="TIMESTAMP '2024-02-01'")
+_changed = "t >= TIMESTAMP '2024-01-08'"
+_touch = f"CASE WHEN {_changed} THEN TIMESTAMP '2024-01-10' ELSE TIMESTAMP '2024-01-09' END"
+ORACLES["refresh_staged_weather"] = _weather(f"CASE WHEN {_changed} THEN v + 1 ELSE v END", "TIMESTAMP '2024-01-09'", _touch).format(refreshed=_touch)
 ORACLES["explode_parallel_arrays"] = f"""WITH {_hours}
     SELECT vec_id AS location_id, t - INTERVAL 9 HOUR AS datetimeto_utc, t AS datetimeto_local, CAST(label AS DOUBLE) AS weather_latitude,
            CAST(label + 0.5 AS DOUBLE) AS weather_longitude, 'Asia/Seoul' AS timezone, CAST(10 AS DOUBLE) AS elevation, v AS temperature_2m,
@@ -404,6 +429,7 @@ ORACLES["sensors_of_active_locations"] = f"""WITH {_sensors}, {_places}
     WHERE l.datetimelast_utc >= TIMESTAMP '2001-07-01 00:00:00' AND l.datetimefirst_utc <= TIMESTAMP '1995-02-01 00:00:00'"""
 ORACLES["exclude_listed"] = """
     SELECT event_id, user_id, value FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)"""
+ORACLES["exclude_banned"] = "SELECT event_id, user_id, value FROM events WHERE user_id NOT IN (3, 5, 8, 13, 21)"
 ORACLES["bbox_filter"] = """
     SELECT l_orderkey, l_linenumber, l_partkey, l_discount, l_tax FROM lineitem
     WHERE l_discount >= CAST(0.02 AS DOUBLE) AND l_discount <= CAST(0.05 AS DOUBLE) AND l_tax >= CAST(0.01 AS DOUBLE) AND l_tax <= CAST(0.04 AS DOUBLE)"""
@@ -422,7 +448,7 @@ ORACLES["merge_changes"] = f"""{_merged},
         CASE WHEN o_orderdate < TIMESTAMP '1999-01-01' THEN 'keep' WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN 'insert'
              WHEN o_orderstatus = 'O' THEN 'update' ELSE 'refresh' END AS _action FROM orders"""
 ORACLES["upsert_table"] = f"{_merged} FROM orders"
-ORACLES["stream_upsert"] = ORACLES["upsert_table"]
+ORACLES["stream_upsert"] = ORACLES["upsert_files"] = ORACLES["upsert_table"]
 _late = """WITH late AS (SELECT o_orderkey, o_totalprice, o_orderdate, o_orderdate + to_days(CAST(o_orderkey % 40 AS INTEGER)) AS updated_at FROM orders),
     loaded AS (SELECT * FROM late WHERE updated_at <= TIMESTAMP '2001-07-20'),
     mark AS (SELECT coalesce(max(updated_at), TIMESTAMP '1900-01-01') AS watermark FROM loaded
@@ -439,7 +465,7 @@ ORACLES["incremental_overwrite"] = f"""{_late}, months AS (SELECT DISTINCT date_
 # months with a shipment updated since the newest loaded one are taken from all rows, others from the loaded ones
 _stage_rule = """QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_shipdate
         ORDER BY l_linenumber DESC, l_quantity, CAST(l_partkey AS VARCHAR), l_returnflag, l_linestatus) = 1"""
-ORACLES["refresh_measurements"] = f"""WITH versions AS (SELECT *, l_shipdate + to_hours(l_linenumber) AS u FROM lineitem),
+ORACLES["refresh_measurements"] = f"""WITH {_sensors}, {_places}, versions AS (SELECT *, l_shipdate + to_hours(l_linenumber) AS u FROM lineitem),
     early AS (SELECT * FROM versions WHERE u <= TIMESTAMP '2001-10-20'),
     changed AS (SELECT DISTINCT date_trunc('month', l_shipdate) AS m FROM versions
         WHERE l_shipdate >= TIMESTAMP '2001-10-30' - INTERVAL 15 DAY
@@ -447,14 +473,33 @@ ORACLES["refresh_measurements"] = f"""WITH versions AS (SELECT *, l_shipdate + t
     kept AS (
         SELECT * FROM versions WHERE date_trunc('month', l_shipdate) IN (SELECT m FROM changed) {_stage_rule}
         UNION ALL SELECT * FROM early WHERE date_trunc('month', l_shipdate) NOT IN (SELECT m FROM changed) {_stage_rule})
-    SELECT CAST(l_orderkey AS VARCHAR) AS sensor_id, l_shipdate AS datetimeto_utc, l_quantity AS value, CAST(l_partkey AS VARCHAR) AS parameter_id,
-        CAST(o_custkey AS VARCHAR) AS location_id, c_name AS location_name, u AS updated_at
-    FROM kept LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey"""
-ORACLES["ingest_upsert_locations"] = """
-    SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_mktsegment = 'BUILDING' THEN c_name || '*' ELSE c_name END AS name,
-        TIMESTAMP '2024-02-01' AS ingested_at,
-        CASE WHEN c_mktsegment = 'BUILDING' THEN TIMESTAMP '2024-02-02' ELSE TIMESTAMP '2024-02-01' END AS updated_at,
-        TIMESTAMP '2024-02-02' AS refreshed_at FROM customer"""
+    SELECT s.location_id, CAST(l_orderkey AS VARCHAR) AS sensor_id, l_quantity AS value, s.sensor_name, CAST(l_partkey AS VARCHAR) AS parameter_id,
+        l_returnflag AS parameter_name, l_linestatus AS parameter_units, s.parameter_displayname, l_shipdate AS datetimeto_utc, l_shipdate AS datetimeto_local,
+        l.timezone, l.location_name, l.coordinates_latitude AS location_latitude, l.coordinates_longitude AS location_longitude, l.ismobile, l.ismonitor,
+        l.datetimefirst_utc, l.datetimelast_utc, l.country_name, l.owner_name, l.provider_name, l_shipdate AS ingested_at, u AS updated_at, u AS refreshed_at
+    FROM kept LEFT JOIN sensors s ON CAST(l_orderkey AS VARCHAR) = s.id LEFT JOIN locations l ON s.location_id = l.id"""
+_renamed = "provider_name = 'BUILDING'"
+ORACLES["ingest_upsert_locations"] = f"""SELECT * REPLACE (
+        CASE WHEN {_renamed} THEN name || '*' ELSE name END AS name, TIMESTAMP '2024-02-02' AS refreshed_at,
+        CASE WHEN {_renamed} THEN TIMESTAMP '2024-02-02' ELSE updated_at END AS updated_at) FROM ({ORACLES["ingest_locations"]}) x"""
+_batch = "TIMESTAMP '2024-02-01' AS ingested_at, TIMESTAMP '2024-02-01' AS updated_at, TIMESTAMP '2024-02-01' AS refreshed_at"
+ORACLES["ingest_sensors"] = f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS location_id, o_orderpriority AS name, CAST(o_custkey AS VARCHAR) AS parameter_id,
+        o_orderstatus AS parameter_name, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS parameter_units, CAST(NULL AS VARCHAR) AS "parameter_displayName",
+        {_batch} FROM orders"""
+ORACLES["ingest_measurements"] = f"""
+    SELECT CAST(l_orderkey AS VARCHAR) AS sensor_id, CASE WHEN l_linestatus <> 'F' THEN l_quantity END AS value, l_returnflag = 'R' AS "flagInfo_hasFlags",
+        CAST(l_partkey AS VARCHAR) AS parameter_id, l_returnflag AS parameter_name, CAST(NULL AS VARCHAR) AS parameter_units,
+        CAST(NULL AS VARCHAR) AS "parameter_displayName", 'raw' AS period_label, '01:00:00' AS period_interval,
+        l_shipdate - INTERVAL 1 HOUR AS "period_datetimeFrom_utc", l_shipdate - INTERVAL 1 HOUR AS "period_datetimeFrom_local",
+        l_shipdate AS "period_datetimeTo_utc", l_shipdate AS "period_datetimeTo_local", l_discount AS summary_min,
+        {", ".join(f"CAST(NULL AS DOUBLE) AS summary_{q}" for q in ("q02", "q25", "median", "q75", "q98", "max"))}, l_tax AS summary_avg,
+        CAST(NULL AS DOUBLE) AS summary_sd, l_suppkey AS "coverage_expectedCount", CAST(NULL AS VARCHAR) AS "coverage_expectedInterval",
+        CAST(l_linenumber AS BIGINT) AS "coverage_observedCount", CAST(NULL AS VARCHAR) AS "coverage_observedInterval",
+        CAST(100 AS DOUBLE) AS "coverage_percentComplete", CAST(NULL AS DOUBLE) AS "coverage_percentCoverage",
+        l_shipdate - INTERVAL 1 HOUR AS "coverage_datetimeFrom_utc", l_shipdate - INTERVAL 1 HOUR AS "coverage_datetimeFrom_local",
+        CAST(NULL AS TIMESTAMP) AS "coverage_datetimeTo_utc", CAST(NULL AS TIMESTAMP) AS "coverage_datetimeTo_local", {_batch}
+    FROM lineitem"""
 ORACLES["json_documents"] = ORACLES["ingest_locations"]
 
 # Normalisation and flattening -----------------------------------------------------------------
@@ -469,6 +514,10 @@ ORACLES["local_to_utc"] = "SELECT event_id, ts - INTERVAL 9 HOUR AS ts_utc FROM
 ORACLES["ambiguous_local_times"] = """
     SELECT o_orderkey, o_orderdate FROM orders WHERE CAST(o_orderdate AS DATE) IN (DATE '1995-10-15', DATE '1996-10-06', DATE '1997-10-06',
         DATE '1998-10-11', DATE '1999-10-03', DATE '2000-10-08')"""
+# fixed values: midnights at which they went back to 23:00
+ORACLES["doubled_local_times"] = """
+    SELECT o_orderkey, o_orderdate - INTERVAL 30 MINUTE AS local FROM orders WHERE CAST(o_orderdate AS DATE) IN (DATE '1995-02-19', DATE '1996-02-11',
+        DATE '1997-02-16', DATE '1998-03-01', DATE '1999-02-21', DATE '2000-02-27', DATE '2001-02-18')"""
 ORACLES["parse_datetime_columns"] = """
     SELECT o_orderkey, o_orderdate AS datetime_local, o_orderdate - INTERVAL 9 HOUR AS datetime_utc FROM orders"""
 ORACLES["flatten_json"] = """
@@ -477,8 +526,11 @@ ORACLES["explode_children"] = """
     SELECT doc_id AS location_id, CAST(i - 1 AS INTEGER) AS id, parts[i] AS name, CAST(length(parts[i]) AS INTEGER) AS parameter_units, lang AS "parameter_displayName"
     FROM (SELECT *, unnest(generate_series(1, len(parts))) AS i FROM (SELECT doc_id, lang, string_split(text, chr(10)) AS parts FROM documents) s) e"""
 ORACLES["array_to_columns"] = """
-    SELECT vec_id, embedding[1] AS bounds_min_lon, embedding[2] AS bounds_min_lat, embedding[3] AS bounds_max_lon, embedding[4] AS bounds_max_lat FROM embeddings"""
-ORACLES["canonical_order"] = "SELECT event_id, ts, user_id FROM events ORDER BY ts, user_id"
+    SELECT c_custkey AS id, c_acctbal AS bounds_min_lon, c_acctbal + 1 AS bounds_min_lat, c_acctbal + 2 AS bounds_max_lon,
+        c_acctbal + 3 AS bounds_max_lat FROM customer"""
+ORACLES["canonical_order"] = """
+    SELECT event_id, ts, user_id, CAST(ts AS DATE) AS day,
+        CAST(row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, user_id, event_id) AS INTEGER) AS position FROM events"""
 ORACLES["scalar_functions"] = """
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate,
         CAST(date_trunc('day', l_shipdate) AS TIMESTAMP) AS ship_day, CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS ship_month,
@@ -494,26 +546,44 @@ ORACLES["scalar_functions"] = """
 
 # Sources and sinks ----------------------------------------------------------------------------
 ORACLES["typed_scan"] = "SELECT s_suppkey, s_name, s_acctbal, CAST(NULL AS VARCHAR) AS not_there FROM supplier"
+ORACLES["skip_unreadable"] = "SELECT s_suppkey, s_name, s_acctbal FROM supplier"
+ORACLES["typed_sink"] = """
+    SELECT CAST(l_orderkey AS VARCHAR) AS sensor_id, l_quantity AS value, CAST(NULL AS BOOLEAN) AS "flagInfo_hasFlags", CAST(l_partkey AS VARCHAR) AS parameter_id,
+        l_returnflag AS parameter_name, l_linestatus AS parameter_units, CAST(NULL AS VARCHAR) AS "parameter_displayName", CAST(NULL AS VARCHAR) AS period_label,
+        CAST(NULL AS VARCHAR) AS period_interval, l_shipdate - INTERVAL 1 HOUR AS "period_datetimeFrom_utc", l_shipdate - INTERVAL 1 HOUR AS "period_datetimeFrom_local",
+        l_shipdate AS "period_datetimeTo_utc", l_shipdate AS "period_datetimeTo_local", """ + ", ".join(
+    f"CAST(NULL AS DOUBLE) AS summary_{q}" for q in ("min", "q02", "q25", "median", "q75", "q98", "max", "avg", "sd")
+) + """, l_suppkey AS "coverage_expectedCount", CAST(NULL AS VARCHAR) AS "coverage_expectedInterval", CAST(l_linenumber AS BIGINT) AS "coverage_observedCount",
+        CAST(NULL AS VARCHAR) AS "coverage_observedInterval", CAST(NULL AS DOUBLE) AS "coverage_percentComplete", CAST(NULL AS DOUBLE) AS "coverage_percentCoverage",
+        CAST(NULL AS TIMESTAMP) AS "coverage_datetimeFrom_utc", CAST(NULL AS TIMESTAMP) AS "coverage_datetimeFrom_local",
+        CAST(NULL AS TIMESTAMP) AS "coverage_datetimeTo_utc", CAST(NULL AS TIMESTAMP) AS "coverage_datetimeTo_local", l_shipdate AS ingested_at,
+        l_shipdate + to_hours(l_linenumber) AS updated_at, l_shipdate + to_hours(l_linenumber) AS refreshed_at FROM lineitem"""
 ORACLES["concat_union"] = """
     SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance, c_mktsegment AS market FROM customer
     UNION ALL SELECT s_suppkey, s_name, s_acctbal, NULL FROM supplier"""
 ORACLES["csv_concat"] = "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
-ORACLES["load_append"] = """
-    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(2 AS BIGINT) AS copies FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'"""
+ORACLES["load_append"] = "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, 2 * count(*) AS copies FROM orders GROUP BY 1"
 ORACLES["export_query"] = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'"
 ORACLES["param_query"] = """
     SELECT o_orderstatus, count(*) AS n_orders, max(o_totalprice) AS max_price FROM orders
     WHERE o_orderstatus IN ('O', 'P') AND o_totalprice >= 1000 GROUP BY 1"""
 _attempts = """WITH attempts AS (
-    SELECT CAST(doc_id AS VARCHAR) AS run_id, lang, i, len(parts) AS n,
+    SELECT CAST(doc_id AS VARCHAR) AS run_id, lang, n_chars, i, len(parts) AS n,
         list_filter(string_split(parts[i], ' '), lambda w: length(w) > 0 AND regexp_matches(w, '[0-9]')) AS bad,
         list_filter(string_split(parts[i], ' '), lambda w: length(w) > 0 AND NOT regexp_matches(w, '[0-9]')) AS good
-    FROM (SELECT *, unnest(generate_series(1, len(parts))) AS i FROM (SELECT doc_id, lang, string_split(text, chr(10)) AS parts FROM documents) s) e)"""
+    FROM (SELECT *, unnest(generate_series(1, len(parts))) AS i FROM (SELECT doc_id, lang, n_chars, string_split(text, chr(10)) AS parts FROM documents) s) e)"""
 ORACLES["run_log_summary"] = f"""{_attempts}
     SELECT run_id, CAST(1 AS BIGINT) AS sensor_count, count(*) AS attempts, CAST(sum(len(bad)) AS BIGINT) AS errors, CAST(sum(len(good)) AS BIGINT) AS saved,
         count(CASE WHEN len(bad) BETWEEN 1 AND 5 THEN 1 END) AS retries,
-        CASE WHEN max(CASE WHEN i = n THEN len(bad) END) > 5 THEN 'aborted' ELSE 'downloaded' END AS status
-    FROM attempts GROUP BY 1"""
+        CASE WHEN max(CASE WHEN i = n THEN len(bad) END) > 5 THEN 'aborted' ELSE 'downloaded' END AS status, n_chars / 4 AS download_duration,
+        CASE WHEN lang <> 'en' THEN CAST(0.5 AS DOUBLE) END AS saving_duration,
+        CAST(CASE lang WHEN 'de' THEN n_chars + 0.25 WHEN 'en' THEN NULL ELSE n_chars / 4 + 0.5 END AS DOUBLE) AS total_duration
+    FROM attempts GROUP BY run_id, lang, n_chars"""
+ORACLES["run_log_files"] = ORACLES["run_log_summary"]
+_sums = [f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("attempts", "errors", "saved", "retries")]
+_sums += [f"coalesce(sum({c}), 0) AS {c}" for c in ("download_duration", "saving_duration", "total_duration")]
+ORACLES["run_log_totals"] = f"""SELECT count(*) AS runs, count(CASE WHEN status = 'aborted' THEN 1 END) AS aborted_runs, {", ".join(_sums)}
+    FROM ({ORACLES["run_log_summary"]}) x"""
 ORACLES["run_log_error_rows"] = f"""{_attempts}
     SELECT run_id, i AS attempt, CASE WHEN len(bad) > 5 THEN 'aborted' ELSE 'retrying' END AS attempt_status, unnest(bad) AS sensor_id, lang AS type
     FROM attempts"""
@@ -524,10 +594,10 @@ ORACLES["check_unique_combination"] = "SELECT l_orderkey, l_linenumber, count(*)
 ORACLES["check_unique_recent"] = """
     SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01' GROUP BY 1, 2 HAVING count(*) > 1"""
 ORACLES["check_not_null"] = """
-    SELECT c_custkey, CAST(NULL AS BIGINT) AS first_order FROM customer
-    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')"""
+    SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(NULL AS DOUBLE) AS distance, CAST(c_nationkey AS VARCHAR) AS provider_id
+    FROM customer WHERE c_nationkey % 2 = 1"""
 ORACLES["check_relationship"] = """
-    SELECT o_custkey, count(*) AS n_rows FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY 1"""
+    SELECT user_id, count(*) AS n_rows FROM events WHERE user_id NOT IN (SELECT s_suppkey FROM supplier) GROUP BY 1"""
 ORACLES["check_freshness"] = """
     SELECT m AS max_loaded_at, round(h, 6) AS age_hours, CASE WHEN h > 72 THEN 'error' WHEN h > 24 THEN 'warn' ELSE 'pass' END AS status
     FROM (SELECT max(ts) AS m, (epoch_us(TIMESTAMP '2024-02-01 12:00:00') - epoch_us(max(ts))) / 3.6e9 AS h FROM events) f"""

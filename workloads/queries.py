@@ -15,14 +15,15 @@ from hourloom.operators.calendar import hours_covered, period_label, periods_of,
 from hourloom.operators.clean import ambiguous_local, parse_datetimes
 from hourloom.operators.coverage import parameter_names
 from hourloom.operators.enrich import sensors_with_dates, wide_measurements
+from hourloom.operators.filters import exclude_banned as exclude_listed_ids
 from hourloom.operators.filters import exclude_ids, in_bbox, is_member
 from hourloom.operators.grid import entities_of
 from hourloom.operators.incremental import watermark
-from hourloom.operators.logs import run_log_errors, run_log_summary
+from hourloom.operators.logs import run_log_errors, run_log_summary, run_log_totals
 from hourloom.operators.quality import check_accepted, check_constraints
 from hourloom.plans import city, ingest, reports, staging
 from hourloom.sources import files
-from hourloom.specs import LOCATION_JSON, LOCATIONS, SPECS, TableSpec, schema_of
+from hourloom.specs import LOCATION_JSON, LOCATIONS, MEASUREMENTS, SPECS, TableSpec, schema_of
 
 from . import adapters as a
 from .adapters import NTZ, table, wall
@@ -156,6 +157,11 @@ def segments_chunked(spark, sf):
     return a.city_seg(spark, sf, chunk="day")
 
 
+@query
+def segments_of_five_series(spark, sf):
+    return a.city_seg(spark, sf, mapping=a.FIVE, perfect=5)
+
+
 @query
 def segments_default_tiers(spark, sf):
     return a.default_seg(spark, sf)
@@ -244,7 +250,7 @@ def perfect_hours_ranking(spark, sf):
         a.many_seg(spark, sf), a.places(spark, sf, a.MANY_LOCATIONS), perfect=1
     )
     # the map marker size of a ranking grows with the square of the hours
-    return ranked.withColumn("marker_size", rep.squared("location_perfect_hours"))
+    return a.positioned(ranked).withColumn("marker_size", rep.squared("location_perfect_hours"))
 
 
 @query
@@ -344,7 +350,7 @@ def _top(spark, sf, n=3):
 
 @query
 def parameter_ranking(spark, sf):
-    return h.rank_parameters(a.readings(spark, sf))
+    return a.positioned(h.rank_parameters(a.readings(spark, sf)))
 
 
 @query
@@ -440,7 +446,21 @@ def stage_weather(spark, sf):
     # every document landed twice, the second time an hour later
     later = raw.withColumn("updated_at", F.col("updated_at") + F.expr("interval 1 hour"))
     staged = staging.stage_weather(raw.unionByName(later))
-    return wall(staged).select("location_id", "datetimeto_utc", "datetimeto_local", "temperature_2m", "is_day", "updated_at")
+    return wall(staged)
+
+
+@query
+def refresh_staged_weather(spark, sf):
+    """Weather staged in full, then refreshed by the days that a later delivery changed."""
+    path = a.fresh_dir(spark, "weather")
+    first = ingest.ingest_weather(a.hourly_docs(spark, sf), "2024-01-09 00:00:00")
+    changed = F.col("temperature_2m") + 1
+    late = first.filter(F.col("datetimeto_local") >= _ntz("2024-01-08 00:00:00")).withColumns(
+        {"temperature_2m": changed, **{c: F.lit("2024-01-10 00:00:00").cast("timestamp") for c in ("updated_at", "refreshed_at")}}
+    )
+    staging.refresh_staged_weather(spark, first, path, "2024-01-10 00:00:00")
+    staging.refresh_staged_weather(spark, first.unionByName(late), path, "2024-01-10 00:00:00")
+    return wall(spark.read.parquet(path).drop("day"))
 
 
 @query
@@ -477,6 +497,12 @@ def exclude_listed(spark, sf):
     return exclude_ids(table(spark, sf, "events").select("event_id", "user_id", "value"), owing, "user_id", "c_custkey")
 
 
+@query
+def exclude_banned(spark, sf):
+    """Events of users that are not on a short fixed list."""
+    return exclude_listed_ids(table(spark, sf, "events").select("event_id", "user_id", "value"), "user_id", (3, 5, 8, 13, 21))
+
+
 @query
 def bbox_filter(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_discount", "l_tax")
@@ -502,6 +528,16 @@ def upsert_table(spark, sf):
     return wall(h.read_table(spark, path, a.ORDERS))
 
 
+@query
+def upsert_files(spark, sf):
+    """Two deliveries of landed files merged under one batch name, and removed."""
+    path, landing = a.fresh_dir(spark, "orders"), a.fresh_dir(spark, "landing")
+    for rows in (a.loaded_orders(spark, sf), a.staged_orders(spark, sf)):
+        rows.write.mode("append").parquet(landing)
+        h.upsert_files(spark, path, landing, a.ORDERS, batch="daily")
+    return wall(h.read_table(spark, path, a.ORDERS))
+
+
 @query
 def stream_upsert(spark, sf):
     landing, target = a.fresh_dir(spark, "landing"), a.fresh_dir(spark, "orders")
@@ -559,9 +595,7 @@ def refresh_measurements(spark, sf):
         staging.refresh_standardized(
             spark, spark.read.parquet(staged), sensors, locations, joined, a.SHIPPED_AS_OF, grain="month"
         )
-    return wall(spark.read.parquet(joined)).select(
-        "sensor_id", "datetimeto_utc", "value", "parameter_id", "location_id", "location_name", "updated_at"
-    )
+    return wall(spark.read.parquet(joined).drop("month"))
 
 
 @query
@@ -574,7 +608,17 @@ def ingest_upsert_locations(spark, sf):
     )
     h.upsert_table(spark, path, ingest.ingest_locations(docs, "2024-02-01 00:00:00"), LOCATIONS)
     h.upsert_table(spark, path, ingest.ingest_locations(renamed, "2024-02-02 00:00:00"), LOCATIONS)
-    return wall(h.read_table(spark, path, LOCATIONS)).select("id", "name", "ingested_at", "updated_at", "refreshed_at")
+    return wall(h.read_table(spark, path, LOCATIONS))
+
+
+@query
+def ingest_sensors(spark, sf):
+    return wall(ingest.ingest_sensors(a.sensor_docs(spark, sf), "2024-02-01 00:00:00"))
+
+
+@query
+def ingest_measurements(spark, sf):
+    return wall(ingest.ingest_measurements(a.measurement_docs(spark, sf), "2024-02-01 00:00:00", sort=True))
 
 
 @query
@@ -626,6 +670,13 @@ def ambiguous_local_times(spark, sf):
     return ambiguous_local(rows, "o_orderdate", "America/Sao_Paulo")
 
 
+@query
+def doubled_local_times(spark, sf):
+    """Half an hour before each order date, in the zone whose clocks go back to 23:00 at midnight."""
+    rows = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderdate") - F.expr("interval 30 minutes")).alias("local"))
+    return ambiguous_local(rows, "local", "America/Sao_Paulo")
+
+
 @query
 def parse_datetime_columns(spark, sf):
     rows = table(spark, sf, "orders").select(
@@ -659,8 +710,7 @@ def explode_children(spark, sf):
 
 @query
 def array_to_columns(spark, sf):
-    rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    return h.array_to_columns(rows, "embedding", ingest.BOUNDS)
+    return h.array_to_columns(a.location_docs(spark, sf).select("id", "bounds"), "bounds", ingest.BOUNDS)
 
 
 @query
@@ -670,9 +720,9 @@ def ingest_locations(spark, sf):
 
 @query
 def canonical_order(spark, sf):
-    """Rank of each event in the canonical order of its day."""
-    rows = table(spark, sf, "events").select("event_id", "ts", "user_id")
-    return h.canonical_sort(rows, ("ts", "user_id"))
+    """Position of each event in the canonical order of its day."""
+    rows = table(spark, sf, "events").select("event_id", "ts", "user_id", F.to_date("ts").alias("day"))
+    return a.positioned(h.canonical_sort(rows, ("ts", "user_id", "event_id")), "day")
 
 
 @query
@@ -705,6 +755,24 @@ def typed_scan(spark, sf):
     )
 
 
+@query
+def skip_unreadable(spark, sf):
+    """Suppliers read together with files that only claim to be parquet."""
+    good, bad = a.fresh_dir(spark, "good"), a.fresh_dir(spark, "bad")
+    rows = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    rows.write.parquet(good)
+    rows.select("s_name").write.text(bad)
+    return files.concat_files(spark, [good, bad], "parquet", rows.schema, skip_corrupt=True)
+
+
+@query
+def typed_sink(spark, sf):
+    """Measurements with the declared schema and microsecond times, written and read back."""
+    path = a.fresh_dir(spark, "typed")
+    files.write_parquet(a.raw_measurements(spark, sf), path)
+    return wall(files.read_typed(spark, path, MEASUREMENTS))
+
+
 @query
 def concat_union(spark, sf):
     """Customers and suppliers written apart, with differing columns, read and reconciled as one."""
@@ -734,7 +802,7 @@ def csv_concat(spark, sf):
 def load_append(spark, sf):
     """Truncate-load, then append: every order is there twice."""
     path = a.fresh_dir(spark, "loaded")
-    rows = a.staged_orders(spark, sf)
+    rows = a.all_orders(spark, sf)
     files.load_table(rows, path, a.ORDERS, "truncate")
     files.load_table(rows, path, a.ORDERS, "truncate")
     files.load_table(rows, path, a.ORDERS, "append")
@@ -762,9 +830,25 @@ def param_query(spark, sf):
     )
 
 
+SUMMARY = ("run_id", "sensor_count", "attempts", "errors", "saved", "retries", "status", "download_duration", "saving_duration", "total_duration")
+
+
 @query
 def run_log_summary_(spark, sf):
-    return run_log_summary(a.run_logs(spark, sf)).select("run_id", "sensor_count", "attempts", "errors", "saved", "retries", "status")
+    return run_log_summary(a.run_logs(spark, sf)).select(*SUMMARY)
+
+
+@query
+def run_log_files(spark, sf):
+    """Run logs written as JSON, a log to a line, and read back."""
+    path = a.fresh_dir(spark, "logs")
+    a.run_logs(spark, sf).write.json(path)
+    return run_log_summary(files.read_run_logs(spark, path, lines=True)).select(*SUMMARY)
+
+
+@query
+def run_log_totals_(spark, sf):
+    return run_log_totals(run_log_summary(a.run_logs(spark, sf)))
 
 
 @query
@@ -790,18 +874,15 @@ def check_unique_recent(spark, sf):
 
 @query
 def check_not_null(spark, sf):
-    """Customers without any order."""
-    first = table(spark, sf, "orders").filter("o_orderstatus = 'F'").groupBy("o_custkey").agg(F.min("o_orderkey").alias("first_order"))
-    rows = table(spark, sf, "customer").select("c_custkey").join(first, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return h.check_not_null(rows.select("c_custkey", "first_order"), "first_order")
+    """Locations without a distance: the documents of some countries have text there."""
+    rows = ingest.ingest_locations(a.location_docs(spark, sf), "2024-02-01 00:00:00")
+    return h.check_not_null(rows, "distance").select("id", "name", "distance", "provider_id")
 
 
 @query
 def check_relationship(spark, sf):
-    """Orders whose customer is not among those with a positive balance."""
-    return h.check_relationship(
-        table(spark, sf, "orders"), "o_custkey", table(spark, sf, "customer").filter("c_acctbal > 0"), "c_custkey"
-    )
+    """Users of events that are no supplier's number."""
+    return h.check_relationship(table(spark, sf, "events"), "user_id", table(spark, sf, "supplier"), "s_suppkey")
 
 
 @query
@@ -841,4 +922,5 @@ def row_reconciliation(spark, sf):
     return per_file.select("rows_in_files", rows.agg(F.count(F.lit(1)).alias("n")).scalar().alias("rows_in_frame"))
 
 
-QUERIES["run_log_summary"] = QUERIES.pop("run_log_summary_")
\ No newline at end of file
+QUERIES["run_log_summary"] = QUERIES.pop("run_log_summary_")
+QUERIES["run_log_totals"] = QUERIES.pop("run_log_totals_")
\ No newline at end of file
