@@ -145,23 +145,22 @@ def density_histogram(
     span = one.agg(F.min("_d").alias("_lo"), F.max("_d").alias("_hi"))
     half = F.when(F.col("_lo") == F.col("_hi"), 0.5).otherwise(0.0)
     edge = span.select((F.col("_lo") - half).alias("_lo"), (F.col("_hi") + half).alias("_hi"))
-    # both ends in one value: the segments are planned once for them, and once for the counts
-    ends = edge.select(F.struct("_lo", "_hi")).scalar()
-    lo, hi = ends["_lo"], ends["_hi"]
+    # the ends travel with the rows from here on, so the segments are planned once for them and once for the counts
+    ended = one.select("_d", edge.select(F.struct("_lo", "_hi")).scalar().alias("_e"))
+    lo, hi = F.col("_e._lo"), F.col("_e._hi")
     hits = (
-        one.select(F.least(F.width_bucket(F.col("_d"), lo, hi, F.lit(bins)), F.lit(bins)).cast("int").alias("bin"))
+        ended.select(F.least(F.width_bucket(F.col("_d"), lo, hi, F.lit(bins)), F.lit(bins)).cast("int").alias("bin"), "_e")
         .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.first("_e").alias("_e"))
     )
-    frame = seg.sparkSession.range(1, bins + 1).select(
-        F.col("id").cast("int").alias("bin"), lo.alias("_lo"), hi.alias("_hi")
-    )
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    return frame.filter(F.col("_lo").isNotNull()).join(hits, "bin", "left").select(
+    # no more than ``bins`` rows meet here
+    whole = hits.agg(F.map_from_entries(F.collect_list(F.struct("bin", "_n"))).alias("_counts"), F.first("_e").alias("_e"))
+    width = (hi - lo) / bins
+    return whole.filter(F.col("_e").isNotNull()).select("*", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")).select(
         "bin",
-        (F.col("_lo") + width * (F.col("bin") - 1)).alias("bin_start"),
-        (F.col("_lo") + width * F.col("bin")).alias("bin_end"),
-        F.coalesce("_n", F.lit(0)).alias("segment_count"),
+        (lo + width * (F.col("bin") - 1)).alias("bin_start"),
+        (lo + width * F.col("bin")).alias("bin_end"),
+        F.coalesce(F.try_element_at("_counts", F.col("bin")), F.lit(0)).alias("segment_count"),
     )
 
 

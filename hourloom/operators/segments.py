@@ -175,43 +175,78 @@ def segment_by_series(
     grid: DataFrame, value_cols: Sequence[str], entity: str = ENTITY, ts: str = TS,
     concurrent: str = CONCURRENT, perfect: int = PERFECT_SENSORS,
     max_gap_hours: int = MAX_SERIES_GAP_HOURS, gold_hours: int = GOLD_HOURS,
-    silver_hours: int = SILVER_HOURS,
+    silver_hours: int = SILVER_HOURS, chunk: str | None = None,
 ) -> DataFrame:
     """The second strategy: the distance is that of the series silent for longest.
 
     Each series remembers its own last reading. A row opens a segment while the leading series
     (the first of ``value_cols``) has not reported yet; later rows stay while no series has been
-    silent for more than ``max_gap_hours``.
+    silent for more than ``max_gap_hours``. ``chunk`` spreads the work as in :func:`segment`.
     """
     w = Window.partitionBy(entity).orderBy(ts)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    last = {c: F.last(F.when(F.col(c).isNotNull(), F.col(ts)), ignorenulls=True).over(before)
-            for c in value_cols}
+    hit = {c: F.when(F.col(c).isNotNull(), F.col(ts)) for c in value_cols}
+    if chunk:
+        grid = _last_by_chunk(grid, hit, entity, ts, chunk)
+    else:
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        grid = grid.select("*", *[F.last(e, ignorenulls=True).over(before).alias(f"_last_{c}") for c, e in hit.items()])
     lead = f"_last_{value_cols[0]}"
     silence = [
         F.coalesce(hours_between(F.col(ts), F.col(f"_last_{c}")), F.lit(0)) for c in value_cols
     ]
     widest = F.greatest(*silence) if len(silence) > 1 else silence[0]
     unseen = F.col(lead).isNull()
-    kept = [c for c in grid.columns if c not in (entity, ts, concurrent)]
+    kept = [c for c in grid.columns if c not in (entity, ts, concurrent, "_chunk") and not c.startswith("_last_")]
     own, whole = Window.partitionBy(entity, "segments_num"), Window.partitionBy(entity)
-    numbered = (
-        grid.select("*", *[e.alias(f"_last_{c}") for c, e in last.items()])
-        .withColumn("hours_since_last", widest)
+    marked = (
+        grid.withColumn("hours_since_last", widest)
         .withColumn(
             "is_new_segment",
             F.when(unseen | (F.col("hours_since_last") > max_gap_hours), 1).otherwise(0),
         )
         .filter((F.col("hours_since_last") <= max_gap_hours) | unseen)
-        .withColumn("segments_num", F.sum("is_new_segment").over(w))
         .withColumn("is_perfect_hour", perfect_flag(concurrent, perfect))
-        .select(
-            "*",
-            F.max("segments_num").over(whole).alias("segments_total"),
-            F.min(ts).over(own).alias("segment_start"),
-            F.max(ts).over(own).alias("segment_end"),
-            F.sum("is_perfect_hour").over(own).alias("segment_perfect_hours"),
-        )
     )
     columns = [entity, ts, "hours_since_last", concurrent, "is_new_segment", *kept]
+    if chunk:
+        return _describe(_totals_by_chunk(marked, entity, ts), columns, entity, gold_hours, silver_hours)
+    numbered = marked.withColumn("segments_num", F.sum("is_new_segment").over(w)).select(
+        "*",
+        F.max("segments_num").over(whole).alias("segments_total"),
+        F.min(ts).over(own).alias("segment_start"),
+        F.max(ts).over(own).alias("segment_end"),
+        F.sum("is_perfect_hour").over(own).alias("segment_perfect_hours"),
+    )
     return _describe(numbered, columns, entity, gold_hours, silver_hours)
+
+
+def _last_by_chunk(grid: DataFrame, hit, entity: str, ts: str, chunk: str) -> DataFrame:
+    """The last reading of each series before a row: from its own chunk, else from a row per chunk."""
+    local = grid.withColumn("_chunk", F.date_trunc(chunk, ts))
+    before = Window.partitionBy(entity, "_chunk").orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(entity).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    ends = local.groupBy(entity, "_chunk").agg(*[F.max(e).alias(f"_end_{c}") for c, e in hit.items()])
+    carry = ends.select(
+        entity, "_chunk", *[F.last(f"_end_{c}", ignorenulls=True).over(earlier).alias(f"_carry_{c}") for c in hit]
+    )
+    local = local.select("*", *[F.last(e, ignorenulls=True).over(before).alias(f"_own_{c}") for c, e in hit.items()])
+    out = null_safe_join(local, carry, [entity, "_chunk"])
+    return out.withColumns({f"_last_{c}": F.coalesce(f"_own_{c}", f"_carry_{c}") for c in hit}).drop(
+        *[f"_{n}_{c}" for c in hit for n in ("own", "carry")]
+    )
+
+
+def _totals_by_chunk(marked: DataFrame, entity: str, ts: str) -> DataFrame:
+    """Numbers and bounds of segments from running sums inside chunks and a row per chunk or segment."""
+    running = Window.partitionBy(entity, "_chunk").orderBy(ts)
+    earlier = Window.partitionBy(entity).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    opened = marked.groupBy(entity, "_chunk").agg(F.sum("is_new_segment").alias("_n")).select(
+        entity, "_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    numbered = null_safe_join(marked.withColumn("_own", F.sum("is_new_segment").over(running)), opened, [entity, "_chunk"])
+    numbered = numbered.withColumn("segments_num", F.col("_own") + F.col("_before"))
+    totals = numbered.groupBy(entity, "segments_num").agg(
+        F.min(ts).alias("segment_start"), F.max(ts).alias("segment_end"), F.sum("is_perfect_hour").alias("segment_perfect_hours")
+    )
+    totals = totals.withColumn("segments_total", F.max("segments_num").over(Window.partitionBy(entity)))
+    return null_safe_join(numbered, totals, [entity, "segments_num"])

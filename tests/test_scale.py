@@ -1,6 +1,7 @@
 """What the plans must keep to when the data grows: pushdown, pruning, shuffles, skew."""
 
 import datetime as dt
+import re
 
 import pytest
 from conftest import rows
@@ -125,3 +126,33 @@ def test_write_parquet_is_snappy_with_microseconds(spark, tmp_path):
     assert part.metadata.row_group(0).column(0).compression == "SNAPPY"
     assert "MICROS" in str(part.schema).upper() or "microseconds" in str(part.schema)
     assert rows(spark.read.parquet(str(tmp_path / "p"))) == [(at,)]
+
+
+def test_a_chain_of_dimensions_meets_the_facts_once(spark, tmp_path):
+    import hourloom as h
+
+    for name, cols in (("facts", "k int, v int"), ("near", "id int, far_id int"), ("far", "id int, name string")):
+        spark.createDataFrame([], cols).write.parquet(str(tmp_path / name))
+    facts, near, far = (spark.read.parquet(str(tmp_path / n)) for n in ("facts", "near", "far"))
+    wide = h.enrich(facts, [h.Dim(near, "k", "id", {"far_id": "far_id"}), h.Dim(far, "far_id", "id", {"name": "name"})])
+    assert wide.columns == ["k", "v", "far_id", "name"]
+    plan = wide._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [line for line in plan if "Join" in line]
+    fact_depth = next(line for line in plan if "v#" in line and "Relation" in line)
+    # the facts hang directly under the upper join
+    assert len(joins) == 2 and len(fact_depth) - len(fact_depth.lstrip(" :+-")) < max(len(j) - len(j.lstrip(" :+-")) for j in joins) + 6
+
+
+def test_histogram_plans_the_segments_twice_at_most(spark, tmp_path):
+    import hourloom as h
+
+    rows = [("a", f"s{i}", i / 10) for i in range(11)]
+    spark.createDataFrame(rows, "location_id string, segment_id string, segment_perfect_density double").write.parquet(str(tmp_path / "seg"))
+    got = h.density_histogram(spark.read.parquet(str(tmp_path / "seg")), 5)
+    assert [r["segment_count"] for r in got.orderBy("bin").collect()] == [2, 2, 2, 2, 3]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = h.density_histogram(spark.read.parquet(str(tmp_path / "seg")), 5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan parquet") == 1 and len(set(re.findall(r"subquery#(\d+)", plan))) == 1

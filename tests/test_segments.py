@@ -178,3 +178,31 @@ def test_tracking_columns(spark):
         (hour(3), 0, hour(1), hour(1), 2),
         (hour(4), 1, hour(1), hour(1), 3),
     ]
+
+
+def test_chunks_keep_an_unknown_location(spark):
+    """A NULL location is a location: measurements of sensors nobody knows end there."""
+    text = "P" * 8 + "." * 12 + "P..P" + "." * 3
+    grid = frame(spark, {"a": text}).unionByName(frame(spark, {"b": text}).withColumn("location_id", F.lit(None).cast("string")))
+    for chunk in ("hour", "day"):
+        assert rows(h.segment(grid, chunk=chunk)) == rows(h.segment(grid))
+    assert h.segment(grid, chunk="day").filter("location_id is null").count() == 12
+    bounds = spark.createDataFrame(
+        [(loc, f"s{i}", hour(20 * i), hour(20 * i + 25)) for loc in ("a", None) for i in range(5)],
+        "location_id string, segment_id string, segment_start timestamp_ntz, segment_end timestamp_ntz",
+    )
+    for chunk in ("day", "week"):
+        assert rows(h.overlapping_segments(bounds, chunk=chunk)) == rows(h.overlapping_segments(bounds))
+    assert h.overlapping_segments(bounds, chunk="day").filter("location_id is null").count() == 4
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.booleans(), st.booleans()), min_size=1, max_size=60), st.booleans())
+def test_series_by_chunk_are_the_same(spark, present, unknown):
+    data = [
+        (None if unknown else "a", hour(i), 1.0 if x else None, 1.0 if y else None, int(x) + int(y)) for i, (x, y) in enumerate(present)
+    ] + [("z", hour(i), None, 2.0, 1) for i in range(4)]
+    grid = spark.createDataFrame(data, "location_id string, datetimeto_utc timestamp_ntz, x double, y double, concurrent_sensors long")
+    whole = rows(h.segment_by_series(grid, ["x", "y"], perfect=2))
+    for chunk in ("hour", "day"):
+        assert rows(h.segment_by_series(grid, ["x", "y"], perfect=2, chunk=chunk)) == whole
