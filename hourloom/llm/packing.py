@@ -275,12 +275,12 @@ def cut_points(heads: np.ndarray, sentences: np.ndarray, width: int, step: int,
 def pack_block(ids: np.ndarray, heads: np.ndarray, sentences: np.ndarray, width: int, sentence_cost: int = 1, word_cost: int = 8) -> tuple[np.ndarray, ...]:
     """Pieces of one block: document, start in it, length, checksum, tokens of the document, window, offset in it.
 
-    What is left for the last window is cut into powers of two, which need no padding, down to 64."""
+    What is left for the last window is cut into powers of two, which need no padding."""
     at, penalty = cut_points(heads, sentences, width, 16, sentence_cost, word_cost)
     cuts = at[best_cuts(at, penalty, width)]
     tail = int(cuts[-1] - cuts[-2])
     ends = [int(cuts[-2])]
-    while tail >= 64 and tail & (tail - 1):
+    while tail & (tail - 1):
         part = 1 << (tail.bit_length() - 1)
         ends.append(ends[-1] + part)
         tail -= part
