@@ -35,29 +35,13 @@ def _repeat_words(order: str) -> Column:
     )
 
 
-def rules(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    host_col: str = "source",
-    min_words: int = 20,
-    repeat_percent: int = 30,
-    min_docs: int = 10,
-    docs_share: float = 0.005,
-    keep_share: float = 0.2,
-    broadcast_rows: int = 200_000,
-) -> DataFrame:
-    """One row for each row of `docs`: counts, base_failed, n_common_lines, common_share (of the characters, in lines
-    that go) and kept.
+def _host(name: str) -> Column:
+    """The host as a value that is never null."""
+    return F.coalesce(F.concat(F.lit("h"), F.col(name)), F.lit("none"))
 
-    A line goes if more distinct texts of its host than `min_docs` and `docs_share` of them hold it; a document is
-    depleted if less than `keep_share` of its characters would stay. Equal texts of a host count once, so copies alone
-    never make a line common. A null text has no words and lines; a null host is a host of its own. Equal rows each
-    get a row, an empty table gives an empty one, other columns are ignored.
 
-    Texts are read once, and only hashes of lines are shuffled. `docs_share` bounds the common lines of a host to its
-    mean lines per text over docs_share; they are broadcast up to `broadcast_rows`, joined by shuffle beyond.
-    """
+def _counted(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+    """A row for each row of `docs`, numbered: its counts, and the hash and length of each of its lines."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = docs.select(
         F.col(id_col).alias("id"), F.col(host_col).alias("host"), text.alias("text"), F.array_remove(F.split(text, SPACES), "").alias("words")
@@ -85,18 +69,46 @@ def rules(
     )
     stats = stats.withColumn("n_repeat_words", F.when(F.col("order").isNotNull(), _repeat_words("order")).otherwise(0)).drop("order")
     # landed once, so a row's number stays what it is
-    stats = landed(stats.withColumn("row", F.monotonically_increasing_id()), "line-hashes")
+    return landed(stats.withColumn("row", F.monotonically_increasing_id()), "line-hashes")
+
 
-    host = F.coalesce(F.concat(F.lit("h"), F.col("host")), F.lit("none"))
-    each = stats.select(host.alias("host"), "digest", F.array_distinct("keys.line").alias("lines"))
+def common_lines(stats: DataFrame, min_docs: int, docs_share: float) -> DataFrame:
+    """host and hash of the lines above the limits, counted over distinct texts before and after the shuffle."""
+    each = stats.select(_host("host").alias("host"), "digest", F.array_distinct("keys.line").alias("lines"))
     each = each.groupBy("host", "digest").agg(F.first("lines").alias("lines"))
     sizes = each.groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
     counts = each.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
     counts = counts.filter(F.col("docs") > min_docs)
     common = counts.join(sizes, "host").filter(F.col("docs") > F.col("texts") * docs_share).select("host", "line")
-    common = landed(common, "common-lines")
+    return landed(common, "common-lines")
+
 
-    rows = stats.select("row", host.alias("host"), F.explode("keys").alias("key")).withColumn("line", F.col("key.line"))
+def rules(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+    min_words: int = 20,
+    repeat_percent: int = 30,
+    min_docs: int = 10,
+    docs_share: float = 0.005,
+    keep_share: float = 0.2,
+    broadcast_rows: int = 200_000,
+) -> DataFrame:
+    """One row for each row of `docs`: counts, base_failed, n_common_lines, common_share (of the characters, in lines
+    that go) and kept.
+
+    A line goes if more distinct texts of its host than `min_docs` and `docs_share` of them hold it; a document is
+    depleted if less than `keep_share` of its characters would stay. Equal texts of a host count once, so copies alone
+    never make a line common. A null text has no words and lines; a null host is a host of its own. Equal rows each
+    get a row, an empty table gives an empty one, other columns are ignored.
+
+    Texts are read once, and only hashes of lines are shuffled. `docs_share` bounds the common lines of a host to its
+    mean lines per text over docs_share; they are broadcast up to `broadcast_rows`, joined by shuffle beyond.
+    """
+    stats = _counted(docs, id_col, text_col, host_col)
+    common = common_lines(stats, min_docs, docs_share)
+    rows = stats.select("row", _host("host").alias("host"), F.explode("keys").alias("key")).withColumn("line", F.col("key.line"))
     small = common.count() <= broadcast_rows
     lost = rows.join(F.broadcast(common) if small else common, ["host", "line"])
     lost = lost.groupBy("row").agg(F.sum("key.chars").alias("lost"), F.count(F.lit(1)).alias("gone"))
@@ -113,3 +125,24 @@ def rules(
         F.coalesce("gone", F.lit(0)).cast("long").alias("n_common_lines"),
         lost_share.alias("common_share"),
     )
+
+
+def clean(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = 10, docs_share: float = 0.005, keep_share: float = 0.2
+) -> DataFrame:
+    """`docs` without the common lines of their host, and without the documents that these had depleted.
+
+    Texts without such lines stay as they are, null ones too; so do other columns. A host meets its documents with all its
+    common lines in one array, which `docs_share` bounds.
+    """
+    common = common_lines(_counted(docs, id_col, text_col, host_col), min_docs, docs_share)
+    listed = common.groupBy("host").agg(F.collect_list("line").alias("listed"))
+    text = F.col(f"doc.{text_col}")
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), _host(host_col).alias("host")).join(listed, "host", "left")
+    rows = rows.withColumn("lines", F.split(F.coalesce(text, F.lit("")), "\n"))
+    rows = rows.withColumn("gone", F.array_intersect(F.transform("lines", lambda x: F.xxhash64(normalised(x))), F.coalesce("listed", F.array().cast("array<bigint>"))))
+    left = F.filter("lines", lambda x: ~(x.rlike(A_WORD) & F.array_contains("gone", F.xxhash64(normalised(x)))))
+    rows = rows.withColumn("clean", F.when(F.size("gone") > 0, F.array_join(left, "\n")).otherwise(text))
+    solid = [F.length(F.regexp_replace(c, "\n", "")) for c in (F.coalesce("clean", F.lit("")), F.coalesce(text, F.lit("")))]
+    rows = rows.filter(solid[0] >= keep_share * solid[1])
+    return rows.select(*[F.col("clean").alias(c) if c == text_col else F.col(f"doc.{c}") for c in docs.columns])

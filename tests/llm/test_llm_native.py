@@ -89,6 +89,17 @@ def test_line_rules_common(spark, broadcast_rows):
     assert all(got[i]["kept"] and got[i]["n_common_lines"] == 0 for i in [*range(70, 78), *range(80, 130)])
 
 
+def test_clean_lines(spark):
+    menu = "Home Products About Contact"
+    rows = [(i, f"{menu}\nown text of number {'abcdefghijklmnopqrstuvwxyz'[i]} and more of it", "en", "a", 0) for i in range(20)]
+    rows += [(30, f"{menu}\nx", "en", "a", 0), (31, f"{menu}\nx", "en", "b", 0), (32, None, "en", "a", 0), (33, "", None, None, 0)]
+    got = line_rules.clean(frame(spark, rows))
+    assert got.columns == frame(spark, rows).columns
+    text = {r["doc_id"]: r["text"] for r in got.collect()}
+    assert set(text) == {*range(20), 31, 32, 33} and text[31] == rows[21][1] and text[32] is None and text[33] == ""
+    assert all(text[i] == rows[i][1].split("\n")[1] for i in range(20))
+
+
 def spans(t):
     out = {}
     out["email"] = [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
