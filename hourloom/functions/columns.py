@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,12 +51,25 @@ def to_long(c: Column, source: T.DataType | None = None) -> Column:
     return whole
 
 
+# fixed values: names under which the session zone is UTC
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "Zulu", "Etc/Zulu", "UCT", "Universal", "+00:00")
+
+
+def require_utc() -> None:
+    """Fail early in a session of another zone: clock readings and instants would be mixed up silently."""
+    spark = SparkSession.getActiveSession()
+    zone = spark.conf.get("spark.sql.session.timeZone") if spark else "UTC"
+    if zone not in UTC_NAMES:
+        raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}; build_session sets it")
+
+
 def moment(value, kind: T.DataType) -> Column:
     """A point in time given by the caller: text, a datetime, or a column.
 
     A datetime goes in as text. As a literal it would be read in the time zone of the Python
     process, not of the session.
     """
+    require_utc()
     if isinstance(value, Column):
         return value.cast(kind)
     if isinstance(value, dt.datetime):
@@ -68,6 +81,7 @@ def moment(value, kind: T.DataType) -> Column:
 
 def instant(c: Column, strict: bool = True) -> Column:
     """A moment in time. Text without an offset is read in the session zone, which is UTC."""
+    require_utc()
     return c.cast("timestamp") if strict else c.try_cast("timestamp")
 
 
@@ -78,6 +92,7 @@ def wall_clock(c: Column, strict: bool = True) -> Column:
 
 def local_to_utc(local: Column, zone: Column | str) -> Column:
     """Wall clock in a named zone to the UTC instant (session zone UTC)."""
+    require_utc()
     return F.to_utc_timestamp(local.cast("timestamp"), zone)
 
 

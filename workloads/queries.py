@@ -13,7 +13,7 @@ from hourloom.operators import reports as rep
 from hourloom.operators import split as spl
 from hourloom.operators.calendar import hours_covered, period_label, periods_of, spine_of
 from hourloom.operators.clean import ambiguous_local, parse_datetimes
-from hourloom.operators.coverage import parameter_names
+from hourloom.operators.coverage import parameter_names, rank_counts
 from hourloom.operators.enrich import sensors_with_dates, wide_measurements
 from hourloom.operators.filters import exclude_banned as exclude_listed_ids
 from hourloom.operators.filters import exclude_ids, in_bbox, is_member
@@ -343,11 +343,33 @@ def split_report_overview(spark, sf):
     return out
 
 
+def _part(report, name):
+    def part(spark, sf):
+        if report is reports.segment_report:
+            return report(a.city_seg(spark, sf), list(a.THREE))[name]
+        return report(a.many_seg(spark, sf), a.MANY_TEST_IDS, perfect=1)[name]
+
+    return part
+
+
+# the composed reports part by part, row by row
+for _name in ("tiers", "dense_tiers", "overlaps", "durations", "gold_locations"):
+    QUERIES[f"segment_report_{_name}"] = _part(reports.segment_report, _name)
+for _name in ("gold_locations", "train_locations", "per_location", "shares", "timeline", "monthly"):
+    QUERIES[f"split_report_{_name}"] = _part(reports.split_report, _name)
+
+
 # Parameter coverage ---------------------------------------------------------------------------
 def _top(spark, sf, n=3):
     return h.top_parameters(h.rank_parameters(a.readings(spark, sf)), n)
 
 
+def _checked(spark, sf):
+    """From one row per location and parameter, so the readings are aggregated once."""
+    pairs = h.coverage_counts(a.readings(spark, sf))
+    return h.coverage_check(pairs, h.top_parameters(rank_counts(pairs), 3), 3)
+
+
 @query
 def parameter_ranking(spark, sf):
     return a.positioned(h.rank_parameters(a.readings(spark, sf)))
@@ -365,12 +387,12 @@ def rarest_parameter(spark, sf):
 
 @query
 def coverage_check(spark, sf):
-    return h.coverage_check(a.readings(spark, sf), _top(spark, sf), 3)
+    return _checked(spark, sf)
 
 
 @query
 def coverage_share(spark, sf):
-    return h.coverage_share(h.coverage_check(a.readings(spark, sf), _top(spark, sf), 3))
+    return h.coverage_share(_checked(spark, sf))
 
 
 @query
