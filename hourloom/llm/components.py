@@ -19,10 +19,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     before = None
     for _ in range(rounds):
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # the minima are landed, so that the join below has rows of its own to shuffle and a large node can be split
+        least = landed(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "large-least")
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = landed(large, "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = landed(large.groupBy("a").agg(F.min("b").alias("m")), "small-least")
         pairs = large.join(least, "a")
         small = pairs.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).distinct()
         now = landed(small, "small-star")

@@ -6,8 +6,8 @@ is where enumerating starts to cost more than scanning.
 
 A list of a single shingle is no use where passages are shared by many texts. The lists of large sets are therefore kept by
 groups of shingles: the shingles of a set fall by hash into more groups than partners can differ in, so partners agree on
-whole groups, and texts that share but a passage hardly ever do. Sets that meet in a list or subset form families; a family
-is verified exactly, in blocks of bounded size.
+whole groups, on several of them by construction. Texts that share but a passage agree on few, and are told apart by counting.
+Sets that meet in a subset or in enough lists form families; a family is verified exactly, in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from hourloom.llm.components import components
 U64 = np.uint64
 HALF = U64(0xFFFFFFFF)
 FILTER_BITS = 1 << 24
+SUBSET = 4095  # stands in the last bits of a signature where group signatures have their level
+CROWD = 12  # lists up to this length are taken pair by pair
 
 
 # --- sets ------------------------------------------------------------------------------------------------------------
@@ -83,19 +85,21 @@ def overlap(total: int, percent: int) -> int:
 
 
 @lru_cache(8)
-def levels(percent: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sizes at which levels start, and for each level how many groups it has and how many of them may be empty.
+def levels(percent: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes at which levels start, and for each level how many groups it has, how many of them may be empty, and how many
+    groups that aren't empty linked sets agree on beyond the first.
 
-    A set on level i has partners of its own level and the next, or, as the larger one, of the level before. Partners
-    with the smaller one on level i differ in d shingles at most, so among d + 1 + slack groups slack + 1 are equal."""
-    starts, groups, slack = [1], [], []
+    A set on level i has partners of its own level and the next, or, as the larger one, of the level before. Partners with
+    the smaller one on level i differ in d shingles at most, so of d + 1 + slack + spare groups 1 + slack + spare are equal."""
+    starts, groups, slack, spare = [1], [], [], []
     while starts[-1] <= most:
         starts.append(starts[-1] * 100 // percent + 1)
         top = starts[-1] - 1
         d = (top + top * 100 // percent) * (100 - percent) // (100 + percent)
         slack.append(2 + d // 32 if d else 0)
-        groups.append(d + 1 + slack[-1])
-    return np.array(starts), np.array(groups), np.array(slack)
+        spare.append((d + 1 + slack[-1]) // 4)
+        groups.append(d + 1 + slack[-1] + spare[-1])
+    return np.array(starts), np.array(groups), np.array(slack), np.array(spare)
 
 
 def subset_sizes(n: int, percent: int) -> set[int]:
@@ -109,7 +113,7 @@ def enumeration_cost(n: int, percent: int) -> int:
 
 def boundary(sizes: dict[int, int], percent: int, most: int = 40) -> int:
     """The largest size of a small set: enumerating all up to it, and listing and verifying all above, costs least."""
-    starts, groups, _ = levels(percent, most + 1)
+    starts, groups, *_ = levels(percent, most + 1)
     best, cost, gain = 0, 0.0, 0.0
     for n in range(1, most + 1):
         level = int(np.searchsorted(starts, n, side="right")) - 1
@@ -123,7 +127,7 @@ def boundary(sizes: dict[int, int], percent: int, most: int = 40) -> int:
 def group_signatures(off: np.ndarray, s: np.ndarray, percent: int, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of the groups of the picked sets, on their own level and the one before, and whose they are."""
     size = np.diff(off)
-    starts, groups, slack = levels(percent, int(size.max(initial=1)))
+    starts, groups, slack, _ = levels(percent, int(size.max(initial=1)))
     own = np.searchsorted(starts, size, side="right") - 1
     out_sig, out_set = [], []
     for back in (0, 1):
@@ -144,7 +148,8 @@ def group_signatures(off: np.ndarray, s: np.ndarray, percent: int, pick: np.ndar
         # empty groups agree too; they count where a set has more of them than slack
         full |= (m - np.add.reduceat(full.astype(np.int64), base[:-1]) > slack[level])[owner]
         name = mix((level[owner].astype(U64) << U64(40)) + (np.arange(n) - base[:-1][owner]).astype(U64))
-        out_sig.append(mix(low + mix(high + name))[full])
+        sig = mix(low + mix(high + name))
+        out_sig.append(((sig & ~U64(SUBSET)) | level[owner].astype(U64))[full])  # the last bits tell the level
         out_set.append(sets[owner[full]])
     if not out_sig:
         return np.zeros(0, dtype=U64), np.zeros(0, dtype=np.int64)
@@ -162,7 +167,7 @@ def subset_signatures(off: np.ndarray, s: np.ndarray, percent: int, pick: np.nda
                 continue
             gone = list(itertools.combinations(range(len(v)), len(v) - c))
             left = total[i] - (v[np.array(gone)].sum(axis=1, dtype=U64) if len(v) > c else np.zeros(1, dtype=U64))
-            out_sig.append(mix(left + mix(np.full(1, c, dtype=U64))))
+            out_sig.append(mix(left + mix(np.full(1, c, dtype=U64))) | U64(SUBSET))
             out_set.append(np.full(len(gone), i))
     if not out_sig:
         return np.zeros(0, dtype=U64), np.zeros(0, dtype=np.int64)
@@ -243,31 +248,73 @@ def _signatures(docs: DataFrame, text_col: str, k: int, seed: int, percent: int,
     return docs.select(docs[text_col].alias("text")).mapInArrow(signed, "sig long, node long")
 
 
-def _meetings(signatures: DataFrame) -> DataFrame:
-    """Edges from the smallest node of each list to the others."""
+def _lists(signatures: DataFrame) -> DataFrame:
+    """What lists of two nodes or more say: kind 0, a pair of nodes and how many lists of a level it shares; kind 1, a list
+    (a) longer than CROWD and a node in it (b); kind 2, an edge from a shared subset."""
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sig, node = [], []
         for b in batches:
             sig.append(np.asarray(b.column(0)))
             node.append(np.asarray(b.column(1)))
         if not sig:
             return
-        sig, node = np.concatenate(sig), np.concatenate(node)
-        order = np.argsort(sig, kind="stable")
-        sig, node = sig[order], node[order]
+        both = np.stack([np.concatenate(sig), np.concatenate(node)], axis=1)
+        both = both[np.lexsort((both[:, 1], both[:, 0]))]
+        new = np.ones(len(both), dtype=bool)
+        new[1:] = (both[1:] != both[:-1]).any(axis=1)
+        sig, node = np.ascontiguousarray(both[new].T)
         first = np.ones(len(sig), dtype=bool)
         first[1:] = sig[1:] != sig[:-1]
         head = np.flatnonzero(first)
         length = np.diff(np.append(head, len(sig)))
-        some = length > 1
-        least = np.minimum.reduceat(node, head)[some]
-        other = node[ragged(head[some], length[some])]
-        least = np.repeat(least, length[some])
-        pairs = np.unique(np.stack([other, least], axis=1)[other != least], axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], names=["a", "b"])
-
-    return signatures.repartition("sig").mapInArrow(meet, "a long, b long")
+        tag = sig[head] & SUBSET
+        for size in range(2, CROWD + 1):
+            at = head[(length == size) & (tag != SUBSET)]
+            for i in range(size) if len(at) else ():
+                for j in range(i):
+                    yield rows(0, node[at + i], node[at + j], sig[at] & SUBSET)
+        at = (length > CROWD) & (tag != SUBSET)
+        spots = ragged(head[at], length[at])
+        yield rows(1, sig[spots], node[spots], sig[spots] & SUBSET)
+        at = (length > 1) & (tag == SUBSET)
+        spots = ragged(head[at] + 1, length[at] - 1)
+        yield rows(2, node[spots], np.repeat(node[head[at]], length[at] - 1), np.full(len(spots), SUBSET))
+
+    def rows(kind: int, a: np.ndarray, b: np.ndarray, level: np.ndarray) -> pa.RecordBatch:
+        if kind != 1 and len(a):  # the same pair from many lists: counted here, before it is shuffled
+            pairs, n = np.unique(np.stack([a, b, level], axis=1), axis=0, return_counts=True)
+            a, b, level = np.ascontiguousarray(pairs.T)
+        else:
+            n = np.ones(len(a), dtype=np.int64)
+        columns = [np.full(len(a), kind, dtype=np.int64), a, b, level.astype(np.int64), n]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "a", "b", "level", "n"])
+
+    return signatures.repartition("sig").mapInArrow(read, "kind long, a long, b long, level long, n long")
+
+
+def _meetings(signatures: DataFrame, percent: int) -> DataFrame:
+    """Edges between nodes whose sets may be linked: a pair that shares as many lists as linked sets must, or the members
+    of a crowded list for whom such lists are no exception.
+
+    Linked sets share 1 + spare lists of their level at least. A set that stands in `spare` crowded lists at most meets its
+    partners in other lists too, so it can leave the crowded ones; partners that meet in crowded lists alone stand, both of
+    them, in more than that."""
+    found = landed(_lists(signatures), "lists")
+    spares = levels(percent, 1 << 62)[3].tolist()
+    spare = F.element_at(F.array(*map(F.lit, spares)), (F.col("level") + 1).cast("int"))
+    crowded = found.filter("kind = 1")
+    times = landed(crowded.groupBy(F.col("b").alias("node"), "level").agg(F.count(F.lit(1)).alias("crowds")), "crowds")
+    pairs = found.filter("kind = 0").groupBy("a", "b", "level").agg(F.sum("n").alias("n"))
+    for side in ("a", "b"):
+        pairs = pairs.join(times.select(F.col("node").alias(side), "level", F.col("crowds").alias(f"crowds_{side}")), [side, "level"], "left")
+    least = F.least(F.coalesce("crowds_a", F.lit(0)), F.coalesce("crowds_b", F.lit(0)))
+    near = pairs.filter(F.col("n") + least > spare).select("a", "b")
+    full = times.filter(F.col("crowds") > spare).select(F.col("node").alias("b"), "level")
+    members = landed(crowded.join(full, ["b", "level"]).select(F.col("a").alias("list"), F.col("b").alias("node")), "crowded")
+    first = members.groupBy("list").agg(F.min("node").alias("b"))
+    stars = members.join(first, "list").filter("node <> b").select(F.col("node").alias("a"), "b")
+    return near.union(stars).union(found.filter("kind = 2").select("a", "b"))
 
 
 def _filter_bits(nodes: DataFrame) -> np.ndarray:
@@ -353,7 +400,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
         if thin.groupBy("node").agg((F.min("second") != F.max("second")).alias("clash")).filter("clash").isEmpty():
             break  # else two different sets share a name: hash anew
     sizes = {r["n"]: r["count"] for r in thin.filter("n between 1 and 40").groupBy("n").count().collect()}
-    met = landed(_meetings(_signatures(docs, text_col, k, seed, percent, boundary(sizes, percent))), "meetings")
+    met = _meetings(_signatures(docs, text_col, k, seed, percent, boundary(sizes, percent)), percent)
     family = components(met)
     counts = family.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     family = landed(family.join(counts, "root"), "families")
@@ -386,20 +433,27 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     A null id counts as smaller than any other. Of rows that agree in id and set one stays."""
     thin, roots, seed = links(docs, id_col, text_col, k, percent, block)
     full = thin.filter("n > 0").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    winner = full.groupBy("root").agg(F.min(F.struct("id", "node")).alias("w")).select("w.id", "w.node")
+    groups = full.groupBy("root").agg(F.min(F.struct("id", "node")).alias("best"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    members = landed(full.select("root", "node").distinct().join(groups, "root").select("node", "best"), "members")
+    # a filter of fixed size lets texts without company pass, so only the others are shuffled
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_bits(members))
     schema = docs.select(F.struct(*docs.columns).alias("doc"), docs[id_col].alias("id")).schema
+    schema = schema.add("node", "long").add("alone", "boolean")
 
     def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for first, off, s in shingle_sets(b.column(2), k, seed):
                 n = len(off) - 1
-                columns = [b.column(0).slice(first, n), b.column(1).slice(first, n), pa.array(names(off, s)[0].view(np.int64)), pa.array(np.diff(off))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc", "id", "node", "n"])
+                node = names(off, s)[0]
+                at = mix(node) % U64(FILTER_BITS)
+                hit = ((shared.value[at >> U64(6)] >> (at & U64(63))) & U64(1)).astype(bool) & (np.diff(off) > 0)
+                columns = [b.column(0).slice(first, n), b.column(1).slice(first, n), pa.array(node.view(np.int64)), pa.array(~hit)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "id", "node", "alone"])
 
     rows = docs.select(F.struct(*docs.columns).alias("doc"), docs[id_col].alias("id"), docs[text_col].alias("text"))
-    rows = rows.mapInArrow(tagged, schema.add("node", "long").add("n", "long"))
-    winner = winner.select(F.col("node"), F.col("id").alias("best"))
-    kept = rows.filter("n > 0").join(winner, "node").filter(F.col("id").eqNullSafe(F.col("best")))
+    rows = rows.mapInArrow(tagged, schema)
+    near = rows.filter("not alone").join(members, "node", "left")
+    near = near.filter(F.col("best").isNull() | (F.col("id").eqNullSafe(F.col("best.id")) & (F.col("node") == F.col("best.node"))))
     if not thin.filter("n > 0").groupBy("id", "node").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["node"])
-    return kept.select("doc.*").union(docs.filter(~F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")))
+        near = near.dropDuplicates(["node"])
+    return rows.filter("alone").select("doc.*").union(near.select("doc.*"))

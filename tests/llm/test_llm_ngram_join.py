@@ -77,6 +77,12 @@ def test_components(spark, rows, block):
     assert sorted(got, key=repr) == brute(rows)
 
 
+def test_crowded_lists(spark, rows, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CROWD", 2)
+    got = [tuple(x) for x in ngram_join.classes(frame(spark, rows)).collect()]
+    assert sorted(got, key=repr) == brute(rows)
+
+
 def test_other_thresholds(spark, rows):
     some = rows[::2]
     got = [tuple(x) for x in ngram_join.classes(frame(spark, some), k=5, percent=80).collect()]
@@ -103,7 +109,12 @@ def test_every_linked_pair_meets():
                     for sig, who in (ngram_join.subset_signatures(off, s, percent, few), ngram_join.group_signatures(off, s, percent, many)):
                         for x, i in zip(sig.tolist(), who.tolist(), strict=True):
                             found[i].add(x)
-                    assert found[0] & found[1], (percent, n, small)
+                    shared = found[0] & found[1]
+                    assert shared, (percent, n, small)
+                    for level in {x & ngram_join.SUBSET for x in shared} - {ngram_join.SUBSET}:
+                        own = int(np.searchsorted(ngram_join.levels(percent, 4000)[0], min(len(a), len(b)), side="right")) - 1
+                        if level == own and len(few) == 0:
+                            assert sum(x & ngram_join.SUBSET == level for x in shared) > ngram_join.levels(percent, 4000)[3][level]
 
 
 def test_boundary_follows_cost():
