@@ -74,25 +74,34 @@ def check_accepted(df: DataFrame, col: str, values: Sequence) -> DataFrame:
 
 
 def check_constraints(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:
-    """Violations per declared constraint (key, required columns, foreign keys) of each table given."""
-    found = []
-
-    def note(table, rule, df, total):
-        found.append(
-            df.agg(F.coalesce(total, F.lit(0)).cast("long").alias("violations")).select(
-                F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations"
-            )
-        )
+    """Violations per declared constraint (key, required columns, foreign keys) of each table given.
 
+    A table is read and shuffled once: rows are counted by its key and foreign keys, and every rule is told
+    from these counts, which the rules of a table share.
+    """
+    found = []
     for name, df in tables.items():
         spec = specs[name]
-        note(name, f"unique({', '.join(spec.keys)})", check_unique(df, spec.keys), F.count(F.lit(1)))
+        links = [fk for fk in spec.foreign_keys if fk.parent in tables]
+        by = list(dict.fromkeys([*spec.keys, *[fk.column for fk in links]]))
+        lacking = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.required], F.lit(False))
+        counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), F.count_if(lacking).alias("_lacking"))
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in spec.keys])
+        keys = counts.groupBy(*spec.keys).agg(F.sum("_rows").alias("_rows"), F.sum("_lacking").alias("_lacking"))
+        rules = [F.struct(F.lit(f"unique({', '.join(spec.keys)})").alias("rule"), F.col("_twice").alias("violations"))]
         if spec.required:
-            # one pass for all required columns
-            bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.required])
-            note(name, "required", df.filter(bad), F.count(F.lit(1)))
-        for fk in spec.foreign_keys:
-            if fk.parent in tables:
-                broken = check_relationship(df, fk.column, tables[fk.parent], fk.parent_column)
-                note(name, f"{fk.column} -> {fk.parent}.{fk.parent_column}", broken, F.sum("n_rows"))
+            rules.append(F.struct(F.lit("required").alias("rule"), F.col("_short").alias("violations")))
+        sums = keys.agg(
+            F.count_if(known & (F.col("_rows") > 1)).alias("_twice"), F.coalesce(F.sum("_lacking"), F.lit(0)).cast("long").alias("_short")
+        )
+        found.append(sums.select(F.lit(name).alias("table_name"), F.inline(F.array(*rules))))
+        for fk in links:
+            used = counts.filter(F.col(fk.column).isNotNull()).groupBy(fk.column).agg(F.sum("_rows").alias("_rows"))
+            ids = tables[fk.parent].select(F.col(fk.parent_column).alias("_pk"))
+            broken = used.join(ids, F.col(fk.column) == F.col("_pk"), "left_anti")
+            found.append(
+                broken.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("violations")).select(
+                    F.lit(name).alias("table_name"), F.lit(f"{fk.column} -> {fk.parent}.{fk.parent_column}").alias("rule"), "violations"
+                )
+            )
     return reduce(DataFrame.unionByName, found)
