@@ -33,6 +33,12 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most `rows` rows in this session: with whole texts in them, Spark's 10,000 would take too much
+    memory on both sides of a Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(c, UPPER, LOWER)

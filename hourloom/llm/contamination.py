@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import FOLD, Texts, landed, mix, ragged, rolling, span_hashes, texts
+from hourloom.llm.common import FOLD, Texts, bounded_batches, landed, mix, ragged, rolling, span_hashes, texts
 
 U64 = np.uint64
 FILTER_BITS = 1 << 24
@@ -186,6 +186,7 @@ def contaminated(
     empty result; other columns are ignored. Only windows that pass a filter of fixed size are joined, so the shuffle holds
     little more than true matches.
     """
+    bounded_batches(docs.sparkSession)
     index = landed(benchmark_windows(benchmark, item_col, item_text, size, words, shortest), "benchmark-windows")
     rows = _matches(docs, index, id_col, text_col, broadcast_rows)
     place = rows.groupBy("key", "num", "item", "shift").agg(

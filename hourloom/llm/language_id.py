@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourloom.llm.common import bounded_batches
+
 UNKNOWN = "und"
 BITS = 15  # n-grams are hashed to 2^BITS features
 ORDERS = 3
@@ -139,6 +141,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     The sample has `per_language` documents of each language at most, picked by a hash of id and text; its last
     `kept_back` part fits the temperature. Without any labelled text the model knows no language.
     """
+    bounded_batches(docs.sparkSession)
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (fold(F.col(id_col)) != 0))
     known = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.length(text_col), F.crc32(text_col)).alias("h"))
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # one row for each language

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import landed, mix, ragged, rolling, span_hashes, texts
+from hourloom.llm.common import bounded_batches, landed, mix, ragged, rolling, span_hashes, texts
 from hourloom.llm.components import components
 
 U64 = np.uint64
@@ -395,6 +395,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
     """The documents (id, n, node), for each node that has links the root of its component, and the hashes' seed.
 
     Families above `block` sets are verified in pairs of blocks, so a task holds 2 * block sets at a time."""
+    bounded_batches(docs.sparkSession)
     for seed in range(8):
         thin = landed(_thin(docs, id_col, text_col, k, seed), "sets")
         if thin.groupBy("node").agg((F.min("second") != F.max("second")).alias("clash")).filter("clash").isEmpty():

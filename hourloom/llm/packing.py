@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from hourloom.llm.common import mix, powers, ragged
+from hourloom.llm.common import bounded_batches, mix, powers, ragged
 
 U64 = np.uint64
 END = 0  # the token after each document
@@ -85,7 +85,7 @@ class Pieces:
 
     `ranks` is the same vocabulary in the form that encodes a single piece fastest; without it the tokenizer does."""
 
-    def __init__(self, path: str, ranks: str | None = None, most: int = 1_000_000):
+    def __init__(self, path: str, ranks: str | None = None, most: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -102,7 +102,7 @@ class Pieces:
         self.clear()
 
     def clear(self) -> None:
-        slots = 4 << (2 * self.most).bit_length()
+        slots = 1 << (2 * self.most).bit_length()
         self.key = np.zeros(slots, dtype=U64)  # open addressing; 0 is free
         self.slot = np.zeros(slots, dtype=np.int32)
         self.count = 0
@@ -171,9 +171,10 @@ class Pieces:
         if len(new):
             hashes, sample = np.unique(h[new], return_index=True)
             if self.count + len(hashes) > self.most:
+                hashes, sample = np.unique(h, return_index=True)
+                self.most = max(self.most, 2 * len(hashes))  # one text alone may have more
                 self.clear()
                 index = np.full(len(h), -1)
-                hashes, sample = np.unique(h, return_index=True)
                 new = np.arange(len(h))
             sample = new[sample]
             raw = x.astype("<u4").tobytes()
@@ -308,6 +309,7 @@ def pack(
     empty one. `tokenizer` is the path of a byte-level vocabulary that every executor can read,
     `ranks` that of the same vocabulary as ranks, which is faster.
     """
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     schema = f"id {kind}, " + ", ".join(f"`{n}` long" for n in names) + (", ids array<int>" if with_ids else "")

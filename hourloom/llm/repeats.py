@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import Texts, landed, mix, powers, ragged, span_hashes, texts
+from hourloom.llm.common import Texts, bounded_batches, landed, mix, powers, ragged, span_hashes, texts
 
 U64 = np.uint64
 GRAM = 24
@@ -323,6 +323,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
 
     Spans may overlap. Grams with more than `group` different segments are settled by hashes of their single strings,
     aggregated before the shuffle, instead of in one task."""
+    bounded_batches(docs.sparkSession)
     rows = _keyed(docs, id_col, text_col).drop("own")
     known = landed(_settled(_filed(rows, least), least), "segments")
     asked = known.filter("kind = 1").select("id", "uid", "start", F.col("stop").alias("count"), "h")
