@@ -14,10 +14,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import bounded_batches
+from hourloom.llm.common import bounded_batches, landed
 
 UNKNOWN = "und"
 BITS = 15  # n-grams are hashed to 2^BITS features
@@ -138,45 +138,60 @@ def fold(id_: Column) -> Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 800, kept_back: float = 0.25) -> Model:
     """A model from the documents that have a language and aren't held out.
 
-    The sample has `per_language` documents of each language at most, picked by a hash of id and text; its last
-    `kept_back` part fits the temperature. Without any labelled text the model knows no language.
+    The sample are the `per_language` documents with letters of each language that have the least hashes of id and text,
+    so neither size nor order of the table tell which; rows of equal id and text count once. Its last `kept_back` part fits
+    the temperature. Without any labelled text with letters the model knows no language.
     """
     bounded_batches(docs.sparkSession)
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (fold(F.col(id_col)) != 0))
-    known = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.length(text_col), F.crc32(text_col)).alias("h"))
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # one row for each language
+    known = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.length(text_col), F.crc32(text_col)).alias("h"))
     width = 1 << BITS
 
-    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def learnt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Document frequencies of features, and of each language the least hashes of texts with letters."""
         df = np.zeros(width + 1, dtype=np.int64)
+        least: dict[str, set[int]] = {}
+        bound: dict[str, int] = {}
         for b in batches:
-            for text in b.column(0).to_pylist():
+            for text, lang, h in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 counts = gram_counts(text)
-                if counts is not None:
-                    df[:-1] += counts > 0
-                    df[-1] += 1
+                if counts is None:
+                    continue
+                df[:-1] += counts > 0
+                df[-1] += 1
+                if h < bound.get(lang, 1 << 63):
+                    mine = least.setdefault(lang, set())
+                    mine.add(h)
+                    if len(mine) >= 2 * per_language:
+                        least[lang] = set(sorted(mine)[:per_language])
+                        bound[lang] = max(least[lang])
         at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], names=["feature", "docs"])
-
-    rows = known.select("text").mapInArrow(frequencies, "feature long, docs long").groupBy("feature").agg(F.sum("docs").alias("docs")).toPandas()
+        names = ["feature", "docs", "lang", "h"]
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at]), pa.nulls(len(at), pa.string()), pa.nulls(len(at), pa.int64())], names=names)
+        for lang, mine in least.items():
+            h = sorted(mine)[:per_language]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.int64()), pa.nulls(len(h), pa.int64()), pa.array([lang] * len(h), pa.string()), pa.array(h, pa.int64())], names=names)
+
+    seen = landed(known.select("text", "lang", "h").mapInArrow(learnt, "feature long, docs long, lang string, h long"), "language-features")
+    rows = seen.filter("feature is not null").groupBy("feature").agg(F.sum("docs").alias("docs")).toPandas()
     df = np.zeros(width + 1)
     df[rows["feature"].to_numpy(np.int64)] = rows["docs"].to_numpy(np.float64)
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
-    steps = 1 << 20
-    share = F.pmod(F.col("h"), F.lit(steps))
-    wanted = [(F.col("lang") == name) & (share < int(min(1.0, 1.2 * per_language / n + 0.001) * steps)) for name, n in sizes.items()]
-    if not wanted:
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    first = seen.filter("h is not null").select("lang", "h").distinct().withColumn("place", place).filter(F.col("place") <= per_language)
+    most = {r["lang"]: r["most"] for r in first.groupBy("lang").agg(F.max("h").alias("most")).collect()}  # one row for each language
+    if not most:
         return Model((), idf, np.zeros((0, width + 1)))
-    picked = wanted[0]
-    for w in wanted[1:]:
-        picked = picked | w
-    picked = known.filter(picked).select("lang", "h", "text").limit(2 * per_language * len(sizes)).sort("h").collect()
-    names, taken, sample = tuple(sorted(sizes)), dict.fromkeys(sizes, 0), []
+    picked = F.lit(False)
+    for name, h in most.items():
+        picked = picked | ((F.col("lang") == name) & (F.col("h") <= h))
+    # equal rows are one; another hash gives the order, since the least hashes of a large language are less than those of a small one
+    picked = known.filter(picked).groupBy("lang", "h").agg(F.min("text").alias("text")).sort(F.xxhash64("h"), "h", "lang").collect()
+    names, sample = tuple(sorted(most)), []
     for r in picked:
         counts = gram_counts(r["text"])
-        if counts is not None and taken[r["lang"]] < per_language:
-            taken[r["lang"]] += 1
+        if counts is not None:
             at = np.flatnonzero(counts)
             sample.append((at, counts[at], names.index(r["lang"])))
     cut = len(sample) - int(len(sample) * kept_back)

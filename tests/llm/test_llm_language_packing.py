@@ -48,6 +48,19 @@ def test_languages_without_labels(spark):
     assert {r["lang_pred"] for r in language_id.identify(frame(spark, one)).collect()} == {"xx"}
 
 
+def test_sample_is_that_of_any_order(spark):
+    words = F.when(F.col("id") < 6000, F.concat(F.lit("the quick fox "), F.col("id"))).otherwise(F.concat(F.lit("der faule Hund "), F.col("id")))
+    df = spark.range(12_000).select(F.col("id").alias("doc_id"), words.alias("text"), F.when(F.col("id") < 6000, "en").otherwise("de").alias("lang"))
+    few = df.filter("doc_id >= 5990 and doc_id < 6000 or doc_id >= 6000")
+    for rows in (df, few):
+        models = [language_id.fit(rows.repartitionByRange(4, by), per_language=2) for by in (F.col("doc_id"), F.col("doc_id").desc())]
+        assert models[0].languages == ("de", "en") and (models[0].weights == models[1].weights).all() and (models[0].idf == models[1].idf).all()
+        assert models[0].temperature == models[1].temperature
+        assert models[0].predict("the quick fox")[0] == "en" and models[0].predict("der faule Hund")[0] == "de"
+    copies = df.union(df.filter("doc_id = 1").crossJoin(spark.range(500)).drop("id"))
+    assert (language_id.fit(copies, per_language=2).weights != 0).any()
+
+
 def test_rejects(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
     odd = df.limit(2).withColumn("text", F.lit("123 !!"))
