@@ -160,3 +160,27 @@ def test_pipeline_of_hard_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         none = stage(spark, none, SF)
         assert none.count() == 0
+
+
+def found_in(spark, texts_, items):
+    docs = frame(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts_)])
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]): r["coverage"] for r in contamination.report(docs, bench).collect()}
+
+
+def test_items_with_few_words(spark):
+    items = [
+        "What is 17 times 23?", "Compute 12 + 45 - 7", "Sort 9 4 7 1 8 in ascending order", "Who wrote Anna Karenina?", "What is DNA?", "11 2 33 4 5", "Explain how rain clouds form",
+        "Add 1 2 3 4 5 6 7 8 9 10 11 12",
+    ]
+    near = [f"he said {t} and then they all went home" for t in items]
+    other = [
+        "They ask: What is 3 times 5?", "Now compute 1 + 2 - 3 please", "now Sort 2 3 4 5 6 in ascending order", "who wrote David Copperfield", "Notes\nWhat is DNA?\nIt is",
+        "6 7 8 9 10", "we Explain how rain clouds form", "so Add 2 3 4 5 6 7 8 9 10 11 12 13 now",
+    ]
+    got = found_in(spark, near + other, items)
+    n = len(items)
+    assert set(got) == {(i, i) for i in range(n) if i != 4} | {(n + i, i) for i in range(n) if i != 5}
+    assert all(c == 1 for c in got.values())
+    items = ["What is 17 times 17?"]
+    assert set(found_in(spark, ["so What is 5 times 5 now", "so What is 5 times 6 now"], items)) == {(0, 0)}
