@@ -286,12 +286,14 @@ def _covered(offs: str) -> Column:
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-    size: int = 8, words: int = 4, shortest: int = 4, share: float = 0.5, run: int = 13, broadcast_rows: int = 200_000,
+    size: int = 8, words: int = 4, shortest: int = 4, share: float = 0.5, run: int = 13, passages: bool = False,
+    broadcast_rows: int = 200_000,
 ) -> DataFrame:
     """key, num, id, item, coverage of every document and benchmark item of which one of these holds:
 
     Their templates agree in at least `share` of the item's tokens, all in places where the values are consistent. Every
-    run of `run` words of the item, or of a shorter one all, stands in the document as it is. The item has no window
+    run of `run` words of the item, or of a shorter one all, stands in the document as it is; with `passages` a single
+    such run is enough, whatever share of the item it is and whether or not values around it agree. The item has no window
     with `words` words, and its whole template is in the document with consistent values. An item of fewer than
     `shortest` tokens must be a line of the document, word for word.
 
@@ -328,7 +330,7 @@ def contaminated(
     item = item.withColumn("every", F.array_sort(F.array_union("loose", "raw")))
     strict, loose, every = (_covered(c) / F.col("tokens") for c in ("strict", "loose", "every"))
     item = item.select("*", strict.alias("by_template"), loose.alias("opened"), every.alias("all"))
-    item = item.filter((F.col("by_template") >= share) | (F.col("opened") >= share) | (_covered("raw") == F.col("tokens")))
+    item = item.filter((F.col("by_template") >= share) | (F.col("opened") >= share) | (_covered("raw") >= (F.lit(1) if passages else F.col("tokens"))))
     return item.select("key", "num", "id", "item", F.when(F.col("by_template") >= share, F.col("by_template")).otherwise(F.col("all")).alias("coverage"))
 
 

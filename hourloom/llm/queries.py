@@ -24,8 +24,8 @@ def op3_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, be it with other parameters, and the item."""
-    return contamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """Documents that hold a benchmark item, be it with other parameters, or a passage of it, and the item."""
+    return contamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), passages=True)
 
 
 def op5_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -162,10 +162,10 @@ def test_pipeline_of_hard_documents(spark):
         assert none.count() == 0
 
 
-def found_in(spark, texts_, items):
+def found_in(spark, texts_, items, **options):
     docs = frame(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts_)])
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
-    return {(r["doc_id"], r["item_id"]): r["coverage"] for r in contamination.report(docs, bench).collect()}
+    return {(r["doc_id"], r["item_id"]): r["coverage"] for r in contamination.report(docs, bench, **options).collect()}
 
 
 def test_items_with_few_words(spark):
@@ -184,3 +184,15 @@ def test_items_with_few_words(spark):
     assert all(c == 1 for c in got.values())
     items = ["What is 17 times 17?"]
     assert set(found_in(spark, ["so What is 5 times 5 now", "so What is 5 times 6 now"], items)) == {(0, 0)}
+
+
+def test_verbatim_runs_of_long_items(spark):
+    r = random.Random(4)
+    w = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(59)]
+    w[20], w[30], w[40] = "7", "7", "8"
+    docs = [f"so {' '.join(w[10:35])} end", f"so {' '.join(w[10:23])} end", f"so {' '.join(w[10:22])} end", " ".join(["7" if x == "8" else "9" if i == 30 else x for i, x in enumerate(w)])]
+    got = found_in(spark, docs, [" ".join(w)], passages=True)
+    assert {d: round(c * 59) for (d, _), c in got.items()} == {0: 25, 1: 13, 3: 30 + 18}
+    bench = spark.createDataFrame([(0, " ".join(w))], "item_id long, text string")
+    kept = contamination.drop_contaminated(frame(spark, [(i, t, "en", "s", 0) for i, t in enumerate(docs)]), bench, passages=True)
+    assert [r["doc_id"] for r in kept.collect()] == [2]
