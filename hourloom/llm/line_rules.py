@@ -72,15 +72,16 @@ def _counted(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Data
     return landed(stats.withColumn("row", F.monotonically_increasing_id()), "line-hashes")
 
 
-def common_lines(stats: DataFrame, min_docs: int, docs_share: float) -> DataFrame:
-    """host and hash of the lines above the limits, counted over distinct texts before and after the shuffle."""
+def _lines_of_texts(stats: DataFrame) -> DataFrame:
+    """host, digest and the hashes of the lines of every distinct text."""
     each = stats.select(_host("host").alias("host"), "digest", F.array_distinct("keys.line").alias("lines"))
-    each = each.groupBy("host", "digest").agg(F.first("lines").alias("lines"))
-    sizes = each.groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
-    counts = each.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
-    counts = counts.filter(F.col("docs") > min_docs)
-    common = counts.join(sizes, "host").filter(F.col("docs") > F.col("texts") * docs_share).select("host", "line")
-    return landed(common, "common-lines")
+    return each.groupBy("host", "digest").agg(F.first("lines").alias("lines"))
+
+
+def common_lines(stats: DataFrame, min_docs: int) -> DataFrame:
+    """host and hash of the lines above the limit, counted over distinct texts before and after the shuffle."""
+    counts = _lines_of_texts(stats).select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
+    return landed(counts.filter(F.col("docs") > min_docs).select("host", "line"), "common-lines")
 
 
 def rules(
@@ -91,23 +92,22 @@ def rules(
     min_words: int = 20,
     repeat_percent: int = 30,
     min_docs: int = 10,
-    docs_share: float = 0.005,
     keep_share: float = 0.2,
     broadcast_rows: int = 200_000,
 ) -> DataFrame:
     """One row for each row of `docs`: counts, base_failed, n_common_lines, common_share (of the characters, in lines
     that go) and kept.
 
-    A line goes if more distinct texts of its host than `min_docs` and `docs_share` of them hold it; a document is
+    A line goes if more than `min_docs` distinct texts of its host hold it, however large the host is; a document is
     depleted if less than `keep_share` of its characters would stay. Equal texts of a host count once, so copies alone
     never make a line common. A null text has no words and lines; a null host is a host of its own. Equal rows each
     get a row, an empty table gives an empty one, other columns are ignored.
 
-    Texts are read once, and only hashes of lines are shuffled. `docs_share` bounds the common lines of a host to its
-    mean lines per text over docs_share; they are broadcast up to `broadcast_rows`, joined by shuffle beyond.
+    Texts are read once, and only hashes of lines are shuffled. Common lines are broadcast up to `broadcast_rows`, joined
+    by shuffle beyond.
     """
     stats = _counted(docs, id_col, text_col, host_col)
-    common = common_lines(stats, min_docs, docs_share)
+    common = common_lines(stats, min_docs)
     rows = stats.select("row", _host("host").alias("host"), F.explode("keys").alias("key")).withColumn("line", F.col("key.line"))
     small = common.count() <= broadcast_rows
     lost = rows.join(F.broadcast(common) if small else common, ["host", "line"])
@@ -128,19 +128,20 @@ def rules(
 
 
 def clean(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = 10, docs_share: float = 0.005, keep_share: float = 0.2
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = 10, keep_share: float = 0.2
 ) -> DataFrame:
     """`docs` without the common lines of their host, and without the documents that these had depleted.
 
-    Texts without such lines stay as they are, null ones too; so do other columns. A host meets its documents with all its
-    common lines in one array, which `docs_share` bounds.
+    Texts without such lines stay as they are, null ones too; so do other columns. A document meets only those common
+    lines that it has.
     """
-    common = common_lines(_counted(docs, id_col, text_col, host_col), min_docs, docs_share)
-    listed = common.groupBy("host").agg(F.collect_list("line").alias("listed"))
+    stats = _counted(docs, id_col, text_col, host_col)
+    held = _lines_of_texts(stats).select("host", "digest", F.explode("lines").alias("line"))
+    listed = held.join(common_lines(stats, min_docs), ["host", "line"]).groupBy("host", "digest").agg(F.collect_list("line").alias("gone"))
     text = F.col(f"doc.{text_col}")
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), _host(host_col).alias("host")).join(listed, "host", "left")
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), _host(host_col).alias("host"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("digest"))
+    rows = rows.join(listed, ["host", "digest"], "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<bigint>")))
     rows = rows.withColumn("lines", F.split(F.coalesce(text, F.lit("")), "\n"))
-    rows = rows.withColumn("gone", F.array_intersect(F.transform("lines", lambda x: F.xxhash64(normalised(x))), F.coalesce("listed", F.array().cast("array<bigint>"))))
     left = F.filter("lines", lambda x: ~(x.rlike(A_WORD) & F.array_contains("gone", F.xxhash64(normalised(x)))))
     rows = rows.withColumn("clean", F.when(F.size("gone") > 0, F.array_join(left, "\n")).otherwise(text))
     solid = [F.length(F.regexp_replace(c, "\n", "")) for c in (F.coalesce("clean", F.lit("")), F.coalesce(text, F.lit("")))]

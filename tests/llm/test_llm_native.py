@@ -100,6 +100,16 @@ def test_clean_lines(spark):
     assert all(text[i] == rows[i][1].split("\n")[1] for i in range(20))
 
 
+def test_common_lines_of_a_large_host(spark):
+    menu = "Home Products About Contact Imprint"
+    own = lambda i: " ".join(f"{chr(97 + i // 26 ** k % 26)}{chr(97 + k)}{w}" for k in range(4) for w in "abcdefg")
+    rows = [(i, f"{menu}\n{own(i)}" if i < 11 else own(i), "en", "a", 0) for i in range(2400)]
+    got = line_rules.rules(frame(spark, rows), repeat_percent=100).filter("n_common_lines > 0").collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(11))
+    text = {r["doc_id"]: r["text"] for r in line_rules.clean(frame(spark, rows)).collect()}
+    assert text == {i: own(i) for i in range(2400)}
+
+
 def spans(t):
     out = {}
     out["email"] = [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
