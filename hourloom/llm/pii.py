@@ -62,7 +62,7 @@ KINDS = (
     Kind("phone", PHONE, r"\+[0-9]", lambda t: F.length(digits(t)).between(9, 15), r"^\+(1|7|33|34|44|49|39|41|43|55|81|86|91)", r"(?i)(phone|tel|call|mobile|fax)", True),
     Kind(
         "secret",
-        r"(?i)\b(?:pass(?:word|wd)|secret|token|api[_-]?key)\b\x20?[:=]\x20?[\"']?[A-Za-z0-9/+_-]{8,128}+|\bAKIA[0-9A-Z]{16}\b",
+        r"(?i)\b(?:pass(?:word|wd)|secret|token|api[_-]?key)\b\x20?[:=]\x20?[\"']?[A-Za-z0-9/+_-]{8,}+|\bAKIA[0-9A-Z]{16}\b",
         r"[=:]|AKIA",
         lambda t: t.rlike(r"[0-9].*[0-9]"),
         r"(?i)(password|token|secret|api|AKIA)",

@@ -149,6 +149,15 @@ def test_redaction(spark):
     assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: "mail <EMAIL> now, or <PHONE>", 2: None, 3: "clean 12 text", 4: "é😀 <EMAIL>"}
 
 
+def test_long_secrets(spark):
+    value = "aB3/x_9-" * 40
+    rows = [(i, f"login token = {value[:n]} end", "en", "s", 0) for i, n in enumerate((8, 128, 129, 300))] + [(9, "user secret=" + "k7" * 50_000, "en", "s", 0)]
+    got = {r["doc_id"]: r["text"] for r in pii.redact(frame(spark, rows)).collect()}
+    assert got == {**dict.fromkeys(range(4), "login <SECRET> end"), 9: "user <SECRET>"}
+    spans_ = {r["doc_id"]: r["spans"] for r in pii.digest(pii.detect(frame(spark, rows))).collect()}
+    assert spans_[3] == "secret:6:314"
+
+
 def test_empty(spark):
     none = frame(spark, [])
     for df in (licenses.scan(none), line_rules.rules(none), pii.digest(pii.detect(none)), pii.redact(none)):
