@@ -11,11 +11,18 @@ SPACES = r"[\x20\x09-\x0D]+"
 A_WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
+MASKING = 20  # letters of a line whose digits are no part of it
 
 
 def normalised(line: Column) -> Column:
-    """Letters in lower case; whatever stands between them is one blank, so counters and dates don't tell lines apart."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}]+", " "))
+    """Letters in lower case; whatever stands between them is one blank, so counters and dates don't tell lines apart.
+
+    Lines without letters, and those with digits but fewer than MASKING letters or four for each digit, count as they stand."""
+    letters = F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}]+", " "))
+    trimmed = F.regexp_replace(line, f"^{SPACES}|{SPACES}$", "")
+    n = F.length(F.translate(letters, " ", ""))
+    text = (n >= MASKING) & (n >= 4 * F.length(F.regexp_replace(line, r"\P{N}+", "")))
+    return F.when(~line.rlike(r"\p{L}"), trimmed).when(~line.rlike(r"\p{N}"), letters).when(text, letters).otherwise(F.lower(trimmed))
 
 
 def _repeat_words(order: str) -> Column:

@@ -110,6 +110,19 @@ def test_common_lines_of_a_large_host(spark):
     assert text == {i: own(i) for i in range(2400)}
 
 
+def test_lines_of_numbers(spark):
+    table = lambda i: "\n".join(f"{i * 100 + k} {i}.{k}" for k in range(30))
+    rows = [(i, table(i), "en", "a", 0) for i in range(15)]
+    rows += [(20 + i, "\n".join(f"Temperature {i}.{k}" for k in range(30)), "en", "b", 0) for i in range(15)]
+    rows += [(40 + i, f"own text of {chr(97 + i) * 4} {'and more ' * 20}\n ---\t", "en", "c", 0) for i in range(15)]
+    rows += [(60 + i, f"own text of {chr(97 + i) * 4} {'and more ' * 20}\nRead by {i} of our subscribers today", "en", "d", 0) for i in range(15)]
+    got = {r["doc_id"]: r for r in line_rules.rules(frame(spark, rows), repeat_percent=100).collect()}
+    assert all(got[i]["kept"] and got[i]["n_common_lines"] == 0 for i in [*range(15), *range(20, 35)])
+    assert all(got[i]["kept"] and got[i]["n_common_lines"] == 1 for i in [*range(40, 55), *range(60, 75)])
+    text = {r["doc_id"]: r["text"] for r in line_rules.clean(frame(spark, rows)).collect()}
+    assert all(text[r[0]] == (r[1] if r[0] < 40 else r[1].split("\n")[0]) for r in rows)
+
+
 def spans(t):
     out = {}
     out["email"] = [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
