@@ -6,10 +6,12 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import EPOCH_WATERMARK, SOURCE_LOOKBACK_DAYS, TARGET_LOOKBACK_DAYS
 from ..functions import moment
 from ..sources import paths
+from .publish import DAYS, WHOLE, Output, finish, known_days, publish
 
 DAY = "day"
 _GRAINS = ("day", "month", "year")
@@ -42,13 +44,23 @@ def watermark(
     )
 
 
+def journal_watermark(known: DataFrame, kind: T.DataType, as_of, lookback: int = TARGET_LOOKBACK_DAYS, grain: str = DAY) -> DataFrame:
+    """The watermark by a table's journal (:func:`known_days`): no row of the table is read for it."""
+    bound = moment(as_of, kind) - F.expr(f"interval {lookback} day")
+    newest = F.max("newest").cast(kind)
+    return known.filter(F.col("day") >= day_of(bound, grain)).agg(
+        F.coalesce(newest, F.lit(EPOCH_WATERMARK).cast(kind)).alias("watermark")
+    )
+
+
 def changed_days(
-    source: DataFrame, target: DataFrame, ts_col: str, as_of, updated_col: str = "updated_at",
+    source: DataFrame, target: DataFrame | None, ts_col: str, as_of, updated_col: str = "updated_at",
     target_ts_col: str | None = None, source_lookback: int = SOURCE_LOOKBACK_DAYS,
-    target_lookback: int = TARGET_LOOKBACK_DAYS, grain: str = DAY,
+    target_lookback: int = TARGET_LOOKBACK_DAYS, grain: str = DAY, mark: DataFrame | None = None,
 ) -> DataFrame:
-    """Days holding a recent source row updated at or after the target's watermark."""
-    mark = watermark(target, target_ts_col or ts_col, updated_col, as_of, target_lookback, grain)
+    """Days holding a recent source row updated at or after the watermark: ``mark``, or else the target's."""
+    if mark is None:
+        mark = watermark(target, target_ts_col or ts_col, updated_col, as_of, target_lookback, grain)
     return (
         _recent(source, ts_col, as_of, source_lookback, grain)
         .filter(F.col(updated_col) >= mark.scalar())
@@ -97,13 +109,25 @@ def refresh_days(
 
     Only days of the look-back are considered, so an update to an older day needs ``full=True``,
     as does dropping days that no longer have any source row.
+
+    The rebuilt days are published through the table's journal: a job that is killed leaves the table as it was or is
+    finished by the next call, and the watermark is that of the last refresh that went through as a whole. A table that
+    has no journal yet is asked for its newest update instead.
     """
     out_ts = target_ts_col or ts_col
+    finish(spark, path)
+    mode, gone = WHOLE, None
     if not full and paths.has_files(spark, path):
+        known, target = known_days(spark, path), spark.read.parquet(path)
+        kind = target.schema[updated_col].dataType
+        mark = None if known is None else journal_watermark(known, kind, as_of, target_lookback, grain)
         days = changed_days(
-            source, spark.read.parquet(path), ts_col, as_of, updated_col, out_ts,
-            source_lookback, target_lookback, grain,
-        )
-        stored = grain if grain in source.columns else None
-        source = rows_of_days(source, days, ts_col, stored, grain)
-    overwrite_days(build(source), path, out_ts, sort_cols, grain)
+            source, target, ts_col, as_of, updated_col, out_ts, source_lookback, target_lookback, grain, mark
+        ).collect()  # at most one for each day of the look-back
+        own = F.col(grain) if grain in source.columns else day_of(ts_col, grain)
+        source = source.filter(own.isin([d[0] for d in days]))
+        mode, gone = DAYS, spark.createDataFrame(days, f"{grain} date")
+    out = build(source)
+    out = out.withColumn(grain, day_of(out_ts, grain))
+    keys = [c for c in (*sort_cols, out_ts) if c in out.columns]
+    publish(spark, path, [Output(out, path, mode, grain, keys, updated_col, gone)])

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..operators.clean import conform
 from ..operators.incremental import day_of
+from ..operators.publish import finish, replace_table
 from ..specs import RUN_LOG_JSON, TableSpec
 
 _READERS = ("parquet", "csv", "json")
@@ -93,17 +94,27 @@ def concat_to(
 
 
 def load_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "truncate") -> None:
-    """Load a frame into a stored table, ``append`` or ``truncate``."""
+    """Load a frame into a stored table, ``append`` or ``truncate``.
+
+    The old rows of a truncated table go when all of the new ones have been written beside it; a load that is killed
+    leaves the old table, or is finished by the next load.
+    """
     if mode not in ("append", "truncate"):
         raise ValueError("mode must be 'append' or 'truncate'")
     out = conform(df, spec)
     if spec.time_col:
         out = out.withColumn(spec.grain, day_of(spec.time_col, spec.grain))
-        out = out.hint("rebalance", F.col(spec.grain))
-        out = out.sortWithinPartitions(spec.grain, *spec.sort_cols, spec.time_col)
-    writer = out.write.mode("append" if mode == "append" else "overwrite")
-    writer = writer.option("partitionOverwriteMode", "static")
-    (writer.partitionBy(spec.grain) if spec.time_col else writer).parquet(path)
+    grain = spec.grain if spec.time_col else None
+    keys = (*spec.sort_cols, spec.time_col) if spec.time_col else ()
+    spark = df.sparkSession
+    if mode == "truncate":
+        replace_table(spark, out, path, grain, keys)
+        return
+    finish(spark, path)
+    if grain:
+        out = out.hint("rebalance", F.col(grain)).sortWithinPartitions(grain, *keys)
+    writer = out.write.mode("append")
+    (writer.partitionBy(grain) if grain else writer).parquet(path)
 
 
 def run_query(spark: SparkSession, sql: str, args: Mapping | None = None) -> DataFrame:
