@@ -62,7 +62,8 @@ def pivot_readings(
 
 def dense_grid(
     pivoted: DataFrame, start, end, entity: str = ENTITY, ts: str = TS,
-    fill: Mapping[str, int] | None = None, step_hours: int = 1,
+    fill: Mapping[str, int] | None = None, step_hours: int = 1, step_minutes: int | None = None,
+    chunk: str | None = None, entities: DataFrame | None = None,
 ) -> DataFrame:
     """Every entity at every step from ``start`` to ``end``; hours without a row hold NULLs.
 
@@ -71,12 +72,17 @@ def dense_grid(
     and the steps missing before that next row. One shuffle on the entity, which the
     segmentation that follows reuses. Rows off the grid or outside the bounds are not shown, yet
     their entity still gets its hours. ``fill`` names columns that get a number instead of NULL.
+
+    ``step_minutes`` asks for a finer grid than ``step_hours``. For few entities with long or fine series
+    pass ``chunk`` (``"day"``, ``"month"``): then the work is spread over (entity, chunk), no row fills more than the
+    rest of its chunk, and nothing else than the list of ``entities`` (by default those of ``pivoted``) is brought together.
     """
     fill = {CONCURRENT: 0} if fill is None else fill
     kind = pivoted.schema[ts].dataType
     first, last = moment(start, kind), moment(end, kind)
-    step = F.expr(f"interval {step_hours} hour")
-    micros = 3_600_000_000 * step_hours
+    minutes = step_minutes or 60 * step_hours
+    step = F.expr(f"interval {minutes} minute")
+    micros = 60_000_000 * minutes
 
     def us(c):
         return F.unix_micros(c.cast("timestamp"))
@@ -86,6 +92,21 @@ def dense_grid(
         & F.col(ts).between(first, last)
         & (F.pmod(us(F.col(ts)) - us(first), F.lit(micros)) == 0)
     )
+    own = F.col("_at") == F.col("_slot")
+    values = [c for c in pivoted.columns if c not in (entity, ts)]
+    cols = [
+        (
+            F.when(own, F.coalesce(F.col(c), F.lit(fill[c]))).otherwise(F.lit(fill[c]))
+            if c in fill
+            else F.when(own, F.col(c))
+        ).cast(pivoted.schema[c].dataType).alias(c)
+        for c in values
+    ]
+    if chunk:
+        places = entities_of(pivoted, entity) if entities is None else entities.select(entity).distinct()
+        slots = pivoted.filter(on_grid).withColumn("_slot", F.col(ts))
+        filled = _filled_by_chunk(slots, places, entity, first, last, step, micros, chunk, us)
+        return filled.select(entity, F.col("_at").alias(ts), *cols)
     w = Window.partitionBy(entity).orderBy(F.col("_slot").asc_nulls_first())
     # an entity has at most one row per step once pivoted, so no window group outgrows the spine
     seen = pivoted.withColumn("_slot", F.when(on_grid, F.col(ts))).select(
@@ -101,20 +122,39 @@ def dense_grid(
     )
     stop = F.greatest(F.coalesce(F.col("_next") - step, last), F.col("_slot"))
     hours = F.when(begin <= stop, F.sequence(begin, stop, step))
-    own = F.col("_at") == F.col("_slot")
-    values = [c for c in pivoted.columns if c not in (entity, ts)]
-    cols = [
-        (
-            F.when(own, F.coalesce(F.col(c), F.lit(fill[c]))).otherwise(F.lit(fill[c]))
-            if c in fill
-            else F.when(own, F.col(c))
-        ).cast(pivoted.schema[c].dataType).alias(c)
-        for c in values
-    ]
     return seen.withColumn("_at", F.explode(hours)).select(
         entity, F.col("_at").alias(ts), *cols
     )
 
 
+def _filled_by_chunk(slots, places, entity, first, last, step, micros, chunk, us) -> DataFrame:
+    """Rows of ``slots`` and the steps missing between them (``_at``), worked on by (entity, chunk).
+
+    Every entity gets a marker for each chunk of the calendar, which stands for the steps before the first row of the chunk.
+    So a chunk without rows is filled by its marker, and no row has to know its neighbours in other chunks.
+    """
+    kind = slots.schema["_slot"].dataType
+
+    def chunk_of(c):
+        return F.date_trunc(chunk, c).cast(kind)
+
+    one = F.expr(f"interval 1 {chunk}")
+    marks = places.select(
+        entity, F.explode(F.sequence(chunk_of(first), chunk_of(last), one)).alias("_chunk"), F.lit(None).cast(kind).alias("_slot")
+    )
+    rows = slots.withColumn("_chunk", chunk_of(F.col("_slot"))).unionByName(marks, allowMissingColumns=True)
+    # the first and last step inside a chunk: steps are counted from the start of the grid
+    up = F.greatest(F.lit(0), F.ceil((us(F.col("_chunk")) - us(first)) / micros))
+    down = F.floor((us(F.col("_chunk") + one) - 1 - us(first)) / micros)
+    low = F.timestamp_micros(us(first) + up * micros).cast(kind)
+    high = F.least(last, F.timestamp_micros(us(first) + down * micros).cast(kind))
+    w = Window.partitionBy(entity, "_chunk").orderBy(F.col("_slot").asc_nulls_first())
+    begin = F.coalesce("_slot", low)
+    stop = F.greatest(F.coalesce(F.lead("_slot").over(w) - step, high), F.col("_slot"))
+    rows = rows.withColumn("_begin", begin).withColumn("_stop", stop)
+    hours = F.when(F.col("_begin") <= F.col("_stop"), F.sequence(F.col("_begin"), F.col("_stop"), step))
+    return rows.withColumn("_at", F.explode(hours))
+
+
 def entities_of(df: DataFrame, entity: str = ENTITY) -> DataFrame:
     return df.select(entity).distinct()

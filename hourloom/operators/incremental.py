@@ -114,8 +114,22 @@ def refresh_days(
     finished by the next call, and the watermark is that of the last refresh that went through as a whole. A table that
     has no journal yet is asked for its newest update instead.
     """
-    out_ts = target_ts_col or ts_col
     finish(spark, path)
+    out = plan_refresh(
+        spark, source, path, build, ts_col, as_of, target_ts_col, updated_col, source_lookback, target_lookback, sort_cols, full, grain
+    )
+    publish(spark, path, [out])
+
+
+def plan_refresh(
+    spark: SparkSession, source: DataFrame, path: str,
+    build: Callable[[DataFrame], DataFrame], ts_col: str, as_of, target_ts_col: str | None = None,
+    updated_col: str = "updated_at", source_lookback: int = SOURCE_LOOKBACK_DAYS,
+    target_lookback: int = TARGET_LOOKBACK_DAYS, sort_cols: Sequence[str] = (),
+    full: bool = False, grain: str = DAY,
+) -> Output:
+    """What :func:`refresh_days` would publish, for publishing it together with other tables."""
+    out_ts = target_ts_col or ts_col
     mode, gone = WHOLE, None
     if not full and paths.has_files(spark, path):
         known, target = known_days(spark, path), spark.read.parquet(path)
@@ -130,4 +144,4 @@ def refresh_days(
     out = build(source)
     out = out.withColumn(grain, day_of(out_ts, grain))
     keys = [c for c in (*sort_cols, out_ts) if c in out.columns]
-    publish(spark, path, [Output(out, path, mode, grain, keys, updated_col, gone)])
+    return Output(out, path, mode, grain, keys, updated_col, gone)

@@ -12,8 +12,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,9 +33,10 @@ NOTES = T.StructType([
 @dataclass(frozen=True)
 class Output:
     """Rows for one stored table. ``mode`` "days" replaces the dates of ``grain`` that occur in ``df`` or in ``gone``, "whole"
-    the table. ``updated`` names the column whose newest value is noted."""
+    the table. ``updated`` names the column whose newest value is noted. ``df`` may be a function of what has been built
+    before it, so that rows needn't be computed again for a summary of them."""
 
-    df: DataFrame
+    df: DataFrame | Callable[[list[DataFrame]], DataFrame]
     path: str
     mode: str = DAYS
     grain: str | None = "day"
@@ -93,9 +94,12 @@ def publish(spark: SparkSession, home: str, outputs: Iterable[Output]) -> None:
 
 
 def build(spark: SparkSession, entry: str, outputs: Sequence[Output]) -> None:
-    notes = None
+    notes, built = None, []
     for k, out in enumerate(outputs):
+        if not isinstance(out.df, DataFrame):
+            out = replace(out, df=out.df(built))
         _stage(out, f"{entry}/{k}")
+        built.append(spark.read.schema(out.df.schema).parquet(f"{entry}/{k}"))
         one = _notes(spark, out, k, f"{entry}/{k}", out.df.schema)
         notes = one if notes is None else notes.unionByName(one)
     # the notes are complete last, and their marker says that everything is

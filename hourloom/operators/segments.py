@@ -11,6 +11,7 @@ from ..constants import (
     GOLD_HOURS, MAX_GAP_HOURS, MAX_SERIES_GAP_HOURS, PERFECT_SENSORS, SILVER_HOURS,
 )
 from ..functions import hours_between, null_safe_join, segment_tier
+from ..sources.landing import landed
 from .grid import CONCURRENT, ENTITY, TS
 
 
@@ -90,6 +91,7 @@ def segment(
     grid: DataFrame, entity: str = ENTITY, ts: str = TS, concurrent: str = CONCURRENT,
     perfect: int = PERFECT_SENSORS, max_gap_hours: int = MAX_GAP_HOURS,
     gold_hours: int = GOLD_HOURS, silver_hours: int = SILVER_HOURS, chunk: str | None = None,
+    resume: DataFrame | None = None,
 ) -> DataFrame:
     """Segments of a dense grid: one row per hour kept, with the attributes of its segment.
 
@@ -97,16 +99,25 @@ def segment(
     between two of them. On a dense grid every entity holds exactly the hours of the spine, so
     no entity can outweigh another; the whole chain then needs a single shuffle on the entity.
     For few entities with very long or very fine series pass ``chunk`` (``"month"``, ``"day"``):
-    work is then spread over (entity, chunk) and only chunk summaries meet per entity.
+    work is then spread over (entity, chunk); summaries of chunks meet per entity and span of time, and
+    summaries of spans per entity, so no task holds more than a chunk, the chunks of a span, or the spans of an entity.
+
+    ``resume`` continues earlier segments: a row per entity with its last perfect hour before the grid (``_last``) and
+    how many segments it has there (``_base``). The grid must then start with a segment or beyond ``max_gap_hours``.
     """
     kept = [c for c in grid.columns if c not in (entity, ts, concurrent)]
     columns = [entity, ts, "hours_since_last", concurrent, "is_new_segment", *kept]
     if chunk:
-        numbered = _numbered_by_chunk(grid, entity, ts, concurrent, perfect, max_gap_hours, chunk)
+        numbered = _numbered_by_chunk(grid, entity, ts, concurrent, perfect, max_gap_hours, chunk, resume)
     else:
-        numbered = shatter(
-            track_perfect_hours(grid, entity, ts, concurrent, perfect), entity, ts, max_gap_hours
-        )
+        tracked = track_perfect_hours(grid, entity, ts, concurrent, perfect)
+        if resume is not None:
+            tracked = _left_null_safe(tracked, resume, entity)
+            tracked = tracked.withColumn("last_perfect_hour", F.coalesce("last_perfect_hour", "_last"))
+            tracked = tracked.withColumn("hours_since_last", hours_between(F.col(ts), F.col("last_perfect_hour")))
+        numbered = shatter(tracked, entity, ts, max_gap_hours)
+        if resume is not None:
+            numbered = numbered.withColumn("segments_num", F.col("segments_num") + F.coalesce("_base", F.lit(0)))
         own, whole = Window.partitionBy(entity, "segments_num"), Window.partitionBy(entity)
         hit = F.when(F.col("is_perfect_hour") == 1, F.col(ts))
         # the first row of a segment is perfect and its end is its last perfect hour, so these
@@ -122,12 +133,21 @@ def segment(
     return _describe(trimmed, columns, entity, gold_hours, silver_hours)
 
 
-def _numbered_by_chunk(grid, entity, ts, concurrent, perfect, max_gap, chunk) -> DataFrame:
+#: The span of time whose chunks meet in one window.
+_SPANS = {"hour": "month", "day": "year", "week": "year", "month": "year", "quarter": "year"}
+
+
+def _left_null_safe(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    own = right.withColumnRenamed(key, "_r_key")
+    return left.join(own, F.col(key).eqNullSafe(F.col("_r_key")), "left").drop("_r_key")
+
+
+def _numbered_by_chunk(grid, entity, ts, concurrent, perfect, max_gap, chunk, resume=None) -> DataFrame:
     """Segment numbers and bounds from windows over (entity, chunk) and a small summary of runs.
 
     A run is a stretch of one chunk from a perfect hour to the next break, or the hours before the
-    first perfect one. Runs are summarised to a row each; going through the runs of an entity in
-    order tells which ones continue a segment begun in an earlier chunk.
+    first perfect one. Runs are summarised to a row each, which are kept in the shared folder: they say
+    which ones continue a segment begun in an earlier chunk.
     """
     part = Window.partitionBy(entity, "_chunk").orderBy(ts)
     before = part.rowsBetween(Window.unboundedPreceding, -1)
@@ -141,27 +161,8 @@ def _numbered_by_chunk(grid, entity, ts, concurrent, perfect, max_gap, chunk) ->
         .withColumn("_local_last", F.last(hit, ignorenulls=True).over(before))
         .withColumn("_run", F.coalesce(F.sum(opens_run.otherwise(0)).over(part), F.lit(0)))
     )
-    # an entity has no more runs than the spine has hours, usually far fewer
-    order = Window.partitionBy(entity).orderBy("_chunk", "_run")
-    seg = Window.partitionBy(entity, "segments_num")
-    opens_segment = F.when(
-        F.col("_first").isNotNull()
-        & (F.col("_carry").isNull() | (hours_between(F.col("_first"), F.col("_carry")) > max_gap)), 1
-    ).otherwise(0)
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    runs = (
-        local.groupBy(entity, "_chunk", "_run")
-        .agg(F.min(hit).alias("_first"), F.max(hit).alias("_last"), F.sum("is_perfect_hour").alias("_n"))
-        .withColumn("_carry", F.last("_last", ignorenulls=True).over(earlier))
-        .withColumn("segments_num", F.sum(opens_segment).over(order))
-        .select(
-            entity, "_chunk", "_run", "_carry", "segments_num",
-            F.max("segments_num").over(Window.partitionBy(entity)).alias("segments_total"),
-            F.min("_first").over(seg).alias("segment_start"),
-            F.max("_last").over(seg).alias("segment_end"),
-            F.sum("_n").over(seg).alias("segment_perfect_hours"),
-        )
-    )
+    runs = local.groupBy(entity, "_chunk", "_run").agg(F.min(hit).alias("_first"), F.max(hit).alias("_last"), F.sum("is_perfect_hour").alias("_n"))
+    runs = number_runs(landed(runs, "segment-runs"), entity, max_gap, _SPANS.get(chunk, "year"), resume)
     return (
         null_safe_join(local, runs, [entity, "_chunk", "_run"])
         .withColumn("last_perfect_hour", F.coalesce("_local_last", "_carry"))
@@ -171,6 +172,49 @@ def _numbered_by_chunk(grid, entity, ts, concurrent, perfect, max_gap, chunk) ->
     )
 
 
+def number_runs(runs: DataFrame, entity: str, max_gap: int, span: str, resume: DataFrame | None = None) -> DataFrame:
+    """Runs (entity, _chunk, _run, _first, _last, _n) with the number, bounds and perfect hours of the segment they are part of.
+
+    What a stretch of time means for its neighbours is its first and last perfect hour and how many segments it opens. This
+    summary is combined upwards, chunks to spans and spans to the entity, and what lies before each part is pushed back down:
+    its last perfect hour (``_carry``), which tells whether its first run continues a segment, and the number of segments.
+    Neither level holds more rows than the part above has parts; an entity's runs or chunks never meet in one task.
+    """
+    chunks = runs.groupBy(entity, "_chunk").agg(
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.count("_first").alias("_runs")
+    ).withColumn("_span", F.date_trunc(span, "_chunk"))
+    in_span = Window.partitionBy(entity, "_span").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    in_entity = Window.partitionBy(entity).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+
+    ends = chunks.groupBy(entity, "_span").agg(F.max("_last").alias("_end"))
+    earlier = F.last("_end", ignorenulls=True).over(in_entity)
+    if resume is not None:
+        ends, earlier = _left_null_safe(ends, resume.select(entity, F.col("_last").alias("_resumed")), entity), F.coalesce(earlier, "_resumed")
+    ends = ends.select(entity, "_span", earlier.alias("_earlier"))
+    chunks = null_safe_join(chunks, ends, [entity, "_span"])
+    chunks = chunks.withColumn("_carry", F.coalesce(F.last("_last", ignorenulls=True).over(in_span), "_earlier"))
+    joins = F.coalesce((hours_between(F.col("_first"), F.col("_carry")) <= max_gap).cast("int"), F.lit(0))
+    chunks = chunks.withColumn("_joins", joins).withColumn("_opens", F.col("_runs") - F.col("_joins"))
+
+    opened = chunks.groupBy(entity, "_span").agg(F.sum("_opens").alias("_total"))
+    base = F.coalesce(F.sum("_total").over(in_entity), F.lit(0))
+    if resume is not None:
+        opened, base = _left_null_safe(opened, resume.select(entity, "_base"), entity), base + F.coalesce("_base", F.lit(0))
+    opened = opened.select(entity, "_span", base.alias("_before_span"))
+    chunks = null_safe_join(chunks, opened, [entity, "_span"])
+    chunks = chunks.withColumn("_before", F.col("_before_span") + F.coalesce(F.sum("_opens").over(in_span), F.lit(0)))
+
+    number = F.col("_before") + F.when(F.col("_run") > 0, F.col("_run") - F.col("_joins")).otherwise(0)
+    numbered = null_safe_join(runs, chunks.select(entity, "_chunk", "_carry", "_before", "_joins"), [entity, "_chunk"])
+    numbered = numbered.select(entity, "_chunk", "_run", "_carry", "_first", "_last", "_n", number.alias("segments_num"))
+    whole = numbered.groupBy(entity, "segments_num").agg(
+        F.min("_first").alias("segment_start"), F.max("_last").alias("segment_end"), F.sum("_n").alias("segment_perfect_hours")
+    )
+    totals = numbered.groupBy(entity).agg(F.max("segments_num").alias("segments_total"))
+    numbered = null_safe_join(numbered.drop("_first", "_last", "_n"), whole, [entity, "segments_num"])
+    return null_safe_join(numbered, totals, [entity])
+
+
 def segment_by_series(
     grid: DataFrame, value_cols: Sequence[str], entity: str = ENTITY, ts: str = TS,
     concurrent: str = CONCURRENT, perfect: int = PERFECT_SENSORS,

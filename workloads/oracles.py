@@ -135,6 +135,23 @@ ORACLES["segment_numbering"] = f"""{GRID}, {island_ctes(3)}
     FROM islands JOIN followed USING (location_id) WHERE datetimeto_utc BETWEEN segment_start AND segment_end + INTERVAL 4 HOUR"""
 ORACLES["segments"] = f"{CITY} SELECT * FROM seg"
 ORACLES["segments_chunked"] = ORACLES["segments"]
+ORACLES["segments_resumed"] = ORACLES["segments"]
+ORACLES["segments_minutes"] = f"""WITH slots AS (
+        SELECT CAST(user_id % 2 AS VARCHAR) AS location_id, time_bucket(INTERVAL 15 MINUTE, ts) AS datetimeto_utc, max(value) AS top_value,
+            count(DISTINCT event_type) AS concurrent_sensors
+        FROM events GROUP BY 1, 2),
+    grid AS (
+        SELECT l.location_id, t.datetimeto_utc, s.top_value, coalesce(s.concurrent_sensors, 0) AS concurrent_sensors
+        FROM (SELECT DISTINCT location_id FROM slots) l
+        CROSS JOIN (SELECT unnest(generate_series(date_trunc('hour', min(ts)), date_trunc('hour', max(ts)), INTERVAL 15 MINUTE)) AS datetimeto_utc FROM events) t
+        LEFT JOIN slots s ON s.location_id = l.location_id AND s.datetimeto_utc = t.datetimeto_utc),
+    {island_ctes(2).replace("h - lag(h) OVER (PARTITION BY location_id ORDER BY h) > INTERVAL 4 HOUR", "date_diff('hour', lag(h) OVER (PARTITION BY location_id ORDER BY h), h) > 4")},
+    members AS (
+        SELECT location_id, datetimeto_utc, hours_since_last, concurrent_sensors, CAST(datetimeto_utc = segment_start AS INTEGER) AS is_new_segment,
+            top_value, segment_start, segment_end, segment_perfect_hours, segments_num, (SELECT count(*) FROM islands i WHERE i.location_id = followed.location_id) AS segments_total
+        FROM islands JOIN followed USING (location_id) WHERE datetimeto_utc BETWEEN segment_start AND segment_end),
+    {attributed('members', 24, 8)}
+    SELECT * FROM seg"""
 ORACLES["segments_of_five_series"] = seg_ctes(2, FIVE, 100, 5, 24, 8) + " SELECT * FROM seg"
 ORACLES["segments_default_tiers"] = f"{DEFAULT} SELECT * FROM seg"
 # Each hour up to the leading series' first report is a segment of its own; the last of these goes on for as long as every
@@ -473,6 +490,7 @@ ORACLES["rows_of_changed_days"] = f"{_late} SELECT * FROM late WHERE CAST(o_orde
 ORACLES["incremental_overwrite"] = f"""{_late}, months AS (SELECT DISTINCT date_trunc('month', day) AS m FROM days)
     SELECT *, CAST(1 AS INTEGER) AS row_count FROM late WHERE date_trunc('month', o_orderdate) IN (SELECT m FROM months)
     UNION ALL SELECT *, CAST(1 AS INTEGER) FROM loaded WHERE date_trunc('month', o_orderdate) NOT IN (SELECT m FROM months)"""
+ORACLES["refresh_after_kill"] = ORACLES["incremental_overwrite"]
 
 # months with a shipment updated since the newest loaded one are taken from all rows, others from the loaded ones
 _stage_rule = """QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_shipdate

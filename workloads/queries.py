@@ -18,9 +18,11 @@ from hourloom.operators.enrich import sensors_with_dates, wide_measurements
 from hourloom.operators.filters import exclude_banned as exclude_listed_ids
 from hourloom.operators.filters import exclude_ids, in_bbox, is_member
 from hourloom.operators.grid import entities_of
-from hourloom.operators.incremental import watermark
+from hourloom.operators import publish
+from hourloom.operators.incremental import plan_refresh, watermark
 from hourloom.operators.logs import run_log_errors, run_log_summary, run_log_totals
 from hourloom.operators.quality import check_accepted, check_constraints
+from hourloom.operators.resegment import read_segments, refresh_segments
 from hourloom.plans import city, ingest, reports, staging
 from hourloom.sources import files
 from hourloom.specs import LOCATION_JSON, LOCATIONS, MEASUREMENTS, SPECS, TableSpec, schema_of
@@ -157,6 +159,37 @@ def segments_chunked(spark, sf):
     return a.city_seg(spark, sf, chunk="day")
 
 
+@query
+def segments_minutes(spark, sf):
+    """A quarter-hour grid and its segments, both by (location, day), for long and fine series."""
+    quarter = F.make_dt_interval(F.lit(0), F.lit(0), (F.floor(F.minute("ts") / 15) * 15).cast("int"))
+    slot = (F.date_trunc("hour", "ts").cast(NTZ) + quarter).cast(NTZ)
+    pivoted = table(spark, sf, "events").groupBy((F.col("user_id") % 2).cast("string").alias("location_id"), slot.alias("datetimeto_utc")).agg(
+        F.max("value").alias("top_value"), F.count_distinct("event_type").alias("concurrent_sensors")
+    )
+    start, end = a.span(spark, sf)
+    grid = h.dense_grid(pivoted, start, end, step_minutes=15, chunk="day")
+    return h.segment(grid, perfect=2, gold_hours=24, silver_hours=8, chunk="day")
+
+
+@query
+def segments_resumed(spark, sf):
+    """Segments stored before a fifth of the hours of the last third were known, then brought up to date from there."""
+    path, stored = a.fresh_dir(spark, "segments"), a.fresh_dir(spark, "grid")
+    a.grid(spark, sf).withColumn("day", F.to_date("datetimeto_utc")).write.partitionBy("day").parquet(stored)
+    grid = spark.read.parquet(stored)
+    start, end = a.span(spark, sf)
+    since = start + (end - start) * 2 / 3
+    unknown = (F.col("datetimeto_utc") >= F.lit(since.isoformat(sep=" ")).cast(NTZ)) & (F.hour("datetimeto_utc") % 5 == 0)
+    before = grid.withColumn("concurrent_sensors", F.when(unknown, F.lit(0)).otherwise(F.col("concurrent_sensors")))
+    before = before.withColumns({c: F.when(~unknown, F.col(c)) for c in a.THREE})
+    options = dict(perfect=3, gold_hours=24, silver_hours=8)
+    refresh_segments(spark, before, path, **options)
+    changed = grid.filter(unknown).groupBy("location_id").agg(F.min("datetimeto_utc").alias("since"))
+    refresh_segments(spark, grid, path, changed, **options)
+    return read_segments(spark, path)
+
+
 @query
 def segments_of_five_series(spark, sf):
     return a.city_seg(spark, sf, mapping=a.FIVE, perfect=5)
@@ -605,6 +638,24 @@ def incremental_overwrite(spark, sf):
     return spark.read.parquet(path).drop("month")
 
 
+@query
+def refresh_after_kill(spark, sf):
+    """A refresh that died when it had replaced its newest month, and the one after it."""
+    path = a.fresh_dir(spark, "late-orders")
+    rows = a.late_orders(spark, sf)
+
+    def build(df):
+        return df.withColumn("row_count", F.lit(1))
+
+    h.refresh_days(spark, _loaded_late(rows), path, build, "o_orderdate", a.AS_OF, grain="month")
+    dying = plan_refresh(spark, rows, path, build, "o_orderdate", a.AS_OF, grain="month")
+    publish.build(spark, f"{publish.journal(path)}/000000002-killed", [dying])
+    newest = dying.df.filter(F.col("month") == dying.df.agg(F.max("month")).scalar())
+    newest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+    h.refresh_days(spark, rows, path, build, "o_orderdate", a.AS_OF, grain="month")
+    return spark.read.parquet(path).drop("month")
+
+
 @query
 def refresh_measurements(spark, sf):
     """Raw to staged to standardised, loaded in full once and then refreshed by the changed months."""
