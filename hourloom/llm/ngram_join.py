@@ -27,7 +27,7 @@ from hourloom.llm.components import components
 
 U64 = np.uint64
 HALF = U64(0xFFFFFFFF)
-FILTER_BITS = 1 << 24
+FILTER_BITS = 24, 29  # the logarithms of the fewest and the most bits of a filter
 SUBSET = 4095  # stands in the last bits of a signature where group signatures have their level
 CROWD = 12  # lists up to this length are taken pair by pair
 
@@ -200,7 +200,7 @@ def linked(off: np.ndarray, s: np.ndarray, percent: int) -> np.ndarray:
             continue
         root[a] = a
         open_ = [a]
-        while open_:
+        while open_ and (root < 0).any():  # once all are reached, nothing is left to find
             b = open_.pop()
             own = number[off[b] : off[b + 1]]
             own = own[length[own] > 1]
@@ -248,49 +248,98 @@ def _signatures(docs: DataFrame, text_col: str, k: int, seed: int, percent: int,
     return docs.select(docs[text_col].alias("text")).mapInArrow(signed, "sig long, node long")
 
 
-def _lists(signatures: DataFrame) -> DataFrame:
-    """What lists of two nodes or more say: kind 0, a pair of nodes and how many lists of a level it shares; kind 1, a list
-    (a) longer than CROWD and a node in it (b); kind 2, an edge from a shared subset."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sig, node = [], []
-        for b in batches:
-            sig.append(np.asarray(b.column(0)))
-            node.append(np.asarray(b.column(1)))
-        if not sig:
+def list_rows(kind: int, a: np.ndarray, b: np.ndarray, level: np.ndarray) -> pa.RecordBatch:
+    if kind != 1 and len(a):  # the same pair from many lists: counted here, before it is shuffled
+        pairs, n = np.unique(np.stack([a, b, level], axis=1), axis=0, return_counts=True)
+        a, b, level = np.ascontiguousarray(pairs.T)
+    else:
+        n = np.ones(len(a), dtype=np.int64)
+    columns = [np.full(len(a), kind, dtype=np.int64), a, b, level.astype(np.int64), n]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "a", "b", "level", "n"])
+
+
+def read_lists(batches: Iterator[pa.RecordBatch], step: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Lists come one after another. Of the last one, which may go on, CROWD nodes are held over at most: from then on it
+    is known to be crowded, and its nodes are told as they come."""
+    held, count = [], 0
+    last_sig, head, last_node, crowded = None, 0, 0, False  # the list that goes on, its first and latest node
+
+    def told(sig: np.ndarray, node: np.ndarray, final: bool) -> Iterator[pa.RecordBatch]:
+        nonlocal held, count, last_sig, head, last_node, crowded
+        new = np.ones(len(sig), dtype=bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
+        if crowded and len(sig):
+            new[0] = sig[0] != last_sig or node[0] != last_node
+        sig, node = sig[new], node[new]
+        goes_on = 0  # rows of a list known to be crowded
+        if crowded:
+            goes_on = int(np.searchsorted(sig != last_sig, True))
+            if goes_on:
+                yield from long(sig[:goes_on], node[:goes_on], head)
+                last_node = int(node[goes_on - 1])
+            if goes_on == len(sig) and not final:
+                held, count = [], 0
+                return
+        sig, node = sig[goes_on:], node[goes_on:]
+        crowded = False
+        cut = len(sig)
+        if len(sig) and not final:
+            cut = len(sig) - int(np.searchsorted((sig != sig[-1])[::-1], True))
+            if len(sig) - cut > CROWD:  # known by now
+                last_sig, head, last_node, crowded = int(sig[-1]), int(node[cut]), int(node[-1]), True
+                yield from long(sig[cut:], node[cut:], head, skip=1)
+                held, count = [], 0
+            else:
+                held, count = [(sig[cut:], node[cut:])], len(sig) - cut
+        else:
+            held, count = [], 0
+        yield from whole(sig[:cut], node[:cut])
+
+    def long(sig: np.ndarray, node: np.ndarray, head: int, skip: int = 0) -> Iterator[pa.RecordBatch]:
+        """Nodes of a crowded list; `skip` is 1 where its first node comes along."""
+        if (int(sig[0]) & SUBSET) != SUBSET:
+            yield list_rows(1, sig, node, sig & SUBSET)
+        elif len(node) > skip:
+            yield list_rows(2, node[skip:], np.full(len(node) - skip, head), np.full(len(node) - skip, SUBSET))
+
+    def whole(sig: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(sig):
             return
-        both = np.stack([np.concatenate(sig), np.concatenate(node)], axis=1)
-        both = both[np.lexsort((both[:, 1], both[:, 0]))]
-        new = np.ones(len(both), dtype=bool)
-        new[1:] = (both[1:] != both[:-1]).any(axis=1)
-        sig, node = np.ascontiguousarray(both[new].T)
         first = np.ones(len(sig), dtype=bool)
         first[1:] = sig[1:] != sig[:-1]
-        head = np.flatnonzero(first)
-        length = np.diff(np.append(head, len(sig)))
-        tag = sig[head] & SUBSET
+        start = np.flatnonzero(first)
+        length = np.diff(np.append(start, len(sig)))
+        tag = sig[start] & SUBSET
+        pairs = []
         for size in range(2, CROWD + 1):
-            at = head[(length == size) & (tag != SUBSET)]
+            at = start[(length == size) & (tag != SUBSET)]
             for i in range(size) if len(at) else ():
                 for j in range(i):
-                    yield rows(0, node[at + i], node[at + j], sig[at] & SUBSET)
+                    pairs.append((node[at + i], node[at + j], sig[at] & SUBSET))
+        if pairs:
+            yield list_rows(0, *map(np.concatenate, zip(*pairs, strict=True)))
         at = (length > CROWD) & (tag != SUBSET)
-        spots = ragged(head[at], length[at])
-        yield rows(1, sig[spots], node[spots], sig[spots] & SUBSET)
+        if at.any():
+            spots = ragged(start[at], length[at])
+            yield list_rows(1, sig[spots], node[spots], sig[spots] & SUBSET)
         at = (length > 1) & (tag == SUBSET)
-        spots = ragged(head[at] + 1, length[at] - 1)
-        yield rows(2, node[spots], np.repeat(node[head[at]], length[at] - 1), np.full(len(spots), SUBSET))
+        if at.any():
+            spots = ragged(start[at] + 1, length[at] - 1)
+            yield list_rows(2, node[spots], np.repeat(node[start[at]], length[at] - 1), np.full(len(spots), SUBSET))
 
-    def rows(kind: int, a: np.ndarray, b: np.ndarray, level: np.ndarray) -> pa.RecordBatch:
-        if kind != 1 and len(a):  # the same pair from many lists: counted here, before it is shuffled
-            pairs, n = np.unique(np.stack([a, b, level], axis=1), axis=0, return_counts=True)
-            a, b, level = np.ascontiguousarray(pairs.T)
-        else:
-            n = np.ones(len(a), dtype=np.int64)
-        columns = [np.full(len(a), kind, dtype=np.int64), a, b, level.astype(np.int64), n]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "a", "b", "level", "n"])
+    for b in batches:
+        held.append((np.asarray(b.column(0)), np.asarray(b.column(1))))
+        count += b.num_rows
+        if count >= step:
+            yield from told(*map(np.concatenate, zip(*held, strict=True)), final=False)
+    if held:
+        yield from told(*map(np.concatenate, zip(*held, strict=True)), final=True)
 
-    return signatures.repartition("sig").mapInArrow(read, "kind long, a long, b long, level long, n long")
+
+def _lists(signatures: DataFrame) -> DataFrame:
+    """What lists of two nodes or more say: kind 0, a pair of nodes and how many lists of a level it shares; kind 1, a list
+    (a) longer than CROWD and a node in it (b); kind 2, an edge from a shared subset."""
+    return signatures.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(read_lists, "kind long, a long, b long, level long, n long")
 
 
 def _meetings(signatures: DataFrame, percent: int) -> DataFrame:
@@ -318,32 +367,33 @@ def _meetings(signatures: DataFrame, percent: int) -> DataFrame:
 
 
 def _filter_bits(nodes: DataFrame) -> np.ndarray:
-    """A filter of FILTER_BITS bits, whatever the number of nodes, that every one of them passes."""
+    """A filter that all of the nodes pass: eight bits for each, from 2 to 64 MB in all."""
+    bits = 1 << min(FILTER_BITS[1], max(FILTER_BITS[0], (8 * nodes.count()).bit_length()))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = mix(np.asarray(b.column(0)).view(U64)) % U64(FILTER_BITS)
+            at = mix(np.asarray(b.column(0)).view(U64)) % U64(bits)
             word, where = np.unique(at >> U64(6), return_inverse=True)
             value = np.zeros(len(word), dtype=U64)
             np.bitwise_or.at(value, where, U64(1) << (at & U64(63)))
             yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(value.view(np.int64))], names=["word", "bits"])
 
     rows = nodes.select("node").mapInArrow(words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
-    out = np.zeros(FILTER_BITS // 64, dtype=U64)
+    out = np.zeros(bits // 64, dtype=U64)
     out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(U64)
     return out
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, text_col: str, k: int, seed: int) -> DataFrame:
     """node and set (its hashes) of the nodes, and of few others, which a join drops; once for each task."""
-    shared = docs.sparkSession.sparkContext.broadcast(_filter_bits(nodes))
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_bits(nodes))  # at most 64 MB
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = shared.value, set()
         for b in batches:
             for _, off, s in shingle_sets(b.column(0), k, seed):
                 node, _ = names(off, s)
-                at = mix(node) % U64(FILTER_BITS)
+                at = mix(node) % U64(len(bits) * 64)
                 hit = np.flatnonzero(((bits[at >> U64(6)] >> (at & U64(63))) & U64(1)).astype(bool) & (np.diff(off) > 0))
                 new = []
                 for i in hit.tolist():
@@ -394,7 +444,7 @@ def _verified(dealt: DataFrame, percent: int) -> DataFrame:
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 85, block: int = 1024) -> tuple[DataFrame, DataFrame, int]:
     """The documents (id, n, node), for each node that has links the root of its component, and the hashes' seed.
 
-    Families above `block` sets are verified in pairs of blocks, so a task holds 2 * block sets at a time."""
+    A task holds 2 * block sets at a time."""
     bounded_batches(docs.sparkSession)
     for seed in range(8):
         thin = landed(_thin(docs, id_col, text_col, k, seed), "sets")
@@ -402,15 +452,63 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
             break  # else two different sets share a name: hash anew
     sizes = {r["n"]: r["count"] for r in thin.filter("n between 1 and 40").groupBy("n").count().collect()}
     met = _meetings(_signatures(docs, text_col, k, seed, percent, boundary(sizes, percent)), percent)
-    family = components(met)
-    counts = family.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    family = landed(family.join(counts, "root"), "families")
+    family = landed(components(met), "families")
+    sets = landed(_sets_of(docs, family, text_col, k, seed), "family-sets")
+    return thin, components(_family_links(sets, family, percent, block)), seed
+
+
+def _known(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A landed table of few short columns: broadcast up to `rows` rows, joined by shuffle beyond."""
+    return F.broadcast(df) if df.count() <= rows else df
 
-    own = F.pmod("node", F.col("blocks"))
-    dealt = _sets_of(docs, family, text_col, k, seed).join(family, "node")
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumn("i", F.least(own.cast("int"), "other")).withColumn("j", F.greatest(own.cast("int"), "other"))
-    return thin, components(_verified(dealt, percent)), seed
+
+def _family_links(sets: DataFrame, family: DataFrame, percent: int, block: int) -> DataFrame:
+    """Edges that tell the components of links in each family (node, root).
+
+    Families up to `block` sets are settled at once. A larger one is dealt to parts, in each of which the components are found;
+    one set of each stands for it, and these are compared next. That settles families of copies, whose sets are
+    all alike, with each set read once. Where several components remain, a link between them may still be anywhere, but
+    one side of it is outside of the largest: so the sets outside, in blocks, are compared with all sets of their family.
+    """
+    counts = family.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    family = landed(family.join(counts, "root").withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "family-parts")
+    dealt = sets.join(_known(family), "node").withColumn("j", F.lit(0))
+    edges = landed(_verified(dealt, percent), "links-in-parts")
+    large = family.filter("blocks > 1")
+    if large.isEmpty():
+        return edges
+
+    sets = sets.join(_known(large.select("node")), "node")
+    heads = landed(large.join(edges.select(F.col("a").alias("node"), F.col("b").alias("head")), "node", "left")
+                   .select("root", "node", F.coalesce("head", "node").alias("head")), "part-heads")
+    few = heads.filter("node = head").select("root", "node")
+    parts = few.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    few = landed(few.join(parts, "root").withColumn("i", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")), "heads-dealt")
+    between = landed(_verified(sets.join(_known(few), "node").withColumn("j", F.lit(0)), percent), "links-of-heads")
+    merged = components(between).withColumnsRenamed({"node": "head", "root": "top"})
+    tops = landed(heads.join(merged, "head", "left").select("root", "node", F.coalesce("top", "head").alias("top")), "family-tops")
+    every = edges.union(between)
+
+    size = tops.groupBy("root", "top").agg(F.count(F.lit(1)).alias("n"))
+    most = size.groupBy("root").agg(F.max(F.struct("n", "top")).alias("largest"), F.count(F.lit(1)).alias("tops"), F.sum("n").alias("all"))
+    most = landed(most.filter("tops > 1"), "open-families")
+    if most.isEmpty():
+        return every
+    most = most.select("root", F.col("largest.top").alias("main"), F.ceil(F.col("largest.n") / block).cast("int").alias("in_main"),
+                       F.ceil((F.col("all") - F.col("largest.n")) / block).cast("int").alias("outside"))
+    rest = tops.join(most, "root").withColumn("inside", F.col("top") == F.col("main"))
+    own = F.pmod(F.xxhash64("node", F.lit(2)), F.when(F.col("inside"), F.col("in_main")).otherwise(F.col("outside"))).cast("int")
+
+    def key(i, j):
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+
+    outer, inner = F.sequence(F.lit(0), F.col("outside") - 1), F.sequence(F.lit(0), F.col("in_main") - 1)
+    # j counts the blocks outside first, then those of the largest component
+    met = F.when(F.col("inside"), F.transform(outer, lambda i: key(i, F.col("outside") + F.col("own")))).otherwise(
+        F.concat(F.transform(outer, lambda i: key(F.least(i, F.col("own")), F.greatest(i, F.col("own")))), F.transform(inner, lambda j: key(F.col("own"), F.col("outside") + j)))
+    )
+    rest = rest.withColumn("own", own).select("root", "node", F.explode(met).alias("at")).select("root", "node", "at.i", "at.j")
+    return every.union(_verified(sets.join(rest, "node"), percent))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 85, block: int = 1024) -> DataFrame:
@@ -436,7 +534,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     full = thin.filter("n > 0").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     groups = full.groupBy("root").agg(F.min(F.struct("id", "node")).alias("best"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     members = landed(full.select("root", "node").distinct().join(groups, "root").select("node", "best"), "members")
-    # a filter of fixed size lets texts without company pass, so only the others are shuffled
+    # a filter lets texts without company pass, so only the others are shuffled
     shared = docs.sparkSession.sparkContext.broadcast(_filter_bits(members))
     schema = docs.select(F.struct(*docs.columns).alias("doc"), docs[id_col].alias("id")).schema
     schema = schema.add("node", "long").add("alone", "boolean")
@@ -446,7 +544,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
             for first, off, s in shingle_sets(b.column(2), k, seed):
                 n = len(off) - 1
                 node = names(off, s)[0]
-                at = mix(node) % U64(FILTER_BITS)
+                at = mix(node) % U64(len(shared.value) * 64)
                 hit = ((shared.value[at >> U64(6)] >> (at & U64(63))) & U64(1)).astype(bool) & (np.diff(off) > 0)
                 columns = [b.column(0).slice(first, n), b.column(1).slice(first, n), pa.array(node.view(np.int64)), pa.array(~hit)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc", "id", "node", "alone"])

@@ -158,3 +158,36 @@ def test_one_of_each(spark, rows):
     assert sorted((r["doc_id"], r["doc_id"]) for r in got) == want
     assert sum(1 for r in kept.collect() if not words(r["text"])) == sum(1 for r in rows if not words(r[1]))
     assert ngram_join.keep_one(frame(spark, [])).count() == 0 and ngram_join.classes(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("step", [1, 7, 10_000])
+@pytest.mark.parametrize("size", [1, 3, 50])
+def test_lists_are_read_as_they_come(step, size):
+    """Lists of any length, cut anywhere into batches, against the same lists gathered."""
+    r = np.random.default_rng(size * 31 + step)
+    lists = []
+    for n in (1, 2, 12, 13, 14, 40, 3, 200, 1, 12):
+        tag = ngram_join.SUBSET if r.random() < 0.3 else int(r.integers(0, 9))
+        lists.append((int(r.integers(1, 1 << 40)) << 12 | tag, sorted(r.choice(1 << 30, n, replace=False).tolist())))
+    lists.sort()
+    flat = [(sig, node) for sig, nodes in lists for node in nodes for _ in range(1 + (node % 3 == 0))]  # some nodes twice
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array([x[i] for x in flat[k : k + size]], type=pa.int64()) for i in (0, 1)], names=["sig", "node"])
+        for k in range(0, len(flat), size)
+    ]
+    got = sorted(tuple(x.values()) for b in ngram_join.read_lists(iter(batches), step) for x in b.to_pylist())
+    counted = {}
+    for kind, a, b, level, n in got:
+        counted[kind, a, b, level] = counted.get((kind, a, b, level), 0) + n
+    want = {}
+    for sig, nodes in lists:
+        level = sig & ngram_join.SUBSET
+        if level == ngram_join.SUBSET:
+            keys = [(2, b, nodes[0], level) for b in nodes[1:]]
+        elif len(nodes) > ngram_join.CROWD:
+            keys = [(1, sig, b, level) for b in nodes]
+        else:
+            keys = [(0, a, b, level) for i, a in enumerate(nodes) for b in nodes[:i]]
+        for key in keys:
+            want[key] = want.get(key, 0) + 1
+    assert counted == want
