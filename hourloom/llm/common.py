@@ -39,6 +39,11 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of `docs` as one struct, whatever their names."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(c, UPPER, LOWER)

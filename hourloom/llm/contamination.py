@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import FOLD, Texts, bounded_batches, landed, mix, powers, ragged, span_hashes, texts
+from hourloom.llm.common import bounded_batches, FOLD, landed, mix, powers, ragged, span_hashes, Texts, texts, whole_row
 
 U64 = np.uint64
 FILTER_BITS = 1 << 24
@@ -344,5 +344,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """The rows of `docs` without a benchmark item in them; their columns stay as they are."""
     found = landed(contaminated(docs, benchmark, id_col, text_col, **options).select("key", "num").distinct(), "contaminated")
     key, num = _keyed(docs, id_col, text_col)
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), key.alias("key"), num.alias("num"))
+    rows = docs.select(whole_row(docs).alias("doc"), key.alias("key"), num.alias("num"))
     return rows.join(found, ["key", "num"], "left_anti").select("doc.*")

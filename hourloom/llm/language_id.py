@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import bounded_batches, landed
+from hourloom.llm.common import bounded_batches, landed, whole_row
 
 UNKNOWN = "und"
 BITS = 15  # n-grams are hashed to 2^BITS features
@@ -226,5 +226,5 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def keep_known(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """The rows of `docs` whose language is told with a score of at least `least`; `und` goes. All columns stay as they are."""
     guess = predictor(docs.sparkSession, fit(docs, id_col, text_col, lang_col, **options))
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), guess(F.col(text_col)).alias("guess"))
+    rows = docs.select(whole_row(docs).alias("doc"), guess(F.col(text_col)).alias("guess"))
     return rows.filter((F.col("guess.lang") != UNKNOWN) & (F.col("guess.score") >= least)).select("doc.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import landed
+from hourloom.llm.common import landed, whole_row
 
 SPACES = r"[\x20\x09-\x0D]+"
 A_WORD = r"[^\x20\x09-\x0D]"
@@ -145,12 +145,12 @@ def clean(
     stats = _counted(docs, id_col, text_col, host_col)
     held = _lines_of_texts(stats).select("host", "digest", F.explode("lines").alias("line"))
     listed = held.join(common_lines(stats, min_docs), ["host", "line"]).groupBy("host", "digest").agg(F.collect_list("line").alias("gone"))
-    text = F.col(f"doc.{text_col}")
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), _host(host_col).alias("host"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("digest"))
+    text = F.col("doc").getField(text_col)
+    rows = docs.select(whole_row(docs).alias("doc"), _host(host_col).alias("host"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("digest"))
     rows = rows.join(listed, ["host", "digest"], "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<bigint>")))
     rows = rows.withColumn("lines", F.split(F.coalesce(text, F.lit("")), "\n"))
     left = F.filter("lines", lambda x: ~(x.rlike(A_WORD) & F.array_contains("gone", F.xxhash64(normalised(x)))))
     rows = rows.withColumn("clean", F.when(F.size("gone") > 0, F.array_join(left, "\n")).otherwise(text))
     solid = [F.length(F.regexp_replace(c, "\n", "")) for c in (F.coalesce("clean", F.lit("")), F.coalesce(text, F.lit("")))]
     rows = rows.filter(solid[0] >= keep_share * solid[1])
-    return rows.select(*[F.col("clean").alias(c) if c == text_col else F.col(f"doc.{c}") for c in docs.columns])
+    return rows.select(*[F.col("clean").alias(c) if c == text_col else F.col("doc").getField(c).alias(c) for c in docs.columns])

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import bounded_batches, landed, mix, ragged, rolling, span_hashes, texts
+from hourloom.llm.common import bounded_batches, landed, mix, ragged, rolling, span_hashes, texts, whole_row
 from hourloom.llm.components import components
 
 U64 = np.uint64
@@ -536,7 +536,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     members = landed(full.select("root", "node").distinct().join(groups, "root").select("node", "best"), "members")
     # a filter lets texts without company pass, so only the others are shuffled
     shared = docs.sparkSession.sparkContext.broadcast(_filter_bits(members))
-    schema = docs.select(F.struct(*docs.columns).alias("doc"), docs[id_col].alias("id")).schema
+    schema = docs.select(whole_row(docs).alias("doc"), docs[id_col].alias("id")).schema
     schema = schema.add("node", "long").add("alone", "boolean")
 
     def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -549,7 +549,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
                 columns = [b.column(0).slice(first, n), b.column(1).slice(first, n), pa.array(node.view(np.int64)), pa.array(~hit)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc", "id", "node", "alone"])
 
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), docs[id_col].alias("id"), docs[text_col].alias("text"))
+    rows = docs.select(whole_row(docs).alias("doc"), docs[id_col].alias("id"), docs[text_col].alias("text"))
     rows = rows.mapInArrow(tagged, schema)
     near = rows.filter("not alone").join(members, "node", "left")
     near = near.filter(F.col("best").isNull() | (F.col("id").eqNullSafe(F.col("best.id")) & (F.col("node") == F.col("best.node"))))

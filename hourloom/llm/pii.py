@@ -82,10 +82,19 @@ CONTEXT = 24  # characters before a span that the context labeler reads
 FEATURES = ("form", "known", "cue")
 
 
-def _spans(text: Column, kind: Kind, found: str, parts: str) -> Column:
-    """Structs of start, end (code points) and votes for what the pattern finds, from the pieces between the finds."""
+BLOCK = 128  # spans that one pass gathers; arrays that grow by one at a time are copied each time
+SPAN = "array<struct<start:int,end:int,form:int,known:int,cue:int>>"
+
+
+def _blocks(size: Column) -> Column:
+    """Numbers of the blocks that `size` elements fill; none for no element."""
+    return F.when(size > 0, F.sequence(F.lit(0), F.floor((size - 1) / BLOCK).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+
+def _spans(kind: Kind, found: str, parts: str) -> Column:
+    """For each block of what the pattern finds: its length in code points (`at`) and structs of start, end and votes, counted
+    from the start of the block, from the pieces between the finds."""
     part, match = (lambda i: F.get(F.col(parts), i)), (lambda i: F.get(F.col(found), i))
-    empty = F.array().cast("array<struct<start:int,end:int,form:int,known:int,cue:int>>")
 
     def step(a: Column, i: Column) -> Column:
         start = a["at"] + F.length(part(i))
@@ -99,20 +108,39 @@ def _spans(text: Column, kind: Kind, found: str, parts: str) -> Column:
         )
         return F.struct(end.alias("at"), F.concat(a["spans"], F.array(span)).alias("spans"))
 
-    whole = F.aggregate(
-        F.sequence(F.lit(0), F.size(found) - 1), F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda a: a["spans"]
-    )
-    return F.when(F.size(found) > 0, whole).otherwise(empty)
+    def block(k: Column) -> Column:
+        own = F.sequence(k * BLOCK, F.least(k * BLOCK + BLOCK, F.size(found)) - 1)
+        return F.aggregate(own, F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans")), step)
+
+    return F.transform(_blocks(F.size(found)), block)
+
+
+def _moved(blocks: str) -> Column:
+    """The spans of all blocks, counted from the start of the text."""
+
+    def add(a: Column, b: Column) -> Column:
+        return F.struct((a["at"] + b["at"]).alias("at"), F.concat(a["before"], F.array(a["at"])).alias("before"))
+
+    before = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("before")), add, lambda a: a["before"])
+
+    def shifted(b: Column, by: Column) -> Column:
+        def one(s: Column, by: Column) -> Column:
+            return F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["form"].alias("form"), s["known"].alias("known"), s["cue"].alias("cue"))
+
+        return each(b["spans"], one, by)
+
+    return F.flatten(F.zip_with(blocks, before, shifted))
 
 
 def candidates(docs: DataFrame, keep: tuple[str, ...], text_col: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
-    """The columns `keep` and one array of proposed spans for each kind."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    step = docs.select(*[F.col(c).alias(f"_{c}") for c in keep], text.alias("_txt"))
+    """`doc`, a struct of the columns `keep`, and one array of proposed spans for each kind (`s_<kind>`)."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    step = docs.select(F.struct(*[F.col(f"`{c}`").alias(c) for c in keep]).alias("doc"), text.alias("txt"))
     none = F.array().cast("array<string>")
-    step = step.select("*", *[F.when(F.col("_txt").rlike(k.needs), F.regexp_extract_all("_txt", F.lit(k.pattern), F.lit(0))).otherwise(none).alias(f"_m_{k.name}") for k in kinds])
-    step = step.select("*", *[F.when(F.size(f"_m_{k.name}") > 0, F.split("_txt", k.pattern, -1)).otherwise(none).alias(f"_p_{k.name}") for k in kinds])
-    return step.select(*[F.col(f"_{c}").alias(c) for c in keep], *[_spans(F.col("_txt"), k, f"_m_{k.name}", f"_p_{k.name}").alias(f"_s_{k.name}") for k in kinds])
+    step = step.select("*", *[F.when(F.col("txt").rlike(k.needs), F.regexp_extract_all("txt", F.lit(k.pattern), F.lit(0))).otherwise(none).alias(f"m_{k.name}") for k in kinds])
+    step = step.select("*", *[F.when(F.size(f"m_{k.name}") > 0, F.split("txt", k.pattern, -1)).otherwise(none).alias(f"p_{k.name}") for k in kinds])
+    step = step.select("doc", *[_spans(k, f"m_{k.name}", f"p_{k.name}").alias(f"b_{k.name}") for k in kinds])
+    return step.select("doc", *[_moved(f"b_{k.name}").alias(f"s_{k.name}") for k in kinds])
 
 
 def reliabilities(counts: dict[tuple, int], rounds: int = 50) -> tuple[dict, dict, dict]:
@@ -165,12 +193,17 @@ def detect(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str =
     text is empty and has no span. Equal rows each get a row; columns besides are ignored; an empty table gives an empty
     one. Nothing is shuffled but the counts of vote patterns, at most 18 for each kind.
     """
+    return _judged(docs, keep, text_col, kinds, threshold).select("doc.*", "spans")
+
+
+def _judged(docs: DataFrame, keep: tuple[str, ...], text_col: str, kinds: tuple[Kind, ...] = KINDS, threshold: float = 0.5) -> DataFrame:
+    """`doc`, a struct of the columns `keep`, and `spans`."""
     found = landed(candidates(docs, keep, text_col, kinds), "pii-candidates")
 
     def votes(s: Column, kind: str) -> Column:
         return F.struct(F.lit(kind).alias("kind"), s["form"].alias("form"), s["known"].alias("known"), s["cue"].alias("cue"))
 
-    every = F.concat(*[each(f"_s_{k.name}", votes, k.name) for k in kinds])
+    every = F.concat(*[each(f"s_{k.name}", votes, k.name) for k in kinds])
     rows = found.select(F.explode(every).alias("v")).groupBy("v.kind", "v.form", "v.known", "v.cue").count().collect()
     counts = {(r["kind"], r["form"], r["known"], r["cue"]): r["count"] for r in rows}
     post, _, _ = reliabilities(counts)
@@ -184,30 +217,49 @@ def detect(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str =
                 (F.lit(k.base) & (s["form"] > 0)).alias("base"), (1 / (1 + F.exp(-z))).alias("score"),
             )
 
-        return F.filter(F.transform(f"_s_{k.name}", span), lambda s: s["base"] | (F.lit(not k.base) & (s["score"] >= threshold)))
+        return F.filter(F.transform(f"s_{k.name}", span), lambda s: s["base"] | (F.lit(not k.base) & (s["score"] >= threshold)))
 
-    return found.select(*keep, F.sort_array(F.concat(*[judged(i, k) for i, k in enumerate(kinds)])).alias("spans"))
+    return found.select("doc", F.sort_array(F.concat(*[judged(i, k) for i, k in enumerate(kinds)])).alias("spans"))
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with every span in its text replaced by its kind in angle brackets; overlapping spans become one, named
-    after the first. Null and clean texts stay as they are, other columns too; the order of columns is kept.
+    after the first. Null and clean texts stay as they are, other columns too, whatever their names; the order of columns
+    is kept. The work on a text grows with its length and its spans.
     """
-    keep = tuple(docs.columns)
-    found = detect(docs, keep, text_col)
+    found = _judged(docs, tuple(docs.columns), text_col)
     by_start = F.sort_array(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    text = F.col(text_col)
+    rows = found.select("doc", by_start.alias("by_start"))
+    rows = rows.withColumn("blocks", F.transform(_blocks(F.size("by_start")), lambda k: F.slice("by_start", k * BLOCK + 1, F.lit(BLOCK))))
+
+    def reach(a: Column, b: Column) -> Column:
+        return F.struct(F.greatest(a["at"], F.array_max(F.transform(b, lambda s: s["end"]))).alias("at"), F.concat(a["before"], F.array(a["at"])).alias("before"))
+
+    # how far the spans of earlier blocks reach
+    before = F.aggregate("blocks", F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("before")), reach)
+    pieces = F.array().cast("array<struct<low:int,high:int,kind:string>>")
 
     def step(a: Column, s: Column) -> Column:
-        apart = s["start"] >= a["at"]
-        piece = F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(apart, piece).otherwise(a["out"]).alias("out"))
-
-    clean = F.aggregate("by_start", start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    out = found.withColumn("by_start", by_start)
-    out = out.withColumn("clean", F.when(text.isNotNull() & (F.size("by_start") > 0), clean).otherwise(text))
-    return out.select(*[F.col("clean").alias(c) if c == text_col else F.col(c) for c in docs.columns])
+        piece = F.struct(a["at"].alias("low"), s["start"].alias("high"), s["kind"].alias("kind"))
+        more = F.when(s["start"] >= a["at"], F.concat(a["out"], F.array(piece))).otherwise(a["out"])
+        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), more.alias("out"))
+
+    def cut(b: Column, at: Column) -> Column:
+        return F.aggregate(b, F.struct(at.alias("at"), pieces.alias("out")), step, lambda a: a["out"])
+
+    rows = rows.withColumn("reach", before)
+    rows = rows.select("doc", F.flatten(F.zip_with("blocks", "reach.before", cut)).alias("pieces"), F.col("reach.at").alias("last"))
+    text = F.col("doc").getField(text_col)
+    hit = text.isNotNull() & (F.size("pieces") > 0)
+    rows = rows.withColumn("chars", F.when(hit, F.split(text, "")))
+
+    def told(p: Column) -> Column:
+        return F.concat(F.array_join(F.slice("chars", p["low"] + 1, p["high"] - p["low"]), ""), F.lit("<"), F.upper(p["kind"]), F.lit(">"))
+
+    tail = F.array_join(F.slice("chars", F.col("last") + 1, F.greatest(F.size("chars") - F.col("last"), F.lit(0))), "")
+    clean = F.concat(F.array_join(F.transform("pieces", told), ""), tail)
+    rows = rows.select("doc", F.when(hit, clean).otherwise(text).alias("clean"))
+    return rows.select(*[F.col("clean").alias(c) if c == text_col else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

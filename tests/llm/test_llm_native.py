@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import time
 
 import pytest
 from llm_cases import SCHEMA, documents, frame, hard
@@ -162,6 +163,30 @@ def test_redaction(spark):
     assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: "mail <EMAIL> now, or <PHONE>", 2: None, 3: "clean 12 text", 4: "é😀 <EMAIL>"}
 
 
+def test_redaction_leaves_other_columns_alone(spark):
+    """Columns named as the operators' own, or with a dot in them."""
+    schema = "doc_id long, text string, clean string, by_start string, txt string, spans array<int>, `a.b` long, _s_email string, m_email string, p_ip int, doc int, last int"
+    text = "x" + " a@b.cc 1.2.3.4" * 300 + " 😀 password=a1234567"
+    rows = [(1, text, "C", "B", "T", [1], 9, "q", "m", 3, 4, 5), (2, None, "C", None, "T", None, 9, "q", "m", 3, 4, 5)]
+    got = {r["doc_id"]: r for r in pii.redact(spark.createDataFrame(rows, schema)).collect()}
+    assert got[1]["text"] == "x" + " <EMAIL> <IP>" * 300 + " 😀 <SECRET>"
+    assert [tuple(got[i])[2:] for i in (1, 2)] == [r[2:] for r in rows] and got[2]["text"] is None
+
+
+def test_redaction_of_dense_texts(spark):
+    rows = [(1, "a@b.cc " * 40_000, "en", "s", 0), (2, "1.2.3.4" + " +49 30 1234567" * 20_000, "en", "s", 0)]
+    start = time.time()
+    got = {r["doc_id"]: r["text"] for r in pii.redact(frame(spark, rows)).collect()}
+    assert got == {1: "<EMAIL> " * 40_000, 2: "<IP>" + " <PHONE>" * 20_000}
+    assert time.time() - start < 90
+
+
+def test_dotted_columns(spark):
+    df = frame(spark).withColumn("a.b", F.lit(1)).withColumn("doc", F.lit(2)).withColumn("gone", F.lit(3))
+    for out in (line_rules.clean(df), pii.redact(df)):
+        assert out.columns == df.columns and out.filter("`a.b` <> 1 or doc <> 2 or gone <> 3").isEmpty() and not out.isEmpty()
+
+
 def test_long_secrets(spark):
     value = "aB3/x_9-" * 40
     rows = [(i, f"login token = {value[:n]} end", "en", "s", 0) for i, n in enumerate((8, 128, 129, 300))] + [(9, "user secret=" + "k7" * 50_000, "en", "s", 0)]
