@@ -1,8 +1,8 @@
 """License scan over a positional index of rare licence words.
 
 Every word of the templates that occurs in a document is kept with its position. Over the corpus these words get an
-inverse document frequency; each template is looked up by its rarest words, whose positions, less their offset in the
-template, must agree on where it starts; the other words are then verified there.
+inverse document frequency. A document's rarest licence words tell which templates it can have; the positions of their words,
+less their offset in the template, must agree on where it starts; the key phrase is then verified there, and the rest weighed.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import ascii_lower, each, landed, only
+from hourloom.llm.common import ascii_lower, landed
 
 #: Characters that part words, once A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -55,103 +55,110 @@ TEMPLATES = (
 )
 
 
+def _rows(spark, values: list[tuple], names: str) -> DataFrame:
+    """A few constant rows."""
+    rows = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names.split(), strict=True)]) for r in values]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 def scan(
     docs: DataFrame,
     phrases: tuple[Template, ...] = PHRASES,
     templates: tuple[Template, ...] = TEMPLATES,
     id_col: str = "doc_id",
     text_col: str = "text",
-    lookups: int = 3,
 ) -> DataFrame:
     """One row for each row of `docs`: its id, n_words, n_base (places of `phrases`), first_word and last_word (their
     smallest and largest start), base_labels, labels, score, and `places`: label, start and length of all that was found.
 
     score is 1 where a phrase stands, else the largest share of a template's weight found at one start, 0 without any.
     A null or empty text has no words: zeros, empty labels, null positions. Equal rows each get a row; other columns
-    are ignored. An empty table gives an empty one. Positions never leave their row, so nothing is shuffled but one
-    count for each template word.
+    are ignored. An empty table gives an empty one.
+
+    A file's licence words are looked up, the rarest first: a template without all words of its key phrase among them is
+    out, which the first, rarest word settles for nearly all. The positions of the others' words, less their places in the
+    template, are starts; words that agree on one are counted and weighed there. Only positions in files with a template left are
+    shuffled, a row for each start and word, so the work on a text grows with its length however often it repeats itself.
     """
     every = (*phrases, *templates)
     vocabulary = sorted({w for t in every for w in t.words.split()})
     number = {w: i for i, w in enumerate(vocabulary)}
-    cut = F.array_remove(F.split(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), SEPARATORS), "")
+    cut = F.array_remove(F.split(ascii_lower(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), SEPARATORS), "")
     term = F.create_map(*[x for w, i in number.items() for x in (F.lit(w), F.lit(i))])
 
     def hit(w: Column, i: Column) -> Column:
         return F.struct(w.alias("word"), i.alias("at"))
 
-    words = docs.select(F.col(id_col), cut.alias("words"))
+    words = docs.select(F.col(id_col).alias("id"), cut.alias("words"))
     found = F.filter(F.transform("words", hit), lambda x: x["word"].isin(vocabulary))
     found = F.transform(found, lambda x: F.struct(term[x["word"]].alias("term"), x["at"].alias("at")))
-    hits = landed(words.select(id_col, F.size("words").cast("long").alias("n_words"), found.alias("hits")), "licence-words")
+    thin = words.select("id", F.size("words").cast("long").alias("n_words"), found.alias("hits"))
+    hits = landed(thin.withColumn("row", F.monotonically_increasing_id()), "licence-words")
 
     n = hits.count()
     counts = hits.select(F.explode(F.array_distinct("hits.term")).alias("term")).groupBy("term").count().collect()
     seen = {r["term"]: r["count"] for r in counts}  # one entry for each template word
     idf = {w: math.log((1 + n) / (1 + seen.get(i, 0))) + 1 for w, i in number.items()}
 
-    def positions(t: int) -> Column:
-        return F.transform(F.filter("hits", lambda h: h["term"] == t), lambda h: h["at"])
-
-    def at(start: Column, word: str, offset: int) -> Column:
-        return F.array_contains("hits", F.struct(F.lit(number[word]).alias("term"), (start + offset).alias("at")))
-
-    def shifted(word: str, offset: int) -> Column:
-        return F.filter(F.transform(positions(number[word]), lambda p: p - offset), lambda s: s >= 0)
-
-    def whole(t: Template) -> Column:
-        """Starts at which all words stand: postings of the two rarest intersected, then the rest verified."""
-        order = sorted(enumerate(t.words.split()), key=lambda x: (-idf[x[1]], x[0]))
-        starts = F.array_distinct(shifted(order[0][1], order[0][0]))
-        if len(order) > 1:
-            starts = F.array_intersect(starts, shifted(order[1][1], order[1][0]))
-        for k, w in order[2:]:
-            starts = only(starts, at, w, k)
-        return F.transform(starts, lambda s: place(t, s, F.lit(1.0)))
-
-    def place(t: Template, start: Column, share: Column) -> Column:
-        return F.struct(F.lit(t.label).alias("label"), start.alias("start"), F.lit(len(t.words.split())).alias("length"), share.alias("share"))
-
-    def partly(t: Template) -> Column:
-        """Starts on which one of the rarest words agrees, with the weight found there; the key phrase must stand in full."""
-        words_, key = t.words.split(), t.key.split()
-        first = next(i for i in range(len(words_)) if words_[i : i + len(key)] == key)
-        order = sorted(range(first, first + len(key)), key=lambda k: (-idf[words_[k]], k))
-        total = sum(idf[w] for w in words_)
-        starts = F.array_distinct(F.transform(positions(number[words_[order[0]]]), lambda p: p - order[0]))
-        for k in order[1:lookups]:
-            starts = F.array_intersect(starts, each(positions(number[words_[k]]), lambda p, o: p - o, k))
-        for k in order[lookups:]:
-            starts = only(starts, at, words_[k], k)
-
-        def weight(s: Column) -> Column:
-            others = [F.when(at(s, w, k), F.lit(idf[w])).otherwise(0.0) for k, w in enumerate(words_) if k not in order]
-            return F.least(F.lit(1.0), (sum(others, F.lit(0.0)) + sum(idf[words_[k]] for k in order)) / total)
-
-        return F.transform(starts, lambda s: place(t, s, weight(s)))
-
+    def key_places(t: Template) -> range:
+        """Where in the template its key phrase stands; all of it without one."""
+        all_, key = t.words.split(), t.key.split()
+        first = next(i for i in range(len(all_)) if all_[i : i + len(key)] == key)
+        return range(first, first + len(key)) if key else range(len(all_))
+
+    def left_in(t: Template) -> Column:
+        """Whether the file has all words of the key phrase; the rarest is asked for first."""
+        asked = sorted({t.words.split()[k] for k in key_places(t)}, key=lambda w: (-idf[w], w))
+        out = F.lit(True)
+        for w in reversed(asked):
+            out = F.when(F.array_contains("terms", number[w]), out).otherwise(False)
+        return out
+
+    # postings: for each word of a template its place there, its weight, and whether it is one of the key phrase
+    postings = [
+        (number[w], i, k, idf[w], int(k in key_places(t))) for i, t in enumerate(every) for k, w in enumerate(t.words.split())
+    ]
+    spark = docs.sparkSession
+    postings = F.broadcast(_rows(spark, postings, "term template offset weight key"))
+    about = [
+        (i, i < len(phrases), bool(t.key), t.label, len(t.words.split()), len(key_places(t)), sum(idf[w] for w in t.words.split()), t.share * 0.999)
+        for i, t in enumerate(every)
+    ]
+    about = F.broadcast(_rows(spark, about, "template base keyed label length keys total least"))
+
+    open_ = hits.withColumn("terms", F.array_distinct("hits.term"))
+    open_ = open_.withColumn("left", F.array_compact(F.array(*[F.when(left_in(t), F.lit(i)) for i, t in enumerate(every)])))
+    open_ = open_.filter(F.size("left") > 0).select("row", "left", F.explode("hits").alias("hit")).select("row", "left", "hit.term", "hit.at")
+    starts = open_.join(postings, "term").filter(F.array_contains("left", F.col("template")))
+    starts = starts.groupBy("row", "template", (F.col("at") - F.col("offset")).alias("start")).agg(
+        F.sum("key").alias("found"), F.count(F.lit(1)).alias("words"), F.sum("weight").alias("weight")
+    )
+    starts = starts.join(about, "template").filter(F.col("found") == F.col("keys"))
+    share = F.when(F.col("words") == F.col("length"), 1.0).otherwise(F.least(F.lit(1.0), F.round(F.col("weight") / F.col("total"), 12)))
+    starts = starts.withColumn("share", share)
+    place = F.struct("label", "start", "length", "share")
+    told = F.col("share") >= F.col("least")
+    placed = starts.groupBy("row").agg(
+        F.sort_array(F.collect_list(F.when(F.col("base"), place))).alias("base"),
+        F.sort_array(F.collect_list(F.when(~F.col("base") & told, place))).alias("more"),
+        F.max(F.when(F.col("keyed"), F.col("share")).otherwise(0.0)).alias("near"),
+    )
     empty = F.array().cast("array<struct<label:string,start:int,length:int,share:double>>")
-    base = F.concat(empty, *[whole(t) for t in phrases])
-    more = F.concat(empty, *[only(partly(t) if t.key else whole(t), lambda x, least: x["share"] >= least, t.share * 0.999) for t in templates])
-    near = F.concat(F.array(F.lit(0.0)), *[F.transform(partly(t), lambda x: x["share"]) for t in templates if t.key])
-    some = F.size("hits") > 0
-    rows = hits.select(
-        id_col, "n_words", F.when(some, base).otherwise(empty).alias("base"), F.when(some, more).otherwise(empty).alias("more"),
-        F.when(some, F.array_max(near)).otherwise(0.0).alias("near"),
-    )
+    rows = hits.select("row", "id", "n_words").join(placed, "row", "left")
+    rows = rows.withColumns({"base": F.coalesce("base", empty), "more": F.coalesce("more", empty)})
 
     def joined(labels: Column) -> Column:
         return F.array_join(F.sort_array(F.array_distinct(labels)), ",")
 
-    starts = F.col("base.start")
+    at = F.col("base.start")
     return rows.select(
-        id_col,
+        F.col("id").alias(id_col),
         "n_words",
         F.size("base").cast("long").alias("n_base"),
-        F.array_min(starts).cast("long").alias("first_word"),
-        F.array_max(starts).cast("long").alias("last_word"),
+        F.array_min(at).cast("long").alias("first_word"),
+        F.array_max(at).cast("long").alias("last_word"),
         joined(F.col("base.label")).alias("base_labels"),
         joined(F.concat(F.col("base.label"), F.col("more.label"))).alias("labels"),
-        F.when(F.size("base") > 0, 1.0).otherwise(F.col("near")).alias("score"),
+        F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce("near", F.lit(0.0))).alias("score"),
         F.concat("base", "more").alias("places"),
     )

@@ -2,6 +2,8 @@
 
 import collections
 import hashlib
+import math
+import random
 import re
 import time
 
@@ -58,6 +60,59 @@ def test_license_templates(spark):
     assert got[0]["score"] > 0.8 and 0.8 < got[1]["score"] < 1 and got[2]["score"] == 0
 
 
+def test_license_of_long_repetitive_texts(spark):
+    """A licence's own words over and over, and words of all licences in no order: the work must not grow with their square."""
+    phrase = "permission is hereby granted free "
+    vocabulary = sorted({w for t in (*licenses.PHRASES, *licenses.TEMPLATES) for w in t.words.split()})
+    r = random.Random(4)
+    rows = [(1, phrase * 30_000, "en", "s", 0), (2, "under the mit license " * 40_000, "en", "s", 0), (3, " ".join(r.choices(vocabulary, k=100_000)), "en", "s", 0)]
+    start = time.time()
+    got = {x["doc_id"]: x for x in licenses.scan(frame(spark, rows)).drop("places").collect()}
+    assert time.time() - start < 120
+    assert got[2]["n_base"] == 40_000 and got[2]["last_word"] == 4 * 39_999 and got[2]["labels"] == "mit"
+    assert got[1]["n_base"] == 0 and got[1]["n_words"] == 150_000 and 0 < got[1]["score"] < 1
+
+
+def test_license_templates_against_plain_python(spark):
+    r = random.Random(8)
+    vocabulary = sorted({w for t in (*licenses.PHRASES, *licenses.TEMPLATES) for w in t.words.split()})
+    texts = []
+    for _ in range(60):
+        words = r.choices(["lorem", "ipsum", *vocabulary], k=r.randrange(0, 40))
+        for t in r.sample(licenses.TEMPLATES, r.randrange(0, 3)):
+            part = t.words.split()
+            for k in range(len(part)):
+                if r.random() < 0.1:
+                    part[k] = "other"
+            at = r.randrange(0, len(words) + 1)
+            words[at:at] = part
+        texts.append(words)
+    got = licenses.scan(frame(spark, [(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)])).orderBy("doc_id").collect()
+    every = (*licenses.PHRASES, *licenses.TEMPLATES)
+    seen = collections.Counter(w for t in texts for w in set(t))
+    idf = {w: math.log((1 + len(texts)) / (1 + seen[w])) + 1 for w in vocabulary}
+    for words, x in zip(texts, got, strict=True):
+        labels, base, near = set(), 0, 0.0
+        for t in every:
+            part, key = t.words.split(), t.key.split()
+            first = next(i for i in range(len(part)) if part[i : i + len(key)] == key)
+            keys = range(first, first + len(key)) if key else range(len(part))
+            for s in range(-len(part), len(words)):
+                same = [k for k in range(len(part)) if 0 <= s + k < len(words) and words[s + k] == part[k]]
+                if not set(keys) <= set(same):
+                    continue
+                share = sum(idf[part[k]] for k in same) / sum(idf[w] for w in part)
+                if t in licenses.PHRASES:
+                    base += 1
+                    labels.add(t.label)
+                    continue
+                near = max(near, share if key else 0)
+                if share >= t.share * 0.999:
+                    labels.add(t.label)
+        assert (x["n_base"], x["labels"]) == (base, ",".join(sorted(labels)))
+        assert abs(x["score"] - (1 if base else min(1, near))) < 1e-9
+
+
 def test_line_rules_counts(both):
     rows, df = both
     want = []
