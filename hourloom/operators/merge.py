@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,23 +102,30 @@ def merge_changes(
     return matched.unionByName(fresh).unionByName(loose)
 
 
+def partition_of(spec: TableSpec) -> Column:
+    """The partition a row is stored in: its date, or the bucket of its keys."""
+    if spec.time_col:
+        return day_of(spec.time_col, spec.grain)
+    return F.pmod(F.xxhash64(*[F.col(k) for k in spec.keys]), F.lit(spec.buckets)).cast("int")
+
+
 def _touched(target: DataFrame, staged: DataFrame, spec: TableSpec) -> DataFrame:
     """Target rows of the partitions a batch touches, as a partition filter.
 
-    The dates are looked up first: there is at most one per calendar day, and Spark prunes at run
+    The partitions are looked up first: there is at most one per calendar day, or per bucket, and Spark prunes at run
     time only when it expects the batch to be selective, which it can not know of landed files.
     """
-    days = [r[0] for r in staged.select(day_of(spec.time_col, spec.grain)).distinct().collect()]
-    part = F.col(spec.grain)
+    days = [r[0] for r in staged.select(partition_of(spec)).distinct().collect()]
+    part = F.col(spec.partition)
     dated = part.isin([d for d in days if d is not None])
     return target.filter(dated | part.isNull() if None in days else dated)
 
 
 def stored_schema(spec: TableSpec) -> T.StructType:
-    """Columns as stored: those declared, then the date a row is stored under."""
-    if not spec.time_col:
+    """Columns as stored: those declared, then the date or bucket a row is stored under."""
+    if not spec.partition:
         return spec.schema
-    return T.StructType([*spec.schema.fields, T.StructField(spec.grain, T.DateType())])
+    return T.StructType([*spec.schema.fields, T.StructField(spec.partition, T.DateType() if spec.time_col else T.IntegerType())])
 
 
 def merge_folder(spark: SparkSession, path: str, spec: TableSpec, scratch: str | None = None) -> str:
@@ -129,8 +136,8 @@ def merge_folder(spark: SparkSession, path: str, spec: TableSpec, scratch: str |
 def _apply(spark: SparkSession, path: str, spec: TableSpec, work: str) -> None:
     """Copy merged rows to the table, then say so. Doing it twice in a row gives the same table."""
     done = spark.read.schema(stored_schema(spec)).parquet(f"{work}/merged").write.mode("overwrite")
-    if spec.time_col:
-        done.option("partitionOverwriteMode", "dynamic").partitionBy(spec.grain).parquet(path)
+    if spec.partition:
+        done.option("partitionOverwriteMode", "dynamic").partitionBy(spec.partition).parquet(path)
     else:
         done.option("partitionOverwriteMode", "static").parquet(path)
     paths.touch(spark, f"{work}/{APPLIED}")
@@ -155,7 +162,7 @@ def upsert_table(
     """Merge a batch into a parquet table; returns False when the batch is empty.
 
     A table with a time column is stored by day, and only the days the batch touches are read and
-    replaced; the time column must be a key, or a row that moves to another day would stay on the
+    replaced; one with ``buckets`` likewise by the hash of its keys. The time column must be a key, or a row that moves to another day would stay on the
     old one too. The batch is written to the shared scratch folder first and read from there, so it
     is evaluated once. The merged rows are written there in full too, and copied to the table.
 
@@ -180,11 +187,15 @@ def upsert_table(
         target = spark.read.schema(stored_schema(spec)).parquet(path)
     else:
         target = spark.createDataFrame([], stored_schema(spec))
-    if spec.time_col:
+    if spec.partition:
         target = _touched(target, staged, spec)
     merged = merge_changes(target.select(*spec.columns), staged, spec.keys, on_duplicate=on_duplicate).drop(ACTION)
     if spec.time_col:
         overwrite_days(merged, f"{work}/merged", spec.time_col, spec.sort_cols, spec.grain)
+    elif spec.partition:
+        out = merged.withColumn(spec.partition, partition_of(spec)).hint("rebalance", F.col(spec.partition))
+        out = out.sortWithinPartitions(spec.partition, *spec.sort_cols)
+        out.write.mode("overwrite").partitionBy(spec.partition).parquet(f"{work}/merged")
     else:
         merged.write.mode("overwrite").parquet(f"{work}/merged")
     _apply(spark, path, spec, work)
@@ -231,5 +242,5 @@ def upsert_files(
 
 def read_table(spark: SparkSession, path: str, spec: TableSpec, with_partition: bool = False) -> DataFrame:
     """The stored columns in declared order. Readers that prune by day ask for the day column too."""
-    more = [spec.grain] if with_partition and spec.time_col else []
+    more = [spec.partition] if with_partition and spec.partition else []
     return spark.read.schema(stored_schema(spec)).parquet(path).select(*spec.columns, *more)

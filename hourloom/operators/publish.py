@@ -70,7 +70,8 @@ def _stage(out: Output, folder: str) -> None:
 def _notes(spark: SparkSession, out: Output, part: int, folder: str, schema: T.StructType) -> DataFrame:
     """What was built, a row for each date; dates without rows have none to copy."""
     built = spark.read.schema(schema).parquet(folder)
-    day = F.col(out.grain).cast("date") if out.grain else F.lit(None).cast("date")
+    dated = out.grain and schema[out.grain].dataType == T.DateType()
+    day = F.col(out.grain) if dated else F.lit(None).cast("date")
     newest = F.col(out.updated).cast("timestamp") if out.updated and out.updated in built.columns else F.lit(None).cast("timestamp")
     rows = built.groupBy(day.alias("day")).agg(F.max(newest).alias("newest"), F.count(F.lit(1)).alias("n_rows"))
     if out.mode == DAYS and out.gone is not None:

@@ -12,6 +12,7 @@ from ..constants import (
 from ..operators import coverage as cov
 from ..operators import reports as rep
 from ..operators import split as spl
+from ..sources.landing import landed
 
 
 def parameter_report(
@@ -19,12 +20,11 @@ def parameter_report(
 ) -> dict[str, DataFrame]:
     """Most common parameters, locations that have them all, and their hourly coverage.
 
-    Every part comes from the counts per location and parameter, one row for each, which are kept
-    when first made (``persist``; a lost part is made again), so the measurements are aggregated
-    once for all parts and never joined. The names of the top ``n`` parameters become columns, so
+    Every part comes from the counts per location and parameter, one row for each, which are kept in the
+    shared folder, so the measurements are aggregated once for all parts and never joined. The names of the top ``n`` parameters become columns, so
     those ``n`` values are looked up.
     """
-    pairs = cov.coverage_counts(df).persist()
+    pairs = landed(cov.coverage_counts(df), "coverage-counts")
     ranking = cov.rank_counts(pairs)
     top = cov.top_parameters(ranking, n)
     names = [r[0] for r in top.select(cov.NAME).collect()]  # at most n names

@@ -104,8 +104,10 @@ def load_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "truncate"
     out = conform(df, spec)
     if spec.time_col:
         out = out.withColumn(spec.grain, day_of(spec.time_col, spec.grain))
-    grain = spec.grain if spec.time_col else None
-    keys = (*spec.sort_cols, spec.time_col) if spec.time_col else ()
+    elif spec.buckets:
+        out = out.withColumn(spec.partition, F.pmod(F.xxhash64(*[F.col(k) for k in spec.keys]), F.lit(spec.buckets)).cast("int"))
+    grain = spec.partition
+    keys = (*spec.sort_cols, spec.time_col) if spec.time_col else spec.sort_cols
     spark = df.sparkSession
     if mode == "truncate":
         replace_table(spark, out, path, grain, keys)

@@ -53,3 +53,13 @@ def files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
         return []
     found = [s for s in fs.listStatus(p) if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
     return sorted((s.getPath().toString(), int(s.getLen()), int(s.getModificationTime())) for s in found)
+
+
+def cut_files(spark: SparkSession, path: str, out: str, share: float) -> None:
+    """Copies of the data files under ``path`` that end early, as an upload that broke off leaves them."""
+    for name, size, _ in files(spark, path):
+        fs, p = _locate(spark, name)
+        source, to = fs.open(p), fs.create(_locate(spark, f"{out}/{p.getName()}")[1], True)
+        to.write(source.readNBytes(int(size * share)))
+        to.close()
+        source.close()

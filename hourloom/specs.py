@@ -18,6 +18,9 @@ _TYPES = {
 }
 
 
+BUCKET = "bucket"
+
+
 @dataclass(frozen=True)
 class ForeignKey:
     column: str
@@ -29,7 +32,8 @@ class ForeignKey:
 class TableSpec:
     """What a stored table promises.
 
-    ``time_col`` is the column whose day (or other ``grain``) partitions the table.
+    ``time_col`` is the column whose day (or other ``grain``) partitions the table. A table without one may be stored
+    in ``buckets`` by the hash of its keys, so that a batch touches only those its keys fall into.
     """
 
     name: str
@@ -39,6 +43,12 @@ class TableSpec:
     sort_cols: tuple[str, ...] = ()
     foreign_keys: tuple[ForeignKey, ...] = field(default=())
     grain: str = "day"
+    buckets: int | None = None
+
+    @property
+    def partition(self) -> str | None:
+        """The column the table is stored by, if any."""
+        return self.grain if self.time_col else BUCKET if self.buckets else None
 
     @property
     def columns(self) -> list[str]:

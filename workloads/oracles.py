@@ -342,6 +342,10 @@ ORACLES["coverage_check"] = f"{_checked} SELECT * FROM checked"
 ORACLES["coverage_share"] = f"""{_checked}
     SELECT count(CASE WHEN coverage = 'full' THEN 1 END) AS full_locations, count(*) AS total_locations,
            count(CASE WHEN coverage = 'full' THEN 1 END) / count(*) AS full_share FROM checked"""
+ORACLES["parameter_report_ranking"] = ORACLES["parameter_ranking"]
+ORACLES["parameter_report_top"] = ORACLES["top_parameters"]
+ORACLES["parameter_report_coverage"] = ORACLES["coverage_check"]
+ORACLES["parameter_report_share"] = ORACLES["coverage_share"]
 ORACLES["coverage_counts"] = f"{ALL_READINGS} {_counts} GROUP BY 1, 2"
 ORACLES["parameter_report"] = f"""{_checked} {_counts}
     WHERE sensor_name IN (SELECT sensor_name FROM top)
@@ -354,6 +358,7 @@ _shares = ", ".join(
 ORACLES["coverage_matrix"] = f"""WITH {readings(2)}, shares AS (SELECT location_id, {_shares} FROM readings GROUP BY 1)
     SELECT location_id, {", ".join(f"round({s}, 9) AS {s}" for s in _series)}, round(({" + ".join(_series)}) / 5, 9) AS average,
            round(least({", ".join(_series)}), 9) AS minimum, least({", ".join(_series)}) >= 0.5 AS kept FROM shares"""
+ORACLES["parameter_report_matrix"] = ORACLES["coverage_matrix"]
 ORACLES["dataset_profile"] = f"""{ALL_READINGS}
     SELECT count(*) AS total_rows, min(datetimeto_utc) AS min_datetime, max(datetimeto_utc) AS max_datetime,
            count(DISTINCT location_id) AS unique_locations, count(DISTINCT sensor_name) AS unique_pollutants,
@@ -477,7 +482,7 @@ ORACLES["merge_changes"] = f"""{_merged},
         CASE WHEN o_orderdate < TIMESTAMP '1999-01-01' THEN 'keep' WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN 'insert'
              WHEN o_orderstatus = 'O' THEN 'update' ELSE 'refresh' END AS _action FROM orders"""
 ORACLES["upsert_table"] = f"{_merged} FROM orders"
-ORACLES["stream_upsert"] = ORACLES["upsert_files"] = ORACLES["upsert_table"]
+ORACLES["upsert_bucketed"] = ORACLES["stream_upsert"] = ORACLES["upsert_files"] = ORACLES["upsert_table"]
 _late = """WITH late AS (SELECT o_orderkey, o_totalprice, o_orderdate, o_orderdate + to_days(CAST(o_orderkey % 40 AS INTEGER)) AS updated_at FROM orders),
     loaded AS (SELECT * FROM late WHERE updated_at <= TIMESTAMP '2001-07-20'),
     mark AS (SELECT coalesce(max(updated_at), TIMESTAMP '1900-01-01') AS watermark FROM loaded
@@ -577,6 +582,15 @@ ORACLES["scalar_functions"] = """
 # Sources and sinks ----------------------------------------------------------------------------
 ORACLES["typed_scan"] = "SELECT s_suppkey, s_name, s_acctbal, CAST(NULL AS VARCHAR) AS not_there FROM supplier"
 ORACLES["skip_unreadable"] = "SELECT s_suppkey, s_name, s_acctbal FROM supplier"
+ORACLES["quarantine_rows"] = "SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, s_acctbal FROM supplier"
+ORACLES["quarantine_files"] = "SELECT * FROM (VALUES ('cut', 'ArrowInvalid', 2::BIGINT), ('text', 'ArrowInvalid', 1::BIGINT)) t(place, kind, n_files)"
+ORACLES["concat_widened"] = """
+    SELECT o_orderkey, CAST(CASE o_orderkey % 4 WHEN 0 THEN 0 WHEN 1 THEN o_totalprice WHEN 2 THEN o_custkey ELSE 3 END AS DOUBLE) AS amount,
+        CASE o_orderkey % 4 WHEN 0 THEN CAST(o_custkey AS VARCHAR) WHEN 1 THEN o_orderstatus END AS code,
+        CASE o_orderkey % 4 WHEN 0 THEN date_trunc('day', o_orderdate)::TIMESTAMP WHEN 1 THEN o_orderdate END AS at,
+        CASE o_orderkey % 4 WHEN 0 THEN CAST(o_custkey AS VARCHAR) WHEN 3 THEN '{"c":' || o_custkey || '}' END AS odd
+    FROM orders"""
+ORACLES["concat_conflicts"] = "SELECT * FROM (VALUES ('0', 'odd', 'bigint', 'string'), ('3', 'odd', 'nested', 'string')) t(folder, name, type, read_as)"
 ORACLES["typed_sink"] = """
     SELECT CAST(l_orderkey AS VARCHAR) AS sensor_id, l_quantity AS value, CAST(NULL AS BOOLEAN) AS "flagInfo_hasFlags", CAST(l_partkey AS VARCHAR) AS parameter_id,
         l_returnflag AS parameter_name, l_linestatus AS parameter_units, CAST(NULL AS VARCHAR) AS "parameter_displayName", CAST(NULL AS VARCHAR) AS period_label,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +22,11 @@ from hourloom.operators.grid import entities_of
 from hourloom.operators import publish
 from hourloom.operators.incremental import plan_refresh, watermark
 from hourloom.operators.logs import run_log_errors, run_log_summary, run_log_totals
+from hourloom.operators.order import number_in_order, number_rows
 from hourloom.operators.quality import check_accepted, check_constraints
 from hourloom.operators.resegment import read_segments, refresh_segments
 from hourloom.plans import city, ingest, reports, staging
-from hourloom.sources import files
+from hourloom.sources import files, paths, quarantine
 from hourloom.specs import LOCATION_JSON, LOCATIONS, MEASUREMENTS, SPECS, TableSpec, schema_of
 
 from . import adapters as a
@@ -42,6 +44,14 @@ def _ntz(text):
     return F.lit(text).cast(NTZ)
 
 
+def _whole(numbered):
+    return numbered.withColumn("position", F.col("position").cast("int"))
+
+
+def _in_order(ordered):
+    return _whole(number_in_order(ordered))
+
+
 # Readings, cleaning, concurrency, pivot, grid -------------------------------------------------
 @query
 def sensor_readings(spark, sf):
@@ -283,7 +293,7 @@ def perfect_hours_ranking(spark, sf):
         a.many_seg(spark, sf), a.places(spark, sf, a.MANY_LOCATIONS), perfect=1
     )
     # the map marker size of a ranking grows with the square of the hours
-    return a.positioned(ranked).withColumn("marker_size", rep.squared("location_perfect_hours"))
+    return _in_order(ranked).withColumn("marker_size", rep.squared("location_perfect_hours"))
 
 
 @query
@@ -405,7 +415,7 @@ def _checked(spark, sf):
 
 @query
 def parameter_ranking(spark, sf):
-    return a.positioned(h.rank_parameters(a.readings(spark, sf)))
+    return _in_order(h.rank_parameters(a.readings(spark, sf)))
 
 
 @query
@@ -448,6 +458,33 @@ def parameter_report(spark, sf):
     return reports.parameter_report(a.readings(spark, sf), n=3)["counts"]
 
 
+@query
+def parameter_report_ranking(spark, sf):
+    return _in_order(reports.parameter_report(a.readings(spark, sf), n=3)["ranking"])
+
+
+@query
+def parameter_report_top(spark, sf):
+    return reports.parameter_report(a.readings(spark, sf), n=3)["top"]
+
+
+@query
+def parameter_report_coverage(spark, sf):
+    return reports.parameter_report(a.readings(spark, sf), n=3)["coverage"]
+
+
+@query
+def parameter_report_share(spark, sf):
+    return reports.parameter_report(a.readings(spark, sf), n=3)["coverage_share"]
+
+
+@query
+def parameter_report_matrix(spark, sf):
+    matrix = reports.parameter_report(a.readings(spark, sf, a.CITY_LOCATIONS), n=5, threshold=0.5)["matrix"]
+    numbers = (*a.SERIES, "average", "minimum")
+    return matrix.select("location_id", *[F.round(c, 9).alias(c) for c in numbers], "kept")
+
+
 @query
 def dataset_profile(spark, sf):
     return h.profile(a.readings(spark, sf))
@@ -583,6 +620,16 @@ def upsert_table(spark, sf):
     return wall(h.read_table(spark, path, a.ORDERS))
 
 
+@query
+def upsert_bucketed(spark, sf):
+    """The same batches into a table stored by the hash of its keys, of which a batch rewrites the buckets it touches."""
+    path = a.fresh_dir(spark, "orders")
+    spec = replace(a.ORDERS, buckets=16)
+    h.upsert_table(spark, path, a.loaded_orders(spark, sf), spec)
+    h.upsert_table(spark, path, a.staged_orders(spark, sf), spec)
+    return wall(h.read_table(spark, path, spec))
+
+
 @query
 def upsert_files(spark, sf):
     """Two deliveries of landed files merged under one batch name, and removed."""
@@ -795,7 +842,7 @@ def ingest_locations(spark, sf):
 def canonical_order(spark, sf):
     """Position of each event in the canonical order of its day."""
     rows = table(spark, sf, "events").select("event_id", "ts", "user_id", F.to_date("ts").alias("day"))
-    return a.positioned(h.canonical_sort(rows, ("ts", "user_id", "event_id")), "day")
+    return _whole(number_rows(rows, ("ts", "user_id", "event_id"), ("day",)))
 
 
 @query
@@ -828,6 +875,64 @@ def typed_scan(spark, sf):
     )
 
 
+_SUPPLIER = "s_suppkey long, s_name string, s_acctbal double"
+
+
+def _cut_files(spark, sf):
+    """Suppliers in sound files, line items in files of which the last third is missing, and a file of other content."""
+    path = a.fresh_dir(spark, "delivery")
+    table(spark, sf, "supplier").repartition(3).write.parquet(f"{path}/sound")
+    whole = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("s_suppkey"), F.col("l_returnflag").alias("s_name"), F.col("l_tax").alias("s_acctbal"))
+    whole.repartition(2).write.parquet(f"{path}/whole")
+    paths.cut_files(spark, f"{path}/whole", f"{path}/cut", 2 / 3)
+    paths.delete(spark, f"{path}/whole")
+    table(spark, sf, "nation").select(F.col("n_name").alias("value")).coalesce(1).write.text(f"{path}/text")
+    return path
+
+
+@query
+def quarantine_rows(spark, sf):
+    """Rows of the sound files of a delivery; damaged ones give none."""
+    return quarantine.read_sound(spark, _cut_files(spark, sf), _SUPPLIER)[0]
+
+
+@query
+def quarantine_files(spark, sf):
+    """How many files were set apart, by where they lie and what they are."""
+    bad = quarantine.read_sound(spark, _cut_files(spark, sf), _SUPPLIER)[1]
+    place = F.element_at(F.split("path", "/"), -2)
+    return bad.groupBy(place.alias("place"), F.regexp_extract("reason", "^(\\w+)", 1).alias("kind")).agg(F.count(F.lit(1)).alias("n_files"))
+
+
+def _mixed_files(spark, sf):
+    """Orders in four files whose columns differ in type, are missing, or are nested in one of them."""
+    path = a.fresh_dir(spark, "mixed")
+    rows = table(spark, sf, "orders").withColumn("k", F.col("o_orderkey") % 4)
+    number = F.col("o_custkey")
+    kinds = {
+        0: [F.col("k").cast("int").alias("amount"), number.cast("int").alias("code"), F.col("o_orderdate").cast("date").alias("at"), number.cast("long").alias("odd")],
+        1: [F.col("o_totalprice").alias("amount"), F.col("o_orderstatus").alias("code"), F.col("o_orderdate").alias("at")],
+        2: [number.cast("long").alias("amount")],
+        3: [F.col("k").cast("smallint").alias("amount"), F.struct(number.cast("long").alias("c")).alias("odd")],
+    }
+    for k, columns in kinds.items():
+        rows.filter(F.col("k") == k).select("o_orderkey", *columns).coalesce(1).write.parquet(f"{path}/{k}")
+    return path
+
+
+@query
+def concat_widened(spark, sf):
+    return wall(quarantine.concat_widened(spark, _mixed_files(spark, sf))[0])
+
+
+@query
+def concat_conflicts(spark, sf):
+    """Files and columns that no type holds together, by the folder of the file."""
+    found = quarantine.concat_widened(spark, _mixed_files(spark, sf))[1]
+    folder = F.element_at(F.split("path", "/"), -2)
+    return found.select(folder.alias("folder"), F.col("column").alias("name"), F.regexp_replace("type", "<.*", "nested").alias("type"), "read_as")
+
+
 @query
 def skip_unreadable(spark, sf):
     """Suppliers read together with files that only claim to be parquet."""
