@@ -454,7 +454,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
     met = _meetings(_signatures(docs, text_col, k, seed, percent, boundary(sizes, percent)), percent)
     family = landed(components(met), "families")
     sets = landed(_sets_of(docs, family, text_col, k, seed), "family-sets")
-    return thin, components(_family_links(sets, family, percent, block)), seed
+    return thin, landed(_family_roots(sets, family, percent, block), "roots"), seed
 
 
 def _known(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
@@ -462,8 +462,8 @@ def _known(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def _family_links(sets: DataFrame, family: DataFrame, percent: int, block: int) -> DataFrame:
-    """Edges that tell the components of links in each family (node, root).
+def _family_roots(sets: DataFrame, family: DataFrame, percent: int, block: int) -> DataFrame:
+    """For each node that has links, the node that stands for its component, from families (node, root).
 
     Families up to `block` sets are settled at once. A larger one is dealt to parts, in each of which the components are found;
     one set of each stands for it, and these are compared next. That settles families of copies, whose sets are
@@ -475,8 +475,10 @@ def _family_links(sets: DataFrame, family: DataFrame, percent: int, block: int)
     dealt = sets.join(_known(family), "node").withColumn("j", F.lit(0))
     edges = landed(_verified(dealt, percent), "links-in-parts")
     large = family.filter("blocks > 1")
+    # in a part, edges lead to the first set of a component
+    named = edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
     if large.isEmpty():
-        return edges
+        return named
 
     sets = sets.join(_known(large.select("node")), "node")
     heads = landed(large.join(edges.select(F.col("a").alias("node"), F.col("b").alias("head")), "node", "left")
@@ -485,15 +487,19 @@ def _family_links(sets: DataFrame, family: DataFrame, percent: int, block: int)
     parts = few.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     few = landed(few.join(parts, "root").withColumn("i", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")), "heads-dealt")
     between = landed(_verified(sets.join(_known(few), "node").withColumn("j", F.lit(0)), percent), "links-of-heads")
-    merged = components(between).withColumnsRenamed({"node": "head", "root": "top"})
+    if few.filter("blocks > 1").isEmpty():
+        merged = between.select(F.col("a").alias("head"), F.col("b").alias("top"))
+    else:
+        merged = components(between).withColumnsRenamed({"node": "head", "root": "top"})
     tops = landed(heads.join(merged, "head", "left").select("root", "node", F.coalesce("top", "head").alias("top")), "family-tops")
-    every = edges.union(between)
+    small = named.join(_known(large.select("node")), "node", "left_anti")
+    roots = small.union(tops.select("node", F.col("top").alias("root")))
 
     size = tops.groupBy("root", "top").agg(F.count(F.lit(1)).alias("n"))
     most = size.groupBy("root").agg(F.max(F.struct("n", "top")).alias("largest"), F.count(F.lit(1)).alias("tops"), F.sum("n").alias("all"))
     most = landed(most.filter("tops > 1"), "open-families")
     if most.isEmpty():
-        return every
+        return roots
     most = most.select("root", F.col("largest.top").alias("main"), F.ceil(F.col("largest.n") / block).cast("int").alias("in_main"),
                        F.ceil((F.col("all") - F.col("largest.n")) / block).cast("int").alias("outside"))
     rest = tops.join(most, "root").withColumn("inside", F.col("top") == F.col("main"))
@@ -508,7 +514,12 @@ def _family_links(sets: DataFrame, family: DataFrame, percent: int, block: int)
         F.concat(F.transform(outer, lambda i: key(F.least(i, F.col("own")), F.greatest(i, F.col("own")))), F.transform(inner, lambda j: key(F.col("own"), F.col("outside") + j)))
     )
     rest = rest.withColumn("own", own).select("root", "node", F.explode(met).alias("at")).select("root", "node", "at.i", "at.j")
-    return every.union(_verified(sets.join(rest, "node"), percent))
+    more = _verified(sets.join(rest, "node"), percent)
+    names = tops.select("node", "top")
+    more = more.join(names.withColumnsRenamed({"node": "a", "top": "top_a"}), "a").join(names.withColumnsRenamed({"node": "b", "top": "top_b"}), "b")
+    more = components(more.select(F.col("top_a").alias("a"), F.col("top_b").alias("b"))).withColumnsRenamed({"node": "top", "root": "last"})
+    final = tops.join(more, "top", "left").select("node", F.coalesce("last", "top").alias("root"))
+    return small.union(final)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 85, block: int = 1024) -> DataFrame:

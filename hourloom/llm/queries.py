@@ -114,6 +114,27 @@ SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
     WHEN regexp_matches(host, '{url_filters.ADVERTISING}') THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
+""",
+    "op8_ngram_join": r"""
+WITH RECURSIVE cut AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingle FROM cut
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM sizes
+    UNION
+    SELECT r.doc_id, l.other FROM reached r JOIN (SELECT a AS doc_id, b AS other FROM links UNION ALL SELECT b, a FROM links) l ON r.other = l.doc_id
+)
+SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, coalesce(c.least, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN (SELECT doc_id, min(other) AS least FROM reached GROUP BY doc_id) c ON c.doc_id = d.doc_id
 """,
     "op11_systematic_mix": r"""
 WITH sized AS (
