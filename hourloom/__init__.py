@@ -13,9 +13,11 @@ from .operators.flatten import (
     array_to_columns, explode_children, explode_parallel_arrays, flatten_structs,
 )
 from .operators.grid import dense_grid, pivot_readings, tag_concurrency
-from .operators.incremental import changed_days, overwrite_days, refresh_days, rows_of_days
+from .operators.incremental import changed_days, overwrite_days, plan_refresh, refresh_days, rows_of_days
 from .operators.logs import run_log_errors, run_log_summary
 from .operators.merge import merge_changes, read_table, upsert_files, upsert_table
+from .operators.order import number_in_order, number_rows
+from .operators.publish import Output, finish, known_days, publish, replace_table
 from .operators.quality import (
     check_accepted, check_at_least_one, check_constraints, check_freshness, check_not_null,
     check_relationship, check_unique,
@@ -25,12 +27,15 @@ from .operators.reports import (
     overlapping_segments, rank_by_average, rank_by_perfect_hours, segment_boundaries,
     segment_timeline, tier_summary, unpivot_values,
 )
+from .operators.resegment import read_segments, refresh_segments
 from .operators.segments import segment, segment_by_series, shatter, track_perfect_hours
 from .operators.split import monthly_perfect_hours, split_locations, split_report, split_shares
+from .operators.zorder import in_bbox_by_cell, sorted_by_cell, with_cell
 from .session import build_session
 from .sources.files import (
     concat_files, concat_to, export_query, load_table, read_json_documents, read_run_logs, read_typed,
     run_query, write_parquet, write_reconciled,
 )
+from .sources.quarantine import concat_widened, inspect_parquet, read_sound
 from .specs import LOCATIONS, MEASUREMENTS, SENSORS, SPECS, WEATHER, TableSpec
 from .streaming.upsert import stream_upsert

@@ -76,18 +76,16 @@ def check_accepted(df: DataFrame, col: str, values: Sequence) -> DataFrame:
 def check_constraints(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:
     """Violations per declared constraint (key, required columns, foreign keys) of each table given.
 
-    A table is read and shuffled once: rows are counted by its key and foreign keys, and every rule is told
-    from these counts, which the rules of a table share.
+    Rows are counted by key, and by each foreign key where it isn't part of the key, in both cases before the shuffle; every
+    rule is told from these counts.
     """
     found = []
     for name, df in tables.items():
         spec = specs[name]
         links = [fk for fk in spec.foreign_keys if fk.parent in tables]
-        by = list(dict.fromkeys([*spec.keys, *[fk.column for fk in links]]))
         lacking = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.required], F.lit(False))
-        counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), F.count_if(lacking).alias("_lacking"))
         known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in spec.keys])
-        keys = counts.groupBy(*spec.keys).agg(F.sum("_rows").alias("_rows"), F.sum("_lacking").alias("_lacking"))
+        keys = df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("_rows"), F.count_if(lacking).alias("_lacking"))
         rules = [F.struct(F.lit(f"unique({', '.join(spec.keys)})").alias("rule"), F.col("_twice").alias("violations"))]
         if spec.required:
             rules.append(F.struct(F.lit("required").alias("rule"), F.col("_short").alias("violations")))
@@ -96,7 +94,8 @@ def check_constraints(tables: Mapping[str, DataFrame], specs: Mapping[str, Table
         )
         found.append(sums.select(F.lit(name).alias("table_name"), F.inline(F.array(*rules))))
         for fk in links:
-            used = counts.filter(F.col(fk.column).isNotNull()).groupBy(fk.column).agg(F.sum("_rows").alias("_rows"))
+            counted = keys if fk.column in spec.keys else df.withColumn("_rows", F.lit(1))
+            used = counted.filter(F.col(fk.column).isNotNull()).groupBy(fk.column).agg(F.sum("_rows").alias("_rows"))
             ids = tables[fk.parent].select(F.col(fk.parent_column).alias("_pk"))
             broken = used.join(ids, F.col(fk.column) == F.col("_pk"), "left_anti")
             found.append(

@@ -19,7 +19,7 @@ from hourloom.operators.enrich import sensors_with_dates, wide_measurements
 from hourloom.operators.filters import exclude_banned as exclude_listed_ids
 from hourloom.operators.filters import exclude_ids, in_bbox, is_member
 from hourloom.operators.grid import entities_of
-from hourloom.operators import publish
+from hourloom.operators import publish, zorder
 from hourloom.operators.incremental import plan_refresh, watermark
 from hourloom.operators.logs import run_log_errors, run_log_summary, run_log_totals
 from hourloom.operators.order import number_in_order, number_rows
@@ -601,6 +601,15 @@ def bbox_filter(spark, sf):
     return in_bbox(rows, "l_discount", "l_tax", 0.02, 0.01, 0.05, 0.04)
 
 
+@query
+def bbox_by_cell(spark, sf):
+    """The same box from line items stored in the order of their cells, of which only the ranges of the box are read."""
+    path, grid = a.fresh_dir(spark, "cells"), dict(extent=(0.0, 0.0, 0.125, 0.125), bits=10)
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_discount", "l_tax")
+    zorder.sorted_by_cell(rows, "l_discount", "l_tax", **grid).write.parquet(path)
+    return zorder.in_bbox_by_cell(spark.read.parquet(path), "l_discount", "l_tax", 0.02, 0.01, 0.05, 0.04, **grid).drop(zorder.CELL)
+
+
 @query
 def membership_flag(spark, sf):
     return table(spark, sf, "events").select("event_id", is_member("user_id", (3, 5, 8, 13, 21)).alias("listed"))
