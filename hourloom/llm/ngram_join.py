@@ -258,88 +258,81 @@ def list_rows(kind: int, a: np.ndarray, b: np.ndarray, level: np.ndarray) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "a", "b", "level", "n"])
 
 
-def read_lists(batches: Iterator[pa.RecordBatch], step: int = 1 << 18) -> Iterator[pa.RecordBatch]:
-    """Lists come one after another. Of the last one, which may go on, CROWD nodes are held over at most: from then on it
-    is known to be crowded, and its nodes are told as they come."""
-    held, count = [], 0
-    last_sig, head, last_node, crowded = None, 0, 0, False  # the list that goes on, its first and latest node
-
-    def told(sig: np.ndarray, node: np.ndarray, final: bool) -> Iterator[pa.RecordBatch]:
-        nonlocal held, count, last_sig, head, last_node, crowded
-        new = np.ones(len(sig), dtype=bool)
-        new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
-        if crowded and len(sig):
-            new[0] = sig[0] != last_sig or node[0] != last_node
-        sig, node = sig[new], node[new]
-        goes_on = 0  # rows of a list known to be crowded
-        if crowded:
-            goes_on = int(np.searchsorted(sig != last_sig, True))
-            if goes_on:
-                yield from long(sig[:goes_on], node[:goes_on], head)
-                last_node = int(node[goes_on - 1])
-            if goes_on == len(sig) and not final:
-                held, count = [], 0
-                return
-        sig, node = sig[goes_on:], node[goes_on:]
-        crowded = False
-        cut = len(sig)
-        if len(sig) and not final:
-            cut = len(sig) - int(np.searchsorted((sig != sig[-1])[::-1], True))
-            if len(sig) - cut > CROWD:  # known by now
-                last_sig, head, last_node, crowded = int(sig[-1]), int(node[cut]), int(node[-1]), True
-                yield from long(sig[cut:], node[cut:], head, skip=1)
-                held, count = [], 0
-            else:
-                held, count = [(sig[cut:], node[cut:])], len(sig) - cut
-        else:
-            held, count = [], 0
-        yield from whole(sig[:cut], node[:cut])
-
-    def long(sig: np.ndarray, node: np.ndarray, head: int, skip: int = 0) -> Iterator[pa.RecordBatch]:
-        """Nodes of a crowded list; `skip` is 1 where its first node comes along."""
-        if (int(sig[0]) & SUBSET) != SUBSET:
-            yield list_rows(1, sig, node, sig & SUBSET)
-        elif len(node) > skip:
-            yield list_rows(2, node[skip:], np.full(len(node) - skip, head), np.full(len(node) - skip, SUBSET))
-
-    def whole(sig: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not len(sig):
-            return
+def read_lists(batches: Iterator[pa.RecordBatch], step: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """What the lists of a partition say. Whenever `step` rows have gathered, those of lists longer than CROWD are told and let
+    go, so what is held are short lists, however long others grow."""
+    held, count, limit = [], 0, step
+    heads: dict[int, int] = {}  # the first node of each list known to be crowded
+
+    def crowded(sig: np.ndarray, node: np.ndarray) -> Iterator[pa.RecordBatch]:
+        subset = (sig & SUBSET) == SUBSET
+        if not subset.all():
+            yield list_rows(1, sig[~subset], node[~subset], sig[~subset] & SUBSET)
+        if subset.any():
+            first = np.array([heads[x] for x in sig[subset].tolist()], dtype=np.int64)
+            other = node[subset] != first
+            yield list_rows(2, node[subset][other], first[other], np.full(int(other.sum()), SUBSET))
+
+    def settled() -> tuple[np.ndarray, ...]:
+        """Rows in order, each once; where lists start, and their lengths."""
+        both = np.stack([np.concatenate(x) for x in zip(*held, strict=True)], axis=1)
+        both = both[np.lexsort((both[:, 1], both[:, 0]))]
+        new = np.ones(len(both), dtype=bool)
+        new[1:] = (both[1:] != both[:-1]).any(axis=1)
+        sig, node = np.ascontiguousarray(both[new].T)
         first = np.ones(len(sig), dtype=bool)
         first[1:] = sig[1:] != sig[:-1]
         start = np.flatnonzero(first)
-        length = np.diff(np.append(start, len(sig)))
-        tag = sig[start] & SUBSET
-        pairs = []
-        for size in range(2, CROWD + 1):
-            at = start[(length == size) & (tag != SUBSET)]
-            for i in range(size) if len(at) else ():
-                for j in range(i):
-                    pairs.append((node[at + i], node[at + j], sig[at] & SUBSET))
-        if pairs:
-            yield list_rows(0, *map(np.concatenate, zip(*pairs, strict=True)))
-        at = (length > CROWD) & (tag != SUBSET)
-        if at.any():
-            spots = ragged(start[at], length[at])
-            yield list_rows(1, sig[spots], node[spots], sig[spots] & SUBSET)
-        at = (length > 1) & (tag == SUBSET)
-        if at.any():
-            spots = ragged(start[at] + 1, length[at] - 1)
-            yield list_rows(2, node[spots], np.repeat(node[start[at]], length[at] - 1), np.full(len(spots), SUBSET))
+        return sig, node, start, np.diff(np.append(start, len(sig)))
 
     for b in batches:
         held.append((np.asarray(b.column(0)), np.asarray(b.column(1))))
         count += b.num_rows
-        if count >= step:
-            yield from told(*map(np.concatenate, zip(*held, strict=True)), final=False)
-    if held:
-        yield from told(*map(np.concatenate, zip(*held, strict=True)), final=True)
+        if count < limit:
+            continue
+        sig, node, start, length = settled()
+        known = np.isin(sig[start], np.fromiter(heads, dtype=np.int64, count=len(heads)))
+        long = known | (length > CROWD)
+        heads.update(zip(sig[start[long & ~known]].tolist(), node[start[long & ~known]].tolist(), strict=True))
+        out = np.repeat(long, length)
+        if out.any():
+            yield from crowded(sig[out], node[out])
+        held, count = [(sig[~out], node[~out])], int((~out).sum())
+        limit = max(step, 2 * count)
+    if not count:
+        return
+    sig, node, start, length = settled()
+    known = np.isin(sig[start], np.fromiter(heads, dtype=np.int64, count=len(heads)))
+    if known.any():
+        out = np.repeat(known, length)
+        yield from crowded(sig[out], node[out])
+        start, length = start[~known], length[~known]
+    tag = sig[start] & SUBSET
+    pairs = []
+    for size in range(2, CROWD + 1):
+        at = start[(length == size) & (tag != SUBSET)]
+        for i in range(size) if len(at) else ():
+            for j in range(i):
+                pairs.append((node[at + i], node[at + j], sig[at] & SUBSET))
+                if sum(len(p[0]) for p in pairs) > 1 << 20:
+                    yield list_rows(0, *map(np.concatenate, zip(*pairs, strict=True)))
+                    pairs = []
+    if pairs:
+        yield list_rows(0, *map(np.concatenate, zip(*pairs, strict=True)))
+    at = (length > CROWD) & (tag != SUBSET)
+    if at.any():
+        spots = ragged(start[at], length[at])
+        yield list_rows(1, sig[spots], node[spots], sig[spots] & SUBSET)
+    at = (length > 1) & (tag == SUBSET)
+    if at.any():
+        spots = ragged(start[at] + 1, length[at] - 1)
+        yield list_rows(2, node[spots], np.repeat(node[start[at]], length[at] - 1), np.full(len(spots), SUBSET))
 
 
 def _lists(signatures: DataFrame) -> DataFrame:
     """What lists of two nodes or more say: kind 0, a pair of nodes and how many lists of a level it shares; kind 1, a list
     (a) longer than CROWD and a node in it (b); kind 2, an edge from a shared subset."""
-    return signatures.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(read_lists, "kind long, a long, b long, level long, n long")
+    return signatures.repartition("sig").mapInArrow(read_lists, "kind long, a long, b long, level long, n long")
 
 
 def _meetings(signatures: DataFrame, percent: int) -> DataFrame:
@@ -514,7 +507,7 @@ def _family_roots(sets: DataFrame, family: DataFrame, percent: int, block: int)
         F.concat(F.transform(outer, lambda i: key(F.least(i, F.col("own")), F.greatest(i, F.col("own")))), F.transform(inner, lambda j: key(F.col("own"), F.col("outside") + j)))
     )
     rest = rest.withColumn("own", own).select("root", "node", F.explode(met).alias("at")).select("root", "node", "at.i", "at.j")
-    more = _verified(sets.join(rest, "node"), percent)
+    more = _verified(sets.join(_known(landed(rest, "open-parts")), "node"), percent)
     names = tops.select("node", "top")
     more = more.join(names.withColumnsRenamed({"node": "a", "top": "top_a"}), "a").join(names.withColumnsRenamed({"node": "b", "top": "top_b"}), "b")
     more = components(more.select(F.col("top_a").alias("a"), F.col("top_b").alias("b"))).withColumnsRenamed({"node": "top", "root": "last"})
@@ -562,7 +555,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
 
     rows = docs.select(whole_row(docs).alias("doc"), docs[id_col].alias("id"), docs[text_col].alias("text"))
     rows = rows.mapInArrow(tagged, schema)
-    near = rows.filter("not alone").join(members, "node", "left")
+    near = rows.filter("not alone").join(_known(members), "node", "left")
     near = near.filter(F.col("best").isNull() | (F.col("id").eqNullSafe(F.col("best.id")) & (F.col("node") == F.col("best.node"))))
     if not thin.filter("n > 0").groupBy("id", "node").count().filter("count > 1").isEmpty():
         near = near.dropDuplicates(["node"])
