@@ -79,7 +79,7 @@ def _notes(spark: SparkSession, out: Output, part: int, folder: str, schema: T.S
         rows = rows.unionByName(gone.select("day", F.lit(None).cast("timestamp").alias("newest"), F.lit(0).cast("long").alias("n_rows")))
     if out.mode == WHOLE:  # a table may have no row at all
         rows = rows.unionByName(spark.range(1).select(F.lit(None).cast("date").alias("day"), F.lit(None).cast("timestamp").alias("newest"), F.lit(0).cast("long").alias("n_rows")))
-    fixed = [F.lit(part).alias("part"), F.lit(out.path).alias("path"), F.lit(out.mode).alias("mode"), F.lit(out.grain).alias("grain")]
+    fixed = [F.lit(part).alias("part"), F.lit(out.path).alias("path"), F.lit(out.mode).alias("mode"), F.lit(out.grain).cast("string").alias("grain")]
     return rows.select(*fixed, "day", "newest", "n_rows", F.lit(schema.json()).alias("kind"))
 
 
@@ -178,7 +178,7 @@ def _compact(spark: SparkSession, home: str) -> None:
     rows = None
     for t in tables.distinct().collect():
         one = known_days(spark, home, t["path"]).select(
-            F.lit(t["part"]).alias("part"), F.lit(t["path"]).alias("path"), F.lit(WHOLE).alias("mode"), F.lit(t["grain"]).alias("grain"), "day", "newest", "n_rows"
+            F.lit(t["part"]).alias("part"), F.lit(t["path"]).alias("path"), F.lit(WHOLE).alias("mode"), F.lit(t["grain"]).cast("string").alias("grain"), "day", "newest", "n_rows"
         )
         rows = one if rows is None else rows.unionByName(one)
     entry = f"{journal(home)}/{_number(done[-1]) + 1:09d}-{uuid.uuid4().hex}"

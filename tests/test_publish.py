@@ -159,6 +159,15 @@ def test_journal_is_compacted(spark, tmp_path, monkeypatch):
     assert rows(pub.known_days(spark, path), "day", "newest", "n_rows") == [(day(n % 3 + 1).date(), day(n), 1) for n in (6, 7, 5)]
 
 
+def test_truncate_and_append_without_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spec = h.TableSpec("t", h.SENSORS.schema, keys=("id",))
+    one = spark.createDataFrame([(f"{i}", "l", *[None] * 5, day(1), day(1), day(1)) for i in range(3)], spec.schema)
+    for mode in ("truncate", "truncate", "append"):
+        h.load_table(one, path, spec, mode)
+    assert spark.read.parquet(path).count() == 6
+
+
 def test_empty_tables(spark, tmp_path):
     path = str(tmp_path / "t")
     none = spark.createDataFrame([], SCHEMA)
