@@ -55,11 +55,26 @@ def files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted((s.getPath().toString(), int(s.getLen()), int(s.getModificationTime())) for s in found)
 
 
-def cut_files(spark: SparkSession, path: str, out: str, share: float) -> None:
-    """Copies of the data files under ``path`` that end early, as an upload that broke off leaves them."""
-    for name, size, _ in files(spark, path):
-        fs, p = _locate(spark, name)
-        source, to = fs.open(p), fs.create(_locate(spark, f"{out}/{p.getName()}")[1], True)
-        to.write(source.readNBytes(int(size * share)))
+def cut_files(spark: SparkSession, path: str, out: str, share: float, n_files: int | None = None) -> None:
+    """Copies of the data files under ``path`` that end early, as an upload that broke off leaves them.
+
+    With ``n_files``, that many, of all files under ``path`` one behind the other. Bytes go from stream to stream, never
+    into memory whole. A copy never ends where one of its files does: it would end in that file's footer.
+    """
+    found = files(spark, path)
+    n = len(found) if n_files is None else min(n_files, len(found))
+    copy = spark._jvm.org.apache.commons.io.IOUtils.copyLarge
+    for k in range(n):
+        own = found[k * len(found) // n : (k + 1) * len(found) // n]
+        left = int(sum(size for _, size, _ in own) * share)
+        fs, p = _locate(spark, f"{out}/{own[0][0].rsplit('/', 1)[1]}")
+        to = fs.create(p, True)
+        for name, size, _ in own:
+            if left <= 0:
+                break
+            fs, p = _locate(spark, name)
+            source = fs.open(p)
+            copy(source, to, 0, size - 1 if left == size else min(left, size))
+            source.close()
+            left -= size
         to.close()
-        source.close()

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 import hourloom as h
 from hourloom.operators.merge import _touched, stored_schema
 from hourloom.operators.order import number_in_order, number_rows
+from hourloom.sources import paths
 from hourloom.sources.quarantine import concat_widened, inspect_parquet, read_sound, widest
 from hourloom.specs import TableSpec, schema_of
+from workloads import queries
 
 AT = dt.datetime(2024, 1, 1)
 SPEC = TableSpec(
@@ -50,6 +52,42 @@ def test_damaged_files_give_no_row(spark, tmp_path):
     assert large.filter("reason is null and columns is null").count() == 5  # none is opened
 
 
+def test_files_cut_from_many_parts(spark, tmp_path):
+    """Two files of all parts, so that no task has to write half of the rows; each is damaged, wherever the cut falls."""
+    for k in range(6):
+        write(str(tmp_path / "whole"), f"{k}.parquet", 1000)  # of equal size: two thirds of three parts end with a part
+    size = os.path.getsize(tmp_path / "whole" / "0.parquet")
+    paths.cut_files(spark, str(tmp_path / "whole"), str(tmp_path / "cut"), 2 / 3, n_files=2)
+    assert [os.path.getsize(name.removeprefix("file:")) for name, _, _ in paths.files(spark, str(tmp_path / "cut"))] == [2 * size - 1] * 2
+    report = inspect_parquet(spark, str(tmp_path / "cut")).collect()
+    assert len(report) == 2 and all(r["reason"].startswith("ArrowInvalid") for r in report)
+
+
+@pytest.mark.parametrize("cores", [1, 4])
+def test_no_task_gets_half_of_the_delivery(spark, tmp_path, cores):
+    """Line items in eight row groups are written by as many tasks as read them."""
+    source = str(tmp_path)
+    n = 8000
+    pq.write_table(pa.table({"l_orderkey": pa.array(range(n), type=pa.int64()), "l_returnflag": ["A"] * n, "l_tax": [0.5] * n}), f"{source}/lineitem.parquet", row_group_size=1000)
+    pq.write_table(pa.table({"s_suppkey": pa.array(range(10), type=pa.int64()), "s_name": ["s"] * 10, "s_acctbal": [1.0] * 10}), f"{source}/supplier.parquet")
+    pq.write_table(pa.table({"n_name": ["n"] * 3}), f"{source}/nation.parquet")
+    seen, real = [], paths.cut_files
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        paths.cut_files = lambda spark, path, *more, **named: (seen.append(len(paths.files(spark, path))), real(spark, path, *more, **named))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8k" if cores > 1 else "1g")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        spark.conf.set("spark.sql.files.minPartitionNum", str(cores))
+        assert queries.quarantine_rows(spark, source).count() == 10
+        assert {(r["place"], r["kind"], r["n_files"]) for r in queries.quarantine_files(spark, source).collect()} == {("cut", "ArrowInvalid", 2), ("text", "ArrowInvalid", 1)}
+    finally:
+        paths.cut_files = real
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert all(k == 2 for k in seen) if cores == 1 else all(k > 2 for k in seen)
+
+
 def test_widest():
     assert widest({"int", "bigint"}) == "bigint" and widest({"int", "float"}) == "double" and widest({"date", "timestamp"}) == "timestamp"
     assert widest({"boolean", "int"}) == "string" and widest({"string", "date"}) == "string" and widest({"tinyint"}) == "tinyint"

@@ -888,12 +888,17 @@ _SUPPLIER = "s_suppkey long, s_name string, s_acctbal double"
 
 
 def _cut_files(spark, sf):
-    """Suppliers in sound files, line items in files of which the last third is missing, and a file of other content."""
+    """Suppliers in sound files, all line items in two files of which the last third is missing, and a file of other content.
+
+    The line items are written by as many tasks as read them, one behind the other into the two files: no task gets half of them.
+    """
     path = a.fresh_dir(spark, "delivery")
     table(spark, sf, "supplier").repartition(3).write.parquet(f"{path}/sound")
     whole = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("s_suppkey"), F.col("l_returnflag").alias("s_name"), F.col("l_tax").alias("s_acctbal"))
-    whole.repartition(2).write.parquet(f"{path}/whole")
-    paths.cut_files(spark, f"{path}/whole", f"{path}/cut", 2 / 3)
+    whole.write.parquet(f"{path}/whole")
+    if len(paths.files(spark, f"{path}/whole")) < 2:  # one task has read them all
+        whole.repartition(2).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/whole")
+    paths.cut_files(spark, f"{path}/whole", f"{path}/cut", 2 / 3, n_files=2)
     paths.delete(spark, f"{path}/whole")
     table(spark, sf, "nation").select(F.col("n_name").alias("value")).coalesce(1).write.text(f"{path}/text")
     return path
