@@ -156,3 +156,18 @@ def test_histogram_plans_the_segments_twice_at_most(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("FileScan parquet") == 1 and len(set(re.findall(r"subquery#(\d+)", plan))) == 1
+
+
+def test_cleaning_of_measurements_is_compiled(spark, tmp_path):
+    """The JVM only interprets methods above 8000 bytes; Spark makes smaller ones of them if it is told that limit."""
+    from workloads import adapters, queries
+
+    rows = [(1, 2, 3, 1, 4.0, 5.0, 0.1, 0.2, "R", "O")]
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    line = spark.createDataFrame(rows, names).withColumn("l_shipdate", F.lit("2001-01-02 00:00:00").cast(adapters.NTZ))
+    line.write.parquet(f"{tmp_path}/lineitem.parquet")
+    try:
+        assert queries.ingest_measurements(spark, str(tmp_path)).count() == 1
+        assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+    finally:
+        spark.conf.unset("spark.sql.codegen.hugeMethodLimit")

@@ -747,6 +747,8 @@ def ingest_sensors(spark, sf):
 
 @query
 def ingest_measurements(spark, sf):
+    # cleaning so many columns makes a method that the JVM would only interpret; smaller ones are made of it beyond this size
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return wall(ingest.ingest_measurements(a.measurement_docs(spark, sf), "2024-02-01 00:00:00", sort=True))
 
 
