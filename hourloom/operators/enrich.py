@@ -49,9 +49,9 @@ def enrich(facts: DataFrame, dims: Sequence[Dim]) -> DataFrame:
     return facts
 
 
-def sensors_with_locations(sensors: DataFrame, locations: DataFrame) -> DataFrame:
-    """Staged sensors with the descriptive columns of their location."""
-    dim = Dim(
+def staged_location(locations: DataFrame) -> Dim:
+    """The descriptive columns of a staged location, by its id."""
+    return Dim(
         locations, "location_id", "id",
         {
             "location_name": "location_name", "timezone": "timezone", "ismobile": "ismobile",
@@ -61,10 +61,12 @@ def sensors_with_locations(sensors: DataFrame, locations: DataFrame) -> DataFram
             "datetimefirst_utc": "datetimefirst_utc", "datetimelast_utc": "datetimelast_utc",
         },
     )
-    kept = sensors.select(
-        F.col("id").alias("sensor_id"), "location_id", "sensor_name", "parameter_displayname"
-    )
-    return enrich(kept, [dim])
+
+
+def staged_sensor(sensors: DataFrame) -> Dim:
+    """The descriptive columns of a staged sensor, by its id."""
+    kept = ("location_id", "sensor_name", "parameter_displayname")
+    return Dim(sensors, "sensor_id", "id", {c: c for c in kept})
 
 
 def sensors_with_dates(

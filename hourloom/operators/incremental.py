@@ -144,4 +144,5 @@ def plan_refresh(
     out = build(source)
     out = out.withColumn(grain, day_of(out_ts, grain))
     keys = [c for c in (*sort_cols, out_ts) if c in out.columns]
-    return Output(out, path, mode, grain, keys, updated_col, gone)
+    # a whole table by month or year has rows of each in every task: gathering them would shuffle the table once more
+    return Output(out, path, mode, grain, keys, updated_col, gone, gather=mode == DAYS or grain == DAY)

@@ -5,6 +5,9 @@ replaced has been noted, it is copied to the tables; a copy can be repeated. The
 entry still owes, and drops entries that were not built in full. The notes of past entries tell which rows the table holds,
 by day, so the watermark of a refresh need not be read off rows of which some may be missing.
 
+A table that has no file yet has no rows to keep, so its first load is built in its place and stored once. The entry is marked
+before; if the load is killed, the next call drops what there is of the table.
+
 One writer per table is assumed. Readers that come while days are copied see some of them old and some new.
 """
 
@@ -21,7 +24,7 @@ from pyspark.sql import types as T
 
 from ..sources import paths
 
-DONE, COMPACTED, COMPACT_AFTER = "_DONE", "_COMPACTED", 16
+DONE, COMPACTED, FIRST, COMPACT_AFTER = "_DONE", "_COMPACTED", "_FIRST", 16
 DAYS, WHOLE = "days", "whole"
 NOTES = T.StructType([
     T.StructField("part", T.IntegerType()), T.StructField("path", T.StringType()), T.StructField("mode", T.StringType()),
@@ -34,7 +37,8 @@ NOTES = T.StructType([
 class Output:
     """Rows for one stored table. ``mode`` "days" replaces the dates of ``grain`` that occur in ``df`` or in ``gone``, "whole"
     the table. ``updated`` names the column whose newest value is noted. ``df`` may be a function of what has been built
-    before it, so that rows needn't be computed again for a summary of them."""
+    before it, so that rows needn't be computed again for a summary of them. With ``gather`` the rows of a date are brought
+    together before they are written; without, each task writes a file for every date it holds, and no row is shuffled for it."""
 
     df: DataFrame | Callable[[list[DataFrame]], DataFrame]
     path: str
@@ -43,6 +47,7 @@ class Output:
     sort_cols: Sequence[str] = ()
     updated: str | None = None
     gone: DataFrame | None = None
+    gather: bool = True
 
 
 def journal(path: str) -> str:
@@ -62,8 +67,9 @@ def _number(entry: str) -> int:
 def _stage(out: Output, folder: str) -> None:
     df = out.df
     if out.grain:
-        df = df.hint("rebalance", F.col(out.grain)).sortWithinPartitions(out.grain, *out.sort_cols)
-    writer = df.write.mode("overwrite")
+        df = df.hint("rebalance", F.col(out.grain)) if out.gather else df
+        df = df.sortWithinPartitions(out.grain, *out.sort_cols)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(out.grain) if out.grain else writer).parquet(folder)
 
 
@@ -89,19 +95,24 @@ def publish(spark: SparkSession, home: str, outputs: Iterable[Output]) -> None:
     outputs = list(outputs)
     entries = _entries(spark, home)
     entry = f"{journal(home)}/{max(map(_number, entries), default=0) + 1:09d}-{uuid.uuid4().hex}"
-    build(spark, entry, outputs)
+    first = [out.path for out in outputs] == [home] and outputs[0].mode == WHOLE and not paths.has_files(spark, home)
+    if first:
+        paths.touch(spark, f"{entry}/{FIRST}")
+    build(spark, entry, outputs, first)
     _apply(spark, entry)
     _compact(spark, home)
 
 
-def build(spark: SparkSession, entry: str, outputs: Sequence[Output]) -> None:
+def build(spark: SparkSession, entry: str, outputs: Sequence[Output], first: bool = False) -> None:
+    """Write the outputs aside, or in place if that is the ``first`` load of the table, and then the notes of them."""
     notes, built = None, []
     for k, out in enumerate(outputs):
         if not isinstance(out.df, DataFrame):
             out = replace(out, df=out.df(built))
-        _stage(out, f"{entry}/{k}")
-        built.append(spark.read.schema(out.df.schema).parquet(f"{entry}/{k}"))
-        one = _notes(spark, out, k, f"{entry}/{k}", out.df.schema)
+        folder = out.path if first else f"{entry}/{k}"
+        _stage(out, folder)
+        built.append(spark.read.schema(out.df.schema).parquet(folder))
+        one = _notes(spark, out, k, folder, out.df.schema)
         notes = one if notes is None else notes.unionByName(one)
     # the notes are complete last, and their marker says that everything is
     notes.coalesce(1).write.mode("overwrite").parquet(f"{entry}/notes")
@@ -114,7 +125,7 @@ def _read_notes(spark: SparkSession, entry: str) -> DataFrame:
 def _apply(spark: SparkSession, entry: str) -> None:
     """Copy what an entry holds to its tables. Doing it twice in a row gives the same tables."""
     parts = _read_notes(spark, entry).groupBy("part", "path", "mode", "grain", "kind").agg(F.sum("n_rows").alias("n")).orderBy("part").collect()
-    for p in parts:
+    for p in () if paths.exists(spark, f"{entry}/{FIRST}") else parts:
         _copy(spark, f"{entry}/{p['part']}", p["path"], p["mode"], p["grain"], p["n"], T.StructType.fromJson(json.loads(p["kind"])))
         if p["mode"] == DAYS:
             empty = _read_notes(spark, entry).filter((F.col("part") == p["part"]) & (F.col("n_rows") == 0)).select("day").collect()
@@ -147,6 +158,8 @@ def finish(spark: SparkSession, home: str) -> int:
             _apply(spark, entry)
             copied += 1
         else:
+            if paths.exists(spark, f"{entry}/{FIRST}"):
+                paths.delete(spark, home)
             paths.delete(spark, entry)
     return copied
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ..constants import AUDIT_COLUMNS, ENRICHED_TARGET_LOOKBACK_DAYS, WEATHER_METRICS
 from ..operators.dedupe import keep_latest
-from ..operators.enrich import Dim, enrich, sensors_with_locations
+from ..operators.enrich import enrich, staged_location, staged_sensor
 from ..operators.incremental import refresh_days
+from ..operators.publish import finish
+from ..sources import paths
 
 # --- fixed values: columns of the staged tables, output name -> raw name where they differ ----
 STAGED_LOCATION_COLUMNS = {
@@ -68,11 +70,16 @@ def stage_weather(raw: DataFrame) -> DataFrame:
     return keep_latest(slim, ["location_id", "datetimeto_utc"], ["updated_at"], ties)
 
 
-def standardize(measurements: DataFrame, sensors: DataFrame, locations: DataFrame) -> DataFrame:
-    """Staged measurements with the columns of their sensor and its location."""
-    dims = sensors_with_locations(sensors, locations)
-    extra = {c: c for c in dims.columns if c != "sensor_id"}
-    wide = enrich(measurements, [Dim(dims, "sensor_id", "sensor_id", extra)])
+def standardize(
+    measurements: DataFrame, sensors: DataFrame, locations: DataFrame, few: bool = False
+) -> DataFrame:
+    """Staged measurements with the columns of their sensor and its location.
+
+    All measurements meet one table of sensors with their locations. A ``few`` of them meet the
+    sensors first, so that locations needn't be brought to sensors without a measurement.
+    """
+    dims = [staged_sensor(sensors), staged_location(locations)]
+    wide = enrich(enrich(measurements, dims[:1]), dims[1:]) if few else enrich(measurements, dims)
     return wide.select(*STANDARD_COLUMNS)
 
 
@@ -109,8 +116,10 @@ def refresh_standardized(
     as_of, full: bool = False, grain: str = "day",
 ) -> None:
     """The joined table looks back ten days at its own rows, the staged ones fifteen."""
+    finish(spark, path)
+    few = not full and paths.has_files(spark, path)
     refresh_days(
-        spark, staged, path, lambda rows: standardize(rows, sensors, locations), "datetimeto_utc",
+        spark, staged, path, lambda rows: standardize(rows, sensors, locations, few), "datetimeto_utc",
         as_of, target_lookback=ENRICHED_TARGET_LOOKBACK_DAYS,
         sort_cols=("location_id", "sensor_name"), full=full, grain=grain,
     )

@@ -89,6 +89,37 @@ def test_grain(spark, tmp_path):
         h.overwrite_days(make(spark, []), path, "ts", grain="hour")
 
 
+def test_whole_months_are_written_by_the_tasks_that_hold_them(spark, tmp_path):
+    data = make(spark, [("a", day(n), n, day(n)) for n in range(1, 61)]).repartition(3).localCheckpoint()
+
+    def files_of_each(name):
+        return [len(list(p.glob("*.parquet"))) for p in sorted((tmp_path / name).glob("*=*"))]
+
+    h.refresh_days(spark, data, str(tmp_path / "m"), lambda df: df, "ts", day(61), grain="month")
+    assert files_of_each("m") == [3, 3]  # no row was shuffled
+    h.refresh_days(spark, data, str(tmp_path / "m"), lambda df: df, "ts", day(61), grain="month")
+    assert files_of_each("m") == [3, 1]  # a changed month is gathered
+    assert rows(spark.read.parquet(str(tmp_path / "m")), "v") == sorted([(n,) for n in range(1, 61)], key=repr)
+    h.refresh_days(spark, data, str(tmp_path / "d"), lambda df: df, "ts", day(61))
+    assert files_of_each("d") == [1] * 60  # so are days
+
+
+def test_few_measurements_meet_the_sensors_first(spark):
+    at = [day(25)] * 3
+    locations = spark.createDataFrame([{"id": k, "name": f"n{k}", "ingested_at": at[0], "updated_at": at[0], "refreshed_at": at[0]} for k in "LM"], LOCATIONS.schema)
+    sensors = spark.createDataFrame([(s, k, f"at {k}", *[None] * 4, *at) for s, k in (("s1", "L"), ("s2", "gone"), ("s3", "M"), ("s4", "M"))], SENSORS.schema)
+    raw = spark.createDataFrame([{"sensor_id": s, "value": 1.0, "period_datetimeTo_utc": day(2), "ingested_at": at[0], "updated_at": at[0], "refreshed_at": at[0]}
+                                 for s in ("s1", "s2", "s3", "s5")], MEASUREMENTS.schema)
+    staged = [f(df) for f, df in ((staging.stage_measurements, raw), (staging.stage_sensors, sensors), (staging.stage_locations, locations))]
+    got = {few: staging.standardize(*staged, few) for few in (False, True)}
+    assert rows(got[True]) == rows(got[False])
+    assert rows(got[True], "sensor_id", "location_id", "location_name", "sensor_name") == [
+        ("s1", "L", "nL", "at L"), ("s2", "gone", None, "at gone"), ("s3", "M", "nM", "at M"), ("s5", None, None, None),
+    ]
+    top = {few: next(line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line) for few, df in got.items()}
+    assert "(sensor_id#" in top[False] and "(location_id#" in top[True]
+
+
 def test_staging_to_standardised(spark, tmp_path):
     """Raw tables, both incremental refreshes, and a late correction that travels to the joined table."""
     at = [day(25)] * 3

@@ -178,3 +178,36 @@ def test_empty_tables(spark, tmp_path):
     assert pub.known_days(spark, path).isEmpty()
     refresh(spark, FIRST, path)
     assert len(held(spark, path)) == len(FIRST)
+
+
+def test_first_load_is_stored_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    copied, real = [], pub._copy
+    monkeypatch.setattr(pub, "_copy", lambda *args: copied.append(args[3]) or real(*args))
+    refresh(spark, FIRST, path)
+    assert copied == [] and len(held(spark, path)) == len(FIRST)
+    refresh(spark, LATER, path)
+    assert copied == [pub.DAYS]
+    refresh(spark, LATER, path, full=True)  # there are rows to keep until the new ones are there
+    assert copied == [pub.DAYS, pub.WHOLE]
+    monkeypatch.undo()
+    assert held(spark, path) == wanted(spark, LATER, tmp_path)
+
+
+@pytest.mark.parametrize("step", ["_notes", "_read_notes"])
+def test_killed_first_load(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "t")
+
+    def killed(*_):
+        raise Killed
+
+    with monkeypatch.context() as m:
+        m.setattr(pub, step, killed)
+        with pytest.raises(Killed):
+            refresh(spark, FIRST, path)
+    # without notes nobody knows whether all of it is there; with them nothing is owed
+    assert pub.finish(spark, path) == (0 if step == "_notes" else 1)
+    assert paths.has_files(spark, path) == (step == "_read_notes")
+    refresh(spark, LATER, path)
+    assert held(spark, path) == wanted(spark, LATER, tmp_path)
+    assert {r["n_rows"] for r in pub.known_days(spark, path).collect()} == {1, 2}

@@ -717,7 +717,9 @@ def refresh_measurements(spark, sf):
     """Raw to staged to standardised, loaded in full once and then refreshed by the changed months."""
     staged, joined = a.fresh_dir(spark, "staged"), a.fresh_dir(spark, "joined")
     raw = a.raw_measurements(spark, sf)
-    locations = staging.stage_locations(ingest.ingest_locations(a.location_docs(spark, sf), "2024-02-01 00:00:00"))
+    places = a.fresh_dir(spark, "locations")
+    staging.stage_locations(ingest.ingest_locations(a.location_docs(spark, sf), "2024-02-01 00:00:00")).write.parquet(places)
+    locations = spark.read.parquet(places)
     sensors = staging.stage_sensors(a.raw_sensors(spark, sf))
     for rows in (raw.filter(F.col("updated_at") <= F.lit(a.SHIPPED_AT).cast("timestamp")), raw):
         staging.refresh_staged_measurements(spark, rows, staged, a.SHIPPED_AS_OF, grain="month")
