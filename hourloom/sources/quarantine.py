@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,6 +23,9 @@ WIDER = (
     ("date", "timestamp_ntz", "timestamp", "string"),
     ("boolean", "string"),
 )
+#: Bytes up to which a file is handed to a task as one value. Larger ones come in pieces, and the same is found.
+WHOLE = 1 << 26
+PACKED = r"\.(gz|bz2|deflate|lz4|snappy|zst|zstd|xz|lzo)$"  # endings by which Hadoop unpacks text
 _ARROW = {
     "int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint", "float": "float", "double": "double", "string": "string",
     "large_string": "string", "bool": "boolean", "date32[day]": "date",
@@ -45,33 +51,101 @@ def widest(kinds: set[str]) -> str | None:
     return next((t for t in fits if all(_holds(t, u) for u in fits)), None)
 
 
-def inspect_parquet(spark: SparkSession, path: str, max_bytes: int = 1 << 30) -> DataFrame:
+def _looked_into(source: pa.NativeFile) -> tuple[int | None, str | None, str | None]:
+    """Rows and columns of one file, all row groups read; or why it can't be."""
+    try:
+        file = pq.ParquetFile(source)
+        columns = json.dumps([[f.name, type_name(f.type)] for f in file.schema_arrow])
+        return sum(file.read_row_group(i).num_rows for i in range(file.num_row_groups)), columns, None
+    except Exception as e:  # noqa: BLE001  whatever is wrong with it is what is asked
+        return None, None, f"{type(e).__name__}: {str(e).splitlines()[0][:200] if str(e) else ''}"
+
+
+def _said(name: str, size: int, found: tuple) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip((name, size, *found), kinds, strict=True)], names=["path", "size", "n_rows", "columns", "reason"])
+
+
+def _in_pieces(lines: DataFrame) -> DataFrame:
+    """The report of files that come as lines (path, size, start, line): joined to pieces where they are read, and put together
+    again on the disk of one task for each file, so no file is in memory whole."""
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for n, b in enumerate(batches):  # lines of a block come one behind the other
+            if not b.num_rows:
+                continue
+            names, sizes, starts, found = (b.column(i).to_pylist() for i in range(4))
+            cuts = [0, *(i for i in range(1, b.num_rows) if (names[i], starts[i]) != (names[i - 1], starts[i - 1])), b.num_rows]
+            own = [[x[i] for i in cuts[:-1]] for x in (names, sizes, starts)]
+            columns = [pa.array(own[0], pa.string()), pa.array(own[1], pa.int64()), pa.array(own[2], pa.int64()), pa.array([n] * len(cuts[:-1]), pa.int64())]
+            pieces = pa.array([b"\n".join(found[i:j]) for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*columns, pieces], names=["path", "size", "start", "n", "piece"])
+
+    def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with tempfile.TemporaryDirectory() as folder:
+            at, name, size, to = f"{folder}/file", None, None, None
+
+            def looked_at() -> pa.RecordBatch:
+                left = size - to.tell()  # lines don't tell of a line end behind the last of them, and of a mark of UTF-8 before the first
+                if left not in (0, 1, 3, 4):
+                    raise ValueError(f"{name}: {to.tell()} of {size} bytes were read")
+                if left % 3:
+                    to.write(b"\n")
+                to.close()
+                if left >= 3:
+                    with open(at, "rb") as rest, open(f"{at}-marked", "wb") as whole:
+                        whole.write(b"\xef\xbb\xbf")
+                        shutil.copyfileobj(rest, whole)
+                    os.replace(f"{at}-marked", at)
+                with pa.memory_map(at) as source:
+                    return _said(name, size, _looked_into(source))
+
+            for b in batches:
+                for new, length, piece in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(4), strict=True):
+                    if new != name:
+                        if to:
+                            yield looked_at()
+                        name, size, to = new, length, open(at, "wb")
+                    else:
+                        to.write(b"\n")
+                    to.write(piece.as_buffer())
+            if to:
+                yield looked_at()
+
+    pieces = lines.mapInArrow(joined, "path string, size long, start long, n long, piece binary")
+    return pieces.repartition("path").sortWithinPartitions("path", "start", "n").mapInArrow(put_together, REPORT)
+
+
+def inspect_parquet(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
     """A row for each file under ``path``: its size, rows, columns (names and types, as JSON), and why it can't be read.
 
-    Each file is opened by a task, footer and row groups, all columns. ``reason`` is NULL for a sound file. Files above
-    ``max_bytes`` don't fit a task whole and are not opened: they have no reason and no columns. Files of no bytes are passed
-    over, as Spark does in every scan.
+    Each file is opened by a task, footer and row groups, all columns, whatever its size. ``reason`` is NULL for a sound file.
+    Files up to :data:`WHOLE` bytes are handed to the task as they are, larger ones in pieces (:func:`_in_pieces`); what is found
+    is the same. Only if ``max_bytes`` is given, files above it are not opened: they have no reason and no columns. Files of no
+    bytes are passed over, as Spark does in every scan.
     """
+
     def looked_at(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for name, size, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                n_rows = columns = reason = None
-                if content.is_valid:
-                    try:
-                        file = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
-                        columns = json.dumps([[f.name, type_name(f.type)] for f in file.schema_arrow])
-                        n_rows = sum(file.read_row_group(i).num_rows for i in range(file.num_row_groups))
-                    except Exception as e:  # noqa: BLE001  whatever is wrong with it is what is asked
-                        n_rows, columns, reason = None, None, f"{type(e).__name__}: {str(e).splitlines()[0][:200] if str(e) else ''}"
-                row = [[name], [size], [n_rows], [columns], [reason]]
-                kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(v, type=t) for v, t in zip(row, kinds, strict=True)], names=["path", "size", "n_rows", "columns", "reason"])
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "[!_.]*").load(path)
-    own = files.filter(F.col("length") <= max_bytes).select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("size"), "content")
-    large = files.filter(F.col("length") > max_bytes).select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("size"))
+                yield _said(name, size, _looked_into(pa.BufferReader(content.as_buffer())))
+
+    def under(kind: str, **options) -> DataFrame:
+        return spark.read.format(kind).options(recursiveFileLookup=True, pathGlobFilter="[!_.]*", **options).load(path)
+
+    name, size = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")
+    # text is unpacked by its name, so files named like packed ones are handed over whole
+    large, opened = (F.col("_metadata.file_size") > WHOLE) & ~F.col("_metadata.file_name").rlike(PACKED), F.lit(True)
+    if max_bytes is not None:
+        opened = F.col("_metadata.file_size") <= max_bytes
+    own = under("binaryFile").filter(opened & ~large).select(name, F.col("length").alias("size"), "content")
+    lines = under("text", lineSep="\n").filter(opened & large)
+    lines = lines.select(name, size, F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("line"))
+    report = own.mapInArrow(looked_at, REPORT).unionByName(_in_pieces(lines))
+    if max_bytes is None:
+        return report
     none = [F.lit(None).cast(t).alias(c) for c, t in (("n_rows", "long"), ("columns", "string"), ("reason", "string"))]
-    return own.mapInArrow(looked_at, REPORT).unionByName(large.select("path", "size", *none))
+    return report.unionByName(under("binaryFile").filter(~opened).select(name, F.col("length").alias("size"), *none))
 
 
 def read_sound(spark: SparkSession, path: str, schema) -> tuple[DataFrame, DataFrame]:

@@ -1,6 +1,7 @@
 """Quarantine, widened columns, buckets, and positions."""
 
 import datetime as dt
+import inspect
 import os
 from dataclasses import replace
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 import hourloom as h
 from hourloom.operators.merge import _touched, stored_schema
 from hourloom.operators.order import number_in_order, number_rows
-from hourloom.sources import paths
+from hourloom.sources import paths, quarantine
 from hourloom.sources.quarantine import concat_widened, inspect_parquet, read_sound, widest
 from hourloom.specs import TableSpec, schema_of
 from workloads import queries
@@ -52,6 +53,39 @@ def test_damaged_files_give_no_row(spark, tmp_path):
     assert large.filter("reason is null and columns is null").count() == 5  # none is opened
 
 
+def test_files_of_any_size_are_opened(spark, tmp_path, monkeypatch):
+    """Files too large for one value come in pieces, cut anywhere, and are told as they are when handed over whole."""
+    folder = str(tmp_path / "in")
+    for k in range(3):
+        write(folder, f"sound{k}.parquet", 4000 + k, w=pa.array(os.urandom(8) for _ in range(4000 + k)))
+    raw = open(f"{folder}/sound0.parquet", "rb").read()
+    third = len(raw) // 3
+    for name, content in {
+        "cut": raw[: 2 * len(raw) // 3], "hole": raw[:third] + b"\xff" * 3000 + raw[third + 3000 :], "tail": raw + b"\n", "ends": b"\n" * 70_000, "crlf": b"a\r\n\r\n" * 9000,
+        "marked": b"\xef\xbb\xbf" + raw, "marked_end": b"\xef\xbb\xbf" + raw + b"\n", "noise": os.urandom(80_000), "long": b"x" * 60_000, "small": raw[:50], "packed.gz": raw,
+    }.items():
+        open(f"{folder}/{name}", "wb").write(content)
+    whole = sorted(map(tuple, inspect_parquet(spark, folder).collect()))
+    monkeypatch.setattr(quarantine, "WHOLE", 1000)
+    assert len(whole) == 14 and sum(r[4] is None for r in whole) == 4  # three sound ones, and one with a name as of packed ones
+    changed = {"spark.sql.files.maxPartitionBytes": "5000", "spark.sql.files.openCostInBytes": "0", "spark.sql.execution.arrow.maxRecordsPerBatch": "7"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        os.rename(f"{folder}/packed.gz", f"{tmp_path}/packed.gz")  # handed over whole, whatever its size
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")  # no large file as one value
+        pieces = sorted(map(tuple, inspect_parquet(spark, folder).collect()))
+        assert pieces == [r for r in whole if not r[0].endswith(".gz")]
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    os.rename(f"{tmp_path}/packed.gz", f"{folder}/packed.gz")
+    assert sorted(map(tuple, inspect_parquet(spark, folder).collect())) == whole
+    assert inspect.signature(inspect_parquet).parameters["max_bytes"].default is None  # no size from which files aren't opened
+
+
 def test_files_cut_from_many_parts(spark, tmp_path):
     """Two files of all parts, so that no task has to write half of the rows; each is damaged, wherever the cut falls."""
     for k in range(6):
