@@ -86,6 +86,24 @@ def test_files_of_any_size_are_opened(spark, tmp_path, monkeypatch):
     assert inspect.signature(inspect_parquet).parameters["max_bytes"].default is None  # no size from which files aren't opened
 
 
+def test_large_damaged_files_give_no_row(spark, tmp_path, monkeypatch):
+    """A hole behind the first row groups, in a file that is too large for one value."""
+    folder = str(tmp_path)
+    for name in ("sound", "hole"):
+        write(folder, f"{name}.parquet", 1000)
+    with open(f"{folder}/hole.parquet", "r+b") as f:
+        f.seek(os.path.getsize(f"{folder}/hole.parquet") // 3)
+        f.write(b"\xff" * 400)
+    monkeypatch.setattr(quarantine, "WHOLE", 1000, raising=False)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        good, bad = read_sound(spark, folder, "v long")
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert sorted(r["v"] for r in good.collect()) == list(range(1000))
+    assert [os.path.basename(r["path"]) for r in bad.collect()] == ["hole.parquet"]
+
+
 def test_files_cut_from_many_parts(spark, tmp_path):
     """Two files of all parts, so that no task has to write half of the rows; each is damaged, wherever the cut falls."""
     for k in range(6):
