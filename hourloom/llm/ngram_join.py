@@ -30,6 +30,7 @@ HALF = U64(0xFFFFFFFF)
 FILTER_BITS = 24, 29  # the logarithms of the fewest and the most bits of a filter
 SUBSET = 4095  # stands in the last bits of a signature where group signatures have their level
 CROWD = 12  # lists up to this length are taken pair by pair
+KNOWN = 100_000  # rows of a table up to which the driver gathers it for a broadcast; its hash table takes about 100 bytes a row
 
 
 # --- sets ------------------------------------------------------------------------------------------------------------
@@ -371,9 +372,10 @@ def _filter_bits(nodes: DataFrame) -> np.ndarray:
             np.bitwise_or.at(value, where, U64(1) << (at & U64(63)))
             yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(value.view(np.int64))], names=["word", "bits"])
 
-    rows = nodes.select("node").mapInArrow(words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    rows = nodes.select("node").mapInArrow(words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(bits // 64, dtype=U64)
-    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(U64)
+    for b in rows.to_batches():  # columns as they come: rows of Python objects would be ten times as large
+        out[np.asarray(b.column(0))] = np.asarray(b.column(1)).view(U64)
     return out
 
 
@@ -450,9 +452,9 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: in
     return thin, landed(_family_roots(sets, family, percent, block), "roots"), seed
 
 
-def _known(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """A landed table of few short columns: broadcast up to `rows` rows, joined by shuffle beyond."""
-    return F.broadcast(df) if df.count() <= rows else df
+def _known(df: DataFrame) -> DataFrame:
+    """A landed table of few short columns: broadcast up to KNOWN rows, joined by shuffle beyond."""
+    return F.broadcast(df) if df.count() <= KNOWN else df
 
 
 def _family_roots(sets: DataFrame, family: DataFrame, percent: int, block: int) -> DataFrame:

@@ -83,6 +83,26 @@ def test_crowded_lists(spark, rows, monkeypatch):
     assert sorted(got, key=repr) == brute(rows)
 
 
+def test_what_the_driver_gathers_is_bounded(spark, rows, monkeypatch):
+    """Tables above KNOWN rows are joined by shuffle, with the same results; filters come as columns."""
+    assert ngram_join.KNOWN <= 100_000
+    for n, hinted in ((ngram_join.KNOWN, True), (ngram_join.KNOWN + 1, False)):
+        plan = spark.range(5).join(ngram_join._known(spark.range(n)), "id")._jdf.queryExecution().analyzed().toString()
+        assert ("ResolvedHint" in plan) == hinted
+    monkeypatch.setattr(type(spark.range(0)), "toPandas", lambda self: pytest.fail("rows of Python objects"))
+    nodes = np.random.default_rng(2).integers(-(2**63), 2**63, 5000)
+    bits = ngram_join._filter_bits(spark.createDataFrame([(x,) for x in nodes.tolist()], "node long").repartition(3))
+    at = ngram_join.mix(nodes.view(np.uint64)) % np.uint64(len(bits) * 64)
+    want = np.zeros(len(bits), dtype=np.uint64)
+    np.bitwise_or.at(want, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
+    assert (bits == want).all() and not ngram_join._filter_bits(spark.createDataFrame([], "node long")).any()
+    monkeypatch.setattr(ngram_join, "KNOWN", 0)
+    got = [tuple(x) for x in ngram_join.classes(frame(spark, rows), block=5).collect()]
+    assert sorted(got, key=repr) == brute(rows)
+    kept = ngram_join.keep_one(frame(spark, rows), k=4, percent=85).collect()
+    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None and words(r["text"])) == sorted({i for i, n, c in brute(rows) if n and i == c and i is not None})
+
+
 def test_other_thresholds(spark, rows):
     some = rows[::2]
     got = [tuple(x) for x in ngram_join.classes(frame(spark, some), k=5, percent=80).collect()]
